@@ -84,9 +84,12 @@ def hour_floor(ts: Column | str) -> Column:
     return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts))
 
 
-def exclusive_end(today: dt.date | str | None = None) -> Column:
+def exclusive_end(today: Column | dt.date | str | None = None) -> Column:
     """The day after ``today`` as ``yyyy-MM-dd`` text: the open end of an up-to-now range."""
-    day = F.current_date() if today is None else F.lit(str(today)).cast("date")
+    if today is None:
+        day = F.current_date()
+    else:
+        day = (today if isinstance(today, Column) else F.lit(str(today))).cast("date")
     return F.date_format(F.date_add(day, 1), "yyyy-MM-dd")
 
 

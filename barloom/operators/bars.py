@@ -43,6 +43,13 @@ def in_range(df: DataFrame, ts: str, start: dt.datetime | str, end: dt.datetime
     return df.filter((F.col(ts) >= F.lit(str(start)).cast(kind)) & (F.col(ts) < upper.cast(kind)))
 
 
+def ticks_in_range(ticks: DataFrame, ts: str, start: dt.datetime | str, end: dt.datetime | str) -> DataFrame:
+    """Ticks that can fall into a bar of the range: an outer bound that the tick scan can apply."""
+    kind = ticks.schema[ts].dataType
+    upper = F.lit(str(end)).cast(kind) + F.make_dt_interval(F.lit(0), F.lit(1))
+    return ticks.filter((F.col(ts) >= F.lit(str(start)).cast(kind)) & (F.col(ts) < upper))
+
+
 def distinct_symbols(lists: Sequence[DataFrame], symbol: str = "Symbol") -> DataFrame:
     """Each symbol of any list once; a NULL counts as one symbol."""
     return reduce(DataFrame.union, [one.select(symbol) for one in lists]).distinct()
@@ -63,8 +70,16 @@ def universe_bars(universe: DataFrame, bars: DataFrame, symbol: str = "symbol")
 
 
 def missing_symbols(universe: DataFrame, bars: DataFrame, symbol: str = "symbol") -> DataFrame:
-    """Symbols of the universe that have no bar."""
-    return universe.join(bars.select(symbol), symbol, "left_anti")
+    """Rows of the universe whose symbol has no bar.
+
+    The bars shrink to their distinct symbols before the join, combined on the map side.
+    """
+    return universe.join(bars.select(symbol).distinct(), symbol, "left_anti")
+
+
+def listed_only(ticks: DataFrame, universe: DataFrame, symbol: str = "symbol") -> DataFrame:
+    """Ticks of listed symbols, so that nothing else reaches a shuffle."""
+    return ticks.join(universe.select(symbol).distinct(), symbol, "left_semi")
 
 
 def with_fullname(bars: DataFrame, names: DataFrame, symbol: str = "symbol", fullname: str = "fullname") -> DataFrame:

@@ -36,9 +36,12 @@ def watch_frame(like: DataFrame, watch: Sequence[Mapping[str, object]] = WATCH_L
     """The watch list as ``(code, name, pos)``, typed after the ``code`` column of ``like``."""
     if len(watch) > MAX_WATCH:
         raise ValueError(f"watch list above {MAX_WATCH} entries")
+    if not watch:
+        raise ValueError("empty watch list")
     kind = like.schema["code"].dataType.simpleString()
-    rows = [(w["code"], w["name"], i) for i, w in enumerate(watch)]
-    return like.sparkSession.createDataFrame(rows, f"code {kind}, name string, pos int")
+    rows = [F.struct(F.lit(w["code"]).cast(kind), F.lit(w["name"]), F.lit(i)) for i, w in enumerate(watch)]
+    one_row = like.sparkSession.range(0, 1, 1, 1)
+    return one_row.select(F.inline(F.array(*rows)).alias("code", "name", "pos"))
 
 
 def watched(quotes: DataFrame, watch: Sequence[Mapping[str, object]] = WATCH_LIST) -> DataFrame:
@@ -63,8 +66,6 @@ def message(quotes: DataFrame, by: Sequence[str] = (), heading: str = HEADING) -
     A group is one snapshot of a watch list, so its size is bounded by the list.
     """
     line = quote_line("name", "code", "price")
-    text = F.concat(F.lit(heading), F.coalesce(F.listagg("line"), F.lit("")))
     lined = quotes.select(*by, "pos", line.alias("line"))
-    del text
     ordered = F.expr("listagg(line, '') WITHIN GROUP (ORDER BY pos, line)")
     return lined.groupBy(*by).agg(F.concat(F.lit(heading), F.coalesce(ordered, F.lit(""))).alias("message"))

@@ -109,16 +109,16 @@ def _over_slices(
     one = F.lit(1)
     marked = _over(sliced, [*series, *slices], ordering, features).withColumns(
         {
-            "__first": F.lag(one, 1).over(inner).isNull(),
-            "__head": F.lag(one, ahead).over(inner).isNull(),
-            "__tail": F.lead(one, ahead).over(inner).isNull(),
+            "__at_cut": F.lag(one, 1).over(inner).isNull() | F.lead(one, ahead).over(inner).isNull(),
+            "__border": F.lag(one, ahead + 1).over(inner).isNull() | F.lead(one, ahead + 1).over(inner).isNull(),
         }
     )
-    marks = ["__first", "__head", "__tail"]
-    at_cut = F.col("__first") | F.col("__tail")
+    marks = ["__at_cut", "__border"]
+    at_cut = F.col("__at_cut")
     inside = marked.filter(~at_cut)
-    # Around a cut the next `ahead` rows are all in here, so offsets over this subset are exact.
-    borders = marked.filter(F.col("__head") | F.col("__tail")).drop(*returns)
+    # The rows whose offsets leave their slice are its first and its last `ahead`. One row more on
+    # either side of a cut puts the bar before and the next `ahead` bars of each of them in here.
+    borders = marked.filter("__border").drop(*returns)
     mended = _over(borders, series, [*slices, *ordering], features).filter(at_cut)
     return inside.unionByName(mended).drop(*marks, *slices)
 

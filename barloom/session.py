@@ -22,6 +22,8 @@ def build_session(app: str = "barloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # Call-site capture costs about as much as planning a small query.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})
     builder = SparkSession.builder.appName(app)

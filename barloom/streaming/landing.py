@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Partitions of one batch that are looked up by literal values; more are matched by a full scan.
+MAX_PRUNED = 10_000
+
 
 def land_increment(
     spark: SparkSession,
@@ -17,8 +22,6 @@ def land_increment(
     source_format: str = "json",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     unique_by: Sequence[str] | None = None,
-    event_time: str | None = None,
-    lateness: str = "2 hours",
     partition_by: Sequence[str] = (),
     files_per_batch: int | None = None,
     **reader_options: object,
@@ -26,8 +29,9 @@ def land_increment(
     """Append the not yet seen files of ``source`` to the Parquet folder ``sink``; returns rows read.
 
     The checkpoint remembers the files, so running again adds only new ones and a broken run is
-    resumed without loss or repeats. ``unique_by`` also drops repeated records (a replaced file that
-    carries the same ones); its state is kept only ``lateness`` past ``event_time``.
+    resumed without loss or repeats. ``unique_by`` also leaves out records whose key the sink has
+    already (a replaced file that carries the same ones), however old they are; with
+    ``partition_by`` only the sink partitions that a batch touches are read for that.
     """
     reader = spark.readStream.schema(schema).format(source_format).options(**reader_options)
     if files_per_batch:
@@ -35,13 +39,50 @@ def land_increment(
     rows = reader.load(source)
     if prepare:
         rows = prepare(rows)
+    stream = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if unique_by:
-        if not event_time:
-            raise ValueError("unique_by needs event_time, which bounds its state")
-        rows = rows.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([*unique_by])
-    writer = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    query = writer.start(sink)
+        query = stream.foreachBatch(_append_new(sink, rows.schema, list(unique_by), list(partition_by))).start()
+    else:
+        if partition_by:
+            stream = stream.partitionBy(*partition_by)
+        query = stream.format("parquet").start(sink)
     query.awaitTermination()
     return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def _append_new(sink: str, schema: T.StructType, keys: list[str], parts: list[str]):
+    """Batch writer that a retry may run again: rows it wrote the first time are then known keys."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(keys)
+        known = _existing(batch.sparkSession, sink, schema)
+        if known is not None:
+            known = _touched(known, batch, parts).select(*[F.col(k).alias(f"__{k}") for k in keys])
+            same = F.lit(True)
+            for key in keys:
+                same = same & F.col(key).eqNullSafe(F.col(f"__{key}"))
+            fresh = fresh.join(known, same, "left_anti")
+        if parts:
+            fresh = fresh.hint("rebalance", *parts)
+        writer = fresh.write.mode("append")
+        (writer.partitionBy(*parts) if parts else writer).parquet(sink)
+
+    return write
+
+
+def _existing(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).parquet(sink)
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _touched(known: DataFrame, batch: DataFrame, parts: list[str]) -> DataFrame:
+    if len(parts) != 1:
+        return known
+    values = [r[0] for r in batch.select(*parts).distinct().limit(MAX_PRUNED + 1).collect()]
+    if len(values) > MAX_PRUNED or None in values:
+        return known
+    return known.filter(F.col(parts[0]).isin(values))
