@@ -29,6 +29,10 @@ SERIES = ("Name", "Fullname")
 #: A series with more bars than this is split over several tasks.
 SLICE_ROWS = 4_000_000
 
+#: Slices still too long after the first cut get at least this many pieces, for so many rounds.
+RECUT_PIECES = 200
+MAX_CUTS = 8
+
 
 def forward_returns(
     bars: DataFrame,
@@ -128,53 +132,56 @@ def _cut(
 ) -> tuple[DataFrame, list[str]]:
     """Add slice columns that follow the row order and hold about ``slice_rows`` rows each.
 
-    Equal-width cuts of the time span, cut again where a burst overfills one, and last, rows of one
-    single instant by their tiebreak. The cuts depend on the data only, so a re-run task agrees.
+    Undated rows form a slice of their own, as they come last. Every slice that is too long is cut
+    into equal widths of its time span, or by tiebreak if it is one single instant, and what a burst
+    still overfills is cut again more finely. The cuts depend on the data only, so a task that runs
+    again agrees with the first run.
     """
-    steps = [(order, False), (order, False)] + ([(tiebreak, True)] if tiebreak else [])
-    slices: list[str] = []
-    for source, one_instant in steps:
-        position = _position(df, source)
-        if position is None:
-            continue
+    nowhere = F.lit(None).cast("double")
+    by_time, by_tie = (nowhere if c is None else _position(df, c) for c in (order, tiebreak))
+    df = df.withColumn("__slice", F.col(order).isNull().cast("int"))
+    slices = ["__slice"]
+    for cut_round in range(MAX_CUTS):
         keys = [*series, *slices]
-        sizes = (
+        position = F.when(F.col("__instant"), by_tie).otherwise(by_time)
+        full = stage(
             df.groupBy(*keys)
             .agg(
                 F.count(F.lit(1)).alias("__n"),
-                F.min(position).alias("__lo"),
-                F.max(position).alias("__hi"),
                 F.min(order).eqNullSafe(F.max(order)).alias("__instant"),
-                F.count_if(F.col(order).isNull()).alias("__undated"),
+                *[fold(by).alias(f"__{end}_{name}") for end, fold in (("lo", F.min), ("hi", F.max))
+                  for name, by in (("time", by_time), ("tie", by_tie))],
+            )
+            .filter(F.col("__n") > slice_rows)
+            .select(
+                *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", "__instant",
+                *[F.when(F.col("__instant"), F.col(f"__{end}_tie")).otherwise(F.col(f"__{end}_time")).alias(f"__{end}")
+                  for end in ("lo", "hi")],
             )
-            .filter((F.col("__n") > slice_rows) & (F.col("__hi") > F.col("__lo")))
+            .filter("__hi > __lo"),
+            "full-slices",
         )
-        if one_instant:
-            pure = F.col("__undated").isin(0) | (F.col("__undated") == F.col("__n"))
-            sizes = sizes.filter(F.col("__instant") & pure)
-        full = stage(sizes.drop("__instant", "__undated"), "full-slices")
         if full.isEmpty():
-            continue
-        name = f"__slice{len(slices)}"
+            break
         pieces = F.ceil(F.col("__n") / F.lit(slice_rows))
-        width = (position - F.col("__lo")) / (F.col("__hi") - F.col("__lo"))
-        # Undated rows come last in their series, hence one slice further.
-        cut = F.when(F.col("__n").isNull(), 0).when(position.isNull(), pieces + 1).otherwise(F.floor(width * pieces))
-        sizes_by = full.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", "__lo", "__hi")
+        if cut_round:
+            pieces = F.greatest(pieces, F.lit(RECUT_PIECES))
+        at = F.floor((position - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * pieces)
         match = F.lit(True)
         for i, key in enumerate(keys):
             match = match & F.col(key).eqNullSafe(F.col(f"__k{i}"))
+        name = f"__slice{cut_round}"
         df = (
-            df.join(sizes_by, match, "left")
-            .withColumn(name, cut.cast("bigint"))
-            .drop("__n", "__lo", "__hi", *[f"__k{i}" for i in range(len(keys))])
+            df.join(full, match, "left")
+            .withColumn(name, F.when(F.col("__n").isNull(), 0).otherwise(F.coalesce(at, pieces + 1)).cast("bigint"))
+            .drop(*full.columns)
         )
         slices.append(name)
     return df, slices
 
 
-def _position(df: DataFrame, name: str) -> Column | None:
-    """A number that grows with the column, for cutting its range; None for other types."""
+def _position(df: DataFrame, name: str) -> Column:
+    """A number that grows with the column, for cutting its range; NULL for other types."""
     kind, value = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(value).cast("double")
@@ -186,4 +193,4 @@ def _position(df: DataFrame, name: str) -> Column | None:
         return F.unix_date(value).cast("double")
     if isinstance(kind, T.NumericType):
         return value.cast("double")
-    return None
+    return F.lit(None).cast("double")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from barloom.operators.inference import infer_types, inferred_struct
-from barloom.session import stage
 from barloom.sources.files import read_text_csv
 from barloom.sources.tables import publish
 from barloom.sources.tolerant import good_rows, parse_tolerant_csv, rejects
@@ -24,11 +23,10 @@ def refresh_table(
 ) -> tuple[DataFrame, DataFrame]:
     """Replace ``table`` by the good rows of the CSV; returns it and the ``<table>_rejects`` table.
 
-    The text is parsed once under the schema and stored; good rows and rejects are both read from
-    there. A refused gate leaves both tables as they were.
+    A refused gate leaves both tables as they were.
     """
     if schema is None:
         schema = inferred_struct(infer_types(read_text_csv(spark, csv_path, multi_line)))
-    parsed = stage(parse_tolerant_csv(spark, csv_path, schema, multi_line=multi_line), "parsed")
+    parsed = parse_tolerant_csv(spark, csv_path, schema, multi_line=multi_line)
     loaded = publish(good_rows(parsed), table, gates)
     return loaded, publish(rejects(parsed), f"{table}_rejects")
