@@ -15,8 +15,8 @@ NULL_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
-INTEGER_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
-FLOAT_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+INTEGER_PATTERN = r"^\s*+[+-]?[0-9]++\s*+$"
+FLOAT_PATTERN = r"^\s*+[+-]?(?:[0-9]++\.?[0-9]*+|\.[0-9]++)(?:[eE][+-]?[0-9]++)?\s*+$"
 INFINITY_PATTERN = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 UNSIGNED_MAX = "18446744073709551615"
 TYPES = {
@@ -53,13 +53,12 @@ def _quoted(text: str) -> str:
 def _kind(name: str, null_texts: Sequence[str]) -> str:
     cell = "`" + name.replace("`", "``") + "`"
     blanks = ", ".join(_quoted(t) for t in null_texts)
+    # The patterns come first: a cast that fails costs far more than a pattern that does not match.
+    signed = f"if(try_cast({cell} AS BIGINT) < 0, {_NEGATIVE}, nvl2(try_cast({cell} AS BIGINT), {_POSITIVE}, NULL))"
     return f"""CASE
         WHEN {cell} IS NULL OR {cell} IN ({blanks}) THEN {_BLANK}
-        WHEN {cell} RLIKE r'{INTEGER_PATTERN}' THEN CASE
-            WHEN try_cast({cell} AS BIGINT) >= 0 THEN {_POSITIVE}
-            WHEN try_cast({cell} AS BIGINT) < 0 THEN {_NEGATIVE}
-            WHEN try_cast({cell} AS DECIMAL(38, 0)) BETWEEN 0 AND {UNSIGNED_MAX} THEN {_UNSIGNED}
-            ELSE {_TEXT} END
+        WHEN {cell} RLIKE r'{INTEGER_PATTERN}' THEN coalesce(
+            {signed}, if(try_cast({cell} AS DECIMAL(38, 0)) BETWEEN 0 AND {UNSIGNED_MAX}, {_UNSIGNED}, {_TEXT}))
         WHEN {cell} RLIKE r'{FLOAT_PATTERN}' AND abs(try_cast({cell} AS DOUBLE)) < double('infinity') THEN {_FRACTION}
         WHEN {cell} RLIKE r'{INFINITY_PATTERN}' THEN {_FRACTION}
         ELSE {_TEXT} END"""

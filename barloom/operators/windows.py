@@ -29,7 +29,9 @@ SERIES = ("Name", "Fullname")
 #: A series with more bars than this is split over several tasks.
 SLICE_ROWS = 4_000_000
 
-#: Slices still too long after the first cut get at least this many pieces, for so many rounds.
+#: A slice that a burst fills to this many times the wanted length is cut again, into at least so
+#: many pieces, for so many rounds.
+RECUT_FACTOR = 4
 RECUT_PIECES = 200
 MAX_CUTS = 8
 
@@ -134,7 +136,7 @@ def _cut(
 
     Undated rows form a slice of their own, as they come last. Every slice that is too long is cut
     into equal widths of its time span, or by tiebreak if it is one single instant, and what a burst
-    still overfills is cut again more finely. The cuts depend on the data only, so a task that runs
+    overfills is cut again more finely. The cuts depend on the data only, so a task that runs
     again agrees with the first run.
     """
     nowhere = F.lit(None).cast("double")
@@ -144,6 +146,7 @@ def _cut(
     for cut_round in range(MAX_CUTS):
         keys = [*series, *slices]
         position = F.when(F.col("__instant"), by_tie).otherwise(by_time)
+        limit = slice_rows * (RECUT_FACTOR if cut_round else 1)
         full = stage(
             df.groupBy(*keys)
             .agg(
@@ -152,7 +155,7 @@ def _cut(
                 *[fold(by).alias(f"__{end}_{name}") for end, fold in (("lo", F.min), ("hi", F.max))
                   for name, by in (("time", by_time), ("tie", by_tie))],
             )
-            .filter(F.col("__n") > slice_rows)
+            .filter(F.col("__n") > limit)
             .select(
                 *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", "__instant",
                 *[F.when(F.col("__instant"), F.col(f"__{end}_tie")).otherwise(F.col(f"__{end}_time")).alias(f"__{end}")
