@@ -12,10 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barloom.session import stage
+
 #: Up to this many input rows one task may hold the distinct values of a group.
 IN_MEMORY_ROWS = 1_000_000
 
+#: Sketch accuracy, and the most that a large input may raise it to.
 SKETCH_ACCURACY = 10_000
+FINEST_ACCURACY = 1_000_000
+
+#: About so many rows around the wanted rank are put in order per group and column.
+NEAR_ROWS = 4_000_000
 
 
 def percentiles_builtin(
@@ -43,15 +50,19 @@ def percentiles_spread(
     A mergeable sketch proposes two values close below and above the wanted rank, the rows on each
     side are counted exactly, and only the part that holds the rank is put in order, one row per
     distinct value. The counts decide which part that is, so the answer does not depend on how good
-    the sketch was. Reads its input three times: give it a stored table.
+    the sketch was. The sketch is finer for more rows, which keeps the ordered part about the same
+    size. Reads its input three times: give it a stored table.
     """
     by = list(by)
     long = staged.unpivot(by, list(values), "__of", "__v").filter(F.col("__v").isNotNull())
     keys = [*by, "__of"]
-    margin = 2.0 / SKETCH_ACCURACY
+    accuracy = min(max(SKETCH_ACCURACY, 4 * staged.count() // NEAR_ROWS), FINEST_ACCURACY)
+    margin = 2.0 / accuracy
     fences = long.groupBy(*keys).agg(
-        F.percentile_approx("__v", [max(p - margin, 0.0), min(p + margin, 1.0)], SKETCH_ACCURACY).alias("__f")
+        F.percentile_approx("__v", [max(p - margin, 0.0), min(p + margin, 1.0)], accuracy).alias("__f")
     )
+    # One row per group and column; stored, so that the joins see how small it is and broadcast it.
+    fences = stage(fences, "fences")
     side = F.when(F.col("__v") < F.col("__lo"), 0).when(F.col("__v") <= F.col("__hi"), 1).otherwise(2)
     fences = fences.select(*keys, F.col("__f")[0].alias("__lo"), F.col("__f")[1].alias("__hi"))
     counted = (
@@ -65,12 +76,13 @@ def percentiles_spread(
     def part_of(r):
         return F.when(r < F.col("__below"), 0).when(r < upto_mid, 1).otherwise(2)
 
-    # The chosen fences travel with their counts, so a recomputed sketch cannot disagree with them.
-    targets = (
+    # The counts are kept together with the fences they belong to.
+    targets = stage(
         counted.withColumns({"__r1": F.floor(rank), "__r2": F.ceil(rank), "__w": rank - F.floor(rank)})
         .withColumns({"__p1": part_of(F.col("__r1")), "__p2": part_of(F.col("__r2"))})
         .withColumn("__base", F.when(F.col("__p1") == 0, 0).when(F.col("__p1") == 1, F.col("__below")).otherwise(upto_mid))
-        .select(*keys, "__lo", "__hi", "__r1", "__r2", "__w", "__p1", "__p2", "__base")
+        .select(*keys, "__lo", "__hi", "__r1", "__r2", "__w", "__p1", "__p2", "__base"),
+        "targets",
     )
     fixed = [*keys, "__r1", "__r2", "__w", "__base"]
     near = (

@@ -35,6 +35,8 @@ RECUT_FACTOR = 4
 RECUT_PIECES = 200
 MAX_CUTS = 8
 
+DATED = "__slice"
+
 
 def forward_returns(
     bars: DataFrame,
@@ -59,18 +61,21 @@ def forward_returns(
     if slice_rows is None:
         return _over(bars, series, ordering, features)
 
-    long_series = bars.groupBy(*series).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > slice_rows)
-    if long_series.isEmpty():
+    places = _places(bars, order, tiebreak)
+    dated = bars.withColumn(DATED, F.col(order).isNull().cast("int"))
+    long_slices = _too_long(dated, [*series, DATED], order, places, slice_rows)
+    if long_slices.isEmpty():
         return _over(bars, series, ordering, features)
 
     # At most (rows / slice_rows) keys; the join strategy follows the staged size.
-    hot = stage(long_series.drop("__n"), "long-series")
-    same = _null_safe(bars, hot, series)
+    long_slices = stage(long_slices, "long-slices")
+    hot = long_slices.select(*[F.col(f"__k{i}") for i in range(len(series))]).distinct()
+    same = _same(series)
+    sliced, slices = _cut(dated.join(hot, same, "left_semi"), series, order, places, slice_rows, long_slices)
     short = bars.join(hot, same, "left_anti")
-    sliced, keys = _cut(bars.join(hot, same, "left_semi"), series, order, tiebreak, slice_rows)
     ahead = max([*horizons.values(), 1])
     return _over(short, series, ordering, features).unionByName(
-        _over_slices(sliced, series, keys, ordering, features, ["change", *horizons], ahead)
+        _over_slices(sliced, series, slices, ordering, features, ["change", *horizons], ahead)
     )
 
 
@@ -95,10 +100,11 @@ def _over(df: DataFrame, keys: Sequence[str], ordering: Sequence[str], features)
     return features(df, _window(keys, ordering))
 
 
-def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+def _same(keys: Sequence[str]) -> Column:
+    """NULL-safe match of key columns with ``__k0, __k1, ...``."""
     condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
+    for i, key in enumerate(keys):
+        condition = condition & F.col(key).eqNullSafe(F.col(f"__k{i}"))
     return condition
 
 
@@ -129,67 +135,66 @@ def _over_slices(
     return inside.unionByName(mended).drop(*marks, *slices)
 
 
+def _too_long(df: DataFrame, keys: Sequence[str], order: str, places: tuple[Column, Column], limit: int) -> DataFrame:
+    """Slices above ``limit`` rows that can be cut, with the span to cut: of time, or of the tiebreak
+    where the slice is one single instant. One map-side-combined pass over the key columns."""
+    ends = [fold(place).alias(f"__{end}{i}") for end, fold in (("lo", F.min), ("hi", F.max)) for i, place in enumerate(places)]
+    sizes = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.min(order).eqNullSafe(F.max(order)).alias("__instant"), *ends
+    )
+    spans = [F.when(F.col("__instant"), F.col(f"__{end}1")).otherwise(F.col(f"__{end}0")).alias(f"__{end}") for end in ("lo", "hi")]
+    return (
+        sizes.filter(F.col("__n") > limit)
+        .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", "__instant", *spans)
+        .filter("__hi > __lo")
+    )
+
+
 def _cut(
-    df: DataFrame, series: Sequence[str], order: str, tiebreak: str | None, slice_rows: int
+    df: DataFrame, series: Sequence[str], order: str, places: tuple[Column, Column], slice_rows: int, full: DataFrame
 ) -> tuple[DataFrame, list[str]]:
     """Add slice columns that follow the row order and hold about ``slice_rows`` rows each.
 
-    Undated rows form a slice of their own, as they come last. Every slice that is too long is cut
+    Undated rows are apart from the start, as they come last. Every slice that is too long is cut
     into equal widths of its time span, or by tiebreak if it is one single instant, and what a burst
-    overfills is cut again more finely. The cuts depend on the data only, so a task that runs
-    again agrees with the first run.
+    overfills is cut again more finely. The cuts depend on the data only, so a task that runs again
+    agrees with the first run.
     """
-    nowhere = F.lit(None).cast("double")
-    by_time, by_tie = (nowhere if c is None else _position(df, c) for c in (order, tiebreak))
-    df = df.withColumn("__slice", F.col(order).isNull().cast("int"))
-    slices = ["__slice"]
+    slices = [DATED]
     for cut_round in range(MAX_CUTS):
-        keys = [*series, *slices]
-        position = F.when(F.col("__instant"), by_tie).otherwise(by_time)
-        limit = slice_rows * (RECUT_FACTOR if cut_round else 1)
-        full = stage(
-            df.groupBy(*keys)
-            .agg(
-                F.count(F.lit(1)).alias("__n"),
-                F.min(order).eqNullSafe(F.max(order)).alias("__instant"),
-                *[fold(by).alias(f"__{end}_{name}") for end, fold in (("lo", F.min), ("hi", F.max))
-                  for name, by in (("time", by_time), ("tie", by_tie))],
-            )
-            .filter(F.col("__n") > limit)
-            .select(
-                *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", "__instant",
-                *[F.when(F.col("__instant"), F.col(f"__{end}_tie")).otherwise(F.col(f"__{end}_time")).alias(f"__{end}")
-                  for end in ("lo", "hi")],
-            )
-            .filter("__hi > __lo"),
-            "full-slices",
-        )
-        if full.isEmpty():
-            break
         pieces = F.ceil(F.col("__n") / F.lit(slice_rows))
         if cut_round:
             pieces = F.greatest(pieces, F.lit(RECUT_PIECES))
-        at = F.floor((position - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * pieces)
-        match = F.lit(True)
-        for i, key in enumerate(keys):
-            match = match & F.col(key).eqNullSafe(F.col(f"__k{i}"))
+        place = F.when(F.col("__instant"), places[1]).otherwise(places[0])
+        at = F.floor((place - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * pieces)
+        # A row without a place can only be one of NULL tiebreak, which comes last as well.
+        at = F.coalesce(at, pieces + 1)
         name = f"__slice{cut_round}"
         df = (
-            df.join(full, match, "left")
-            .withColumn(name, F.when(F.col("__n").isNull(), 0).otherwise(F.coalesce(at, pieces + 1)).cast("bigint"))
+            df.join(full, _same([*series, *slices]), "left")
+            .withColumn(name, F.when(F.col("__n").isNull(), 0).otherwise(at).cast("bigint"))
             .drop(*full.columns)
         )
         slices.append(name)
+        full = stage(_too_long(df, [*series, *slices], order, places, slice_rows * RECUT_FACTOR), "long-slices")
+        if full.isEmpty():
+            break
     return df, slices
 
 
+def _places(df: DataFrame, order: str, tiebreak: str | None) -> tuple[Column, Column]:
+    return tuple(F.lit(None).cast("double") if c is None else _position(df, c) for c in (order, tiebreak))
+
+
 def _position(df: DataFrame, name: str) -> Column:
     """A number that grows with the column, for cutting its range; NULL for other types."""
     kind, value = df.schema[name].dataType, F.col(name)
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(value).cast("double")
     if isinstance(kind, T.TimestampNTZType):
-        # From the parts, as a detour over the session zone is not monotone at clock changes.
+        if df.sparkSession.conf.get("spark.sql.session.timeZone") in ("UTC", "Etc/UTC", "GMT", "Z"):
+            return F.unix_micros(value.cast("timestamp")).cast("double")
+        # From the parts, as a detour over a zone with clock changes is not monotone.
         seconds = F.unix_date(value.cast("date")).cast("double") * 86_400 + F.hour(value) * 3_600 + F.minute(value) * 60
         return seconds * 1e6 + F.round(F.extract(F.lit("SECOND"), value).cast("double") * 1e6)
     if isinstance(kind, T.DateType):

@@ -106,7 +106,7 @@ def messy(spark):
     return spark.createDataFrame(rows, SCHEMA + ", id bigint").repartition(5)
 
 
-@pytest.mark.parametrize("slice_rows", [1, 20, 50, 100, 400])
+@pytest.mark.parametrize("slice_rows", [1, 50, 400])
 def test_sliced_series_equal_whole_series(spark, slice_rows):
     df = messy(spark)
     whole = forward_returns(df, tiebreak="id", slice_rows=None)
@@ -125,12 +125,28 @@ def test_sliced_series_for_other_order_types(spark, order_type):
 
 
 def test_slices_are_balanced_over_bursts(spark):
-    from barloom.operators.windows import _cut
+    from barloom.operators import windows
 
-    df = messy(spark).filter("Name = 'long'")
-    sliced, keys = _cut(df, ["Name", "Fullname"], "Date", "id", 100)
+    series = ["Name", "Fullname"]
+    df = messy(spark).filter("Name = 'long'").withColumn(windows.DATED, F.col("Date").isNull().cast("int"))
+    places = windows._places(df, "Date", "id")
+    full = windows._too_long(df, [*series, windows.DATED], "Date", places, 60)
+    sliced, keys = windows._cut(df, series, "Date", places, 60, full)
     assert sliced.count() == 1500
-    assert sliced.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 250
+    assert sliced.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 60 * windows.RECUT_FACTOR
+
+
+def test_sliced_series_in_a_zone_with_clock_changes(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(400).selectExpr(
+            "'n' as Name", "'f' as Fullname",
+            "timestamp_ntz'2024-03-09 22:00:00' + make_dt_interval(0, 0, int(id)) as Date", "double(id % 17 + 1) as Close", "id",
+        )
+        whole = forward_returns(df, tiebreak="id", slice_rows=None)
+        assert whole.exceptAll(forward_returns(df, tiebreak="id", slice_rows=30)).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
 def brute_matrix(rows):
