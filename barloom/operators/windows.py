@@ -53,7 +53,8 @@ def forward_returns(
 
     ``tiebreak`` must be unique within equal (series, order) values wherever these repeat.
     Finding series above ``slice_rows`` is one map-side-combined count over the key columns, run
-    when this function is called; ``slice_rows=None`` skips it.
+    when this function is called; ``slice_rows=None`` skips it. Long series are read several times,
+    so give stored bars.
     """
     series = list(series)
     features = _features(close, horizons, zero_div)

@@ -150,7 +150,7 @@ ORACLES: dict[str, str] = {
     "time_texts": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS record, strftime(ts, '%Y%m%d_%H%M%S') AS snapshot, "
     "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso FROM events",
     "row_uuid": "SELECT count(*) AS rows, count(*) AS ids, count(*) AS well_formed FROM events",
-    "watch_quotes": f"SELECT event_id, code, name FROM events JOIN {_watch(WATCHED)} ON code = user_id WHERE event_type = 'view'",
+    "watch_quotes": f"SELECT event_id, user_id AS code, name FROM events JOIN {_watch(WATCHED)} ON code = user_id WHERE event_type = 'view'",
     "refused_responses": "SELECT event_type, count(*) AS n FROM events WHERE event_type IS DISTINCT FROM 'view' GROUP BY 1",
     "quote_message": f"WITH last AS (SELECT user_id, {_HOUR} AS hour, arg_max(value, (ts, event_id)) AS price FROM events "
     f"GROUP BY 1, 2) SELECT hour, '📈 Stock Price Update:' || chr(10) || string_agg(printf('%s (%s): %d KRW', name, "
@@ -176,7 +176,7 @@ ORACLES: dict[str, str] = {
     "tolerant_csv": f"SELECT {_BULK} FROM lineitem",
     "tolerant_csv_rejects": "SELECT CASE WHEN l_linenumber % 3 < 2 THEN 'malformed' ELSE 'l_returnflag longer than 255' END "
     "AS _reason, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1",
-    "refresh_table": "SELECT l_orderkey, l_linenumber, l_quantity, l_shipdate AS \"Date\", l_returnflag FROM lineitem",
+    "refresh_table": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_shipdate AS \"Date\", l_returnflag FROM lineitem",
     "publish_gated": "SELECT * FROM customer",
     "snapshot_sink": "SELECT event_id, event_type, value, date_trunc('milliseconds', ts)::TIMESTAMP AS ts, "
     f"strftime({_BATCH}, '%Y%m%d_%H%M%S') AS run_ts FROM events",

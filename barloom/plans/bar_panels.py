@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
-from barloom.functions.scalars import first_number
 from barloom.operators import bars as ops
 from barloom.sources.sinks import write_dual
 
@@ -17,8 +16,8 @@ def _panel(
 ) -> DataFrame:
     """Bars of listed symbols in the range; the range and the list cut the ticks before any shuffle."""
     ticks = ops.ticks_in_range(ticks.withColumnRenamed(symbol, "symbol"), ts, start, end)
-    if isinstance(ticks.schema[price].dataType, T.StringType):
-        ticks = ticks.withColumn(price, first_number(price))
+    cells = [c for c in (price, volume) if isinstance(c, str) and isinstance(ticks.schema[c].dataType, T.StringType)]
+    ticks = ops.unwrap_prices(ticks, cells) if cells else ticks
     ticks = ops.listed_only(ticks, universe)
     return ops.in_range(ops.hourly_bars(ticks, "symbol", ts, price, volume, tiebreak), "hour", start, end)
 

@@ -32,6 +32,10 @@ def main() -> None:
         "barloom-bench", f"local[{cpus}]",
         spark__driver__memory="16g",
         spark__sql__shuffle__partitions=cpus,
+        # Small test files: let them and their shuffles spread over the cores.
+        spark__sql__files__maxPartitionBytes="4m",
+        spark__sql__files__openCostInBytes="64k",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="64k",
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")

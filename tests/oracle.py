@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import sys
 import time
 from pathlib import Path
@@ -23,12 +22,23 @@ def connect(sf_dir: str):
     return con
 
 
+SPARK_TYPE = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz", "BOOLEAN": "boolean", "DATE": "date",
+}
+
+
+def types_differ(con, sql: str, df) -> list[str]:
+    want = {r[0]: SPARK_TYPE.get(r[1], r[1]) for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [f"{n} {t} != {want.get(n)}" for n, t in df.dtypes if want.get(n) != t]
+
+
 def normal(rows, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
 
     def cell(v):
-        if isinstance(v, float) and v == v and not math.isinf(v):
-            return float(f"{v:.9g}") + 0.0
+        if isinstance(v, float):
+            return v + 0.0
         return v
 
     return sorted((tuple(cell(r[i]) for i in order) for r in rows), key=repr), sorted(columns)
@@ -44,6 +54,9 @@ def compare(spark, con, name: str, sf_dir: str) -> str:
     sql = oracle_sql().get(name)
     if sql is None:
         return f"rows-only {len(rows)} {took:.1f}s"
+    differ = types_differ(con, sql, df)
+    if differ:
+        return f"TYPES {differ}"
     cur = con.execute(sql)
     columns = [d[0] for d in cur.description]
     got, got_names = normal(rows, df.columns)

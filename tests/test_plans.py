@@ -52,10 +52,11 @@ def test_domestic_bars(spark, tmp_path):
 def test_foreign_bars_with_list_cells_and_unknown_names(spark):
     lists = [spark.createDataFrame([(s,) for s in symbols], "Symbol string") for symbols in (["AAPL", "005930"], ["AAPL", None], ["OTHER", None])]
     text = ticks(spark).withColumn("price", F.when(F.col("id") < 5, F.concat(F.lit("["), "price", F.lit("]"))).otherwise(F.col("price").cast("string")))
+    text = text.withColumn("volume", F.concat(F.lit("["), "volume", F.lit("]")))
     built, missing = bar_panels.foreign_bars(lists, text, universe(spark), "2024-11-01", "2024-11-02", tiebreak="id")
     assert built.columns == list(bars.FOREIGN_COLUMNS)
     assert {(r.Name, r.Fullname) for r in built.collect()} == {("AAPL", "Apple"), ("005930", "삼성전자"), ("OTHER", "N/A")}
-    assert {r.Close for r in built.filter("Name = '005930'").collect()} == {75.0, 71.0}
+    assert {(r.Close, r.Volume) for r in built.filter("Name = '005930'").collect()} == {(75.0, 16), (71.0, None)}
     assert [r.symbol for r in missing.collect()] == [None]
     assert bars.distinct_symbols(lists).count() == 4
 
