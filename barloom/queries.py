@@ -242,12 +242,10 @@ def foreign_bars(spark, sf_dir):
 
 @query
 def first_element(spark, sf_dir):
-    vectors = table(spark, sf_dir, "embeddings")
+    vectors = table(spark, sf_dir, "embeddings").withColumn("embedding", F.col("embedding").cast("array<double>"))
     listed = F.to_json("embedding")
     cell = F.when(F.col("label") % 2 == 0, listed).otherwise(fx.first_element("embedding").cast("string"))
-    both = vectors.select(
-        "vec_id", fx.first_element("embedding").cast("double").alias("first"), fx.first_number(cell).alias("number")
-    )
+    both = vectors.select("vec_id", fx.first_element("embedding").alias("first"), fx.first_number(cell).alias("number"))
     return rounded(both, ["first", "number"], 5)
 
 
