@@ -47,7 +47,7 @@ def _matched(df: DataFrame, rows: DataFrame, id_col: str, text_col: str, how: st
         F.struct("*").alias("_row"), F.col(f"`{id_col}`").alias("_own_id"), F.xxhash64(text_of(text_col)).alias("_own_key")
     )
     condition = F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_key") == F.col("_key"))
-    return packed.join(rows.select("_id", "_key"), condition, how).select("_row.*")
+    return packed.join(rows.select("_id", "_key").hint("merge"), condition, how).select("_row.*")
 
 
 def components(edges: DataFrame) -> DataFrame:

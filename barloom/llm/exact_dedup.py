@@ -183,7 +183,8 @@ def _decided(df: DataFrame, id_col: str, text: str, primes: tuple[int, ...], dig
     groups = light.groupBy(*GROUP).agg(F.min("_id").alias("keep_id"), F.count("*").alias("size"))
     open_groups = stage(groups.filter("size > 1"), "groups")
     single = light.join(open_groups.select(*GROUP), GROUP, "left_anti")
-    members = hashed.join(open_groups, GROUP)
+    # The texts always move by fingerprint: a broadcast while the groups are few would only hide the cost.
+    members = hashed.join(open_groups.hint("merge"), GROUP)
     done = None
     while True:
         checked = stage(_compared(members, id_type), "compared")
