@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 #: Characters cut into words at a time, words of a block, and distinct words remembered in a partition.
 PART_CHARS = 1 << 18
-BLOCK_WORDS = 6_000_000
-MEMO_WORDS = 400_000
+BLOCK_WORDS = 1_200_000
+MEMO_WORDS = 250_000
 #: Between a visible character and white space no word of the pattern goes on, so texts may be cut there.
 SEAM = re.compile(r"(?<=[^\s])[ \n]")
 NONE = -1
@@ -44,7 +44,7 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.first = np.array([ranks.get(bytes([b]), NONE) for b in range(256)], dtype=np.int64)
+        self.first = np.array([ranks.get(bytes([b]), NONE) for b in range(256)], dtype=np.int32)
         self.pairs: dict[int, int] = {}
         self.hasty = self._hasty()
 
@@ -89,8 +89,8 @@ class MergeReplay:
         token = self.first[np.frombuffer(b"".join(words), dtype=np.uint8)]
         if (token < 0).any():
             raise ValueError("the vocabulary lacks single bytes")
-        word_of = np.repeat(np.arange(len(words)), lengths)
-        places = np.arange(len(token))
+        word_of = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+        places = np.arange(len(token), dtype=np.int32)
         before, after = places - 1, places + 1
         before[np.concatenate([[0], ends[:-1]])[lengths > 0]] = NONE
         after[ends[lengths > 0] - 1] = NONE
@@ -132,13 +132,13 @@ class MergeReplay:
 
     def _ranks_from(self, places: np.ndarray, token: np.ndarray, after: np.ndarray) -> np.ndarray:
         """The rank of the pair that starts at each place."""
-        out = np.full(len(places), NONE, dtype=np.int64)
+        out = np.full(len(places), NONE, dtype=np.int32)
         paired = np.nonzero(after[places] != NONE)[0]
         starts = places[paired]
-        keys = token[starts] << 32 | token[after[starts]]
+        keys = token[starts].astype(np.int64) << 32 | token[after[starts]]
         if len(keys) > 64:
             keys, kind = np.unique(keys, return_inverse=True)
-            out[paired] = np.array([self.rank(k) for k in keys.tolist()], dtype=np.int64)[kind]
+            out[paired] = np.array([self.rank(k) for k in keys.tolist()], dtype=np.int32)[kind]
         else:
             out[paired] = [self.rank(k) for k in keys.tolist()]
         return out
