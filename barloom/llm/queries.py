@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
-    bpe, chat, decontaminate, exact_dedup, language_id, license_scan, quality, simhash_dedup, token_counts,
+    bpe, chat, decontaminate, exact_dedup, language_id, license_scan, quality, simhash_dedup, suffix_dedup, token_counts,
 )
 from barloom.session import scratch_path, stage
 
@@ -35,6 +35,33 @@ def op1_decontamination(spark, sf_dir):
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_suffix_dedup"] = """
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), windows AS (
+    SELECT r, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM d, unnest(range(1, len(w) - 48)) AS t(i)
+), shared AS (
+    SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h HAVING count(*) > 1
+), hits AS (
+    SELECT r, doc_id, i, first_id,
+           CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 50 THEN 0 ELSE 1 END AS opens
+    FROM windows JOIN shared USING (h)
+), spans AS (
+    SELECT *, sum(opens) OVER (PARTITION BY r ORDER BY i) AS span FROM hits
+)
+SELECT doc_id, CAST(min(i) - 1 AS INTEGER) AS start_word, CAST(max(i) + 49 AS INTEGER) AS stop_word,
+       CAST(max(i) + 50 - min(i) AS INTEGER) AS n_words, min(first_id) AS first_id
+FROM spans GROUP BY r, span, doc_id
+"""
+
+
 @query
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.copy_report(table(spark, sf_dir, "documents"))
