@@ -28,8 +28,9 @@ BASES = (1103515245, 1664525)
 #: Bytes hashed at a time, and bytes from which a text is hashed by several tasks.
 CHUNK = 1 << 16
 HUGE = 1 << 22
-#: Bytes of texts compared with one copy of their group's first text.
-SALT_BYTES = 1 << 25
+#: Bytes of texts compared with one copy of their group's first text; at least this many texts.
+SHARE_BYTES = 1 << 19
+SHARE_TEXTS = 16
 
 WHITE = bytes.maketrans(b"\t\n\v\f\r", b"     ")
 
@@ -139,8 +140,8 @@ def _compared(members: DataFrame, id_type: str) -> DataFrame:
     Rows of a group, or of one of a large group's shares, arrive together and its first row leads; one
     text is held at a time. Each share has a copy of the leading rows, marked ``guide``.
     """
-    shares = F.ceil(F.col("size") * F.col("n_bytes") / F.lit(SALT_BYTES)).cast("int")
-    shares = F.greatest(shares, F.ceil(F.col("size") / F.lit(100_000)).cast("int"), F.lit(1))
+    per_share = F.least(F.greatest(F.lit(SHARE_BYTES) / (F.col("n_bytes") + 64), F.lit(SHARE_TEXTS)), F.lit(1_000))
+    shares = F.ceil(F.col("size") / per_share).cast("int")
     leads = F.col("_id").eqNullSafe(F.col("keep_id"))
     own = F.when(leads, F.sequence(F.lit(0), shares - 1)).otherwise(F.array(F.pmod(F.xxhash64("_id", "_key"), shares).cast("int")))
     dealt = members.withColumn("leads", leads).withColumn("share", F.explode(own))
