@@ -14,7 +14,7 @@ import base64
 import heapq
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import count, islice
 
 import numpy as np
@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 #: Characters cut into words at a time, words of a block, and distinct words remembered in a partition.
 PART_CHARS = 1 << 18
-BLOCK_WORDS = 1_200_000
-MEMO_WORDS = 250_000
+BLOCK_WORDS = 600_000
+MEMO_WORDS = 120_000
+#: Texts that go back to Spark at a time.
+OUT_TEXTS = 256
 #: Between a visible character and white space no word of the pattern goes on, so texts may be cut there.
 SEAM = re.compile(r"(?<=[^\s])[ \n]")
 NONE = -1
@@ -213,14 +215,20 @@ class TextEncoder:
             self._forget()
 
 
+def _decoder(ranks: dict[bytes, int]) -> Callable[[bytes], bytes]:
+    look_up = {rank: token for token, rank in ranks.items()}.__getitem__
+    return lambda ids: b"".join(map(look_up, unpack(ids).tolist()))
+
+
 def encode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
     """Packed ids of each text. NULL and empty texts: no ids. Special tokens are ordinary text."""
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = TextEncoder(ranks, pattern)
-        for texts in batches:
-            yield pa.array(encoder.encode(t.as_py() or "" for t in texts), type=pa.binary())
+        ids = encoder.encode(t.as_py() or "" for texts in batches for t in texts)
+        while part := list(islice(ids, OUT_TEXTS)):
+            yield pa.array(part, type=pa.binary())
 
     return run(text)
 
@@ -230,13 +238,28 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
 
     @F.arrow_udf("binary")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        bytes_of = {rank: token for token, rank in ranks.items()}
-        look_up = bytes_of.__getitem__
+        decoded = _decoder(ranks)
         for packed in batches:
-            yield pa.array((b"".join(map(look_up, unpack(p.as_py() or b"").tolist())) for p in packed), type=pa.binary())
+            yield pa.array((decoded(p.as_py() or b"") for p in packed), type=pa.binary())
 
     return run(ids)
 
 
+BOTH = pa.struct([("ids", pa.binary()), ("decoded", pa.binary())])
+
+
+def encode_and_decode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
+    """``ids`` as by ``encode`` and ``decoded`` as by ``decode`` of them, in one Python worker."""
+
+    @F.arrow_udf("struct<ids: binary, decoded: binary>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder, decoded = TextEncoder(ranks, pattern), _decoder(ranks)
+        ids = encoder.encode(t.as_py() or "" for texts in batches for t in texts)
+        while part := list(islice(ids, OUT_TEXTS)):
+            yield pa.array([{"ids": p, "decoded": decoded(p)} for p in part], type=BOTH)
+
+    return run(text)
+
+
 def unpack(ids: bytes) -> np.ndarray:
     return np.frombuffer(ids, dtype="<u4")

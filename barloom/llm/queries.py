@@ -78,11 +78,10 @@ FROM n
 @query
 def op6_byte_bpe(spark, sf_dir):
     ranks = bpe.read_ranks(public_tokenizers.path(MULTI_RANKS))
-    encoded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("ids"))
-    decoded = encoded.withColumn("decoded", bpe.decode(F.col("ids"), ranks))
-    return decoded.select(
-        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    both = bpe.encode_and_decode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("b")
+    return table(spark, sf_dir, "documents").select("doc_id", both).select(
+        "doc_id", (F.octet_length("b.ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("b.ids", 256).alias("ids_sha256"), F.sha2("b.decoded", 256).alias("decoded_sha256"),
     )
 
 
