@@ -37,10 +37,11 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed token ids of each document, and whether they decode to its text."""
     ranks = bpe.read_ranks(public_tokenizers.path(RANKS))
-    encoded = docs.withColumn("token_ids", bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN))
-    same = bpe.decode(F.col("token_ids"), ranks) == F.coalesce("text", F.lit("")).cast("binary")
-    return encoded.select(
-        "doc_id", "lang", "source", (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"), same.alias("round_trip"), "token_ids"
+    both = bpe.encode_and_decode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("b")
+    same = F.col("b.decoded") == F.coalesce("text", F.lit("")).cast("binary")
+    return docs.select("doc_id", "lang", "source", "text", both).select(
+        "doc_id", "lang", "source", (F.octet_length("b.ids") / 4).cast("long").alias("n_tokens"),
+        same.alias("round_trip"), F.col("b.ids").alias("token_ids"),
     )
 
 
