@@ -152,13 +152,13 @@ class Benchmark:
         return out
 
     def _near(self, words: list[str], length: int, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        index = self.index[length]
+        index, size = self.index[length], min(self.shingle, length)
         for run in np.split(starts, np.nonzero(np.diff(starts) > length)[0] + 1):
             for block in np.array_split(run, len(run) // 4096 + 1):
                 local = words[block[0]:block[-1] + length]
-                signs = sign_bits(shingles_of(local, self.shingle))
+                signs = sign_bits(shingles_of(local, size))
                 total = np.concatenate([np.zeros((1, 64), dtype=np.int32), np.cumsum(signs, axis=0, dtype=np.int32)])
-                width = max(1, min(length, len(local)) - self.shingle + 1)
+                width = max(1, min(length, len(local)) - size + 1)
                 at = block - block[0]
                 for start, fingerprint in zip(block.tolist(), pack(total[np.minimum(at + width, len(signs))] - total[at])):
                     for item, distance in index.near(fingerprint):
