@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,9 +52,9 @@ def _quoted(text: str) -> str:
 
 def _kind(name: str, null_texts: Sequence[str]) -> str:
     cell = "`" + name.replace("`", "``") + "`"
-    blanks = ", ".join(_quoted(t) for t in null_texts)
+    blanks = _listed(null_texts)
     # The patterns come first: a cast that fails costs far more than a pattern that does not match.
-    signed = f"if(try_cast({cell} AS BIGINT) < 0, {_NEGATIVE}, nvl2(try_cast({cell} AS BIGINT), {_POSITIVE}, NULL))"
+    signed = f"CASE WHEN try_cast({cell} AS BIGINT) < 0 THEN {_NEGATIVE} WHEN try_cast({cell} AS BIGINT) >= 0 THEN {_POSITIVE} END"
     return f"""CASE
         WHEN {cell} IS NULL OR {cell} IN ({blanks}) THEN {_BLANK}
         WHEN {cell} RLIKE r'{INTEGER_PATTERN}' THEN coalesce(
@@ -75,7 +75,34 @@ def _verdict(kinds: str, name: str) -> str:
         ELSE '{other}' END"""
 
 
-def inferred_struct(inferred: DataFrame) -> T.StructType:
-    """Spark schema of an inference result; reads one row per column."""
+def _listed(texts: Sequence[str]) -> str:
+    return ", ".join(_quoted(t) for t in texts)
+
+
+def typed_cell(name: str, kind: T.DataType, null_texts: Sequence[str] = NULL_TEXTS) -> tuple[Column, Column]:
+    """The value of a text cell under a type, and whether the cell does not fit it.
+
+    The rule of the inference: blanks around a value do not count, the null texts are no value, numbers
+    are what its patterns call so. Text stays as it is, so a symbol may well be called NA.
+    """
+    if isinstance(kind, T.StringType):
+        return F.col(f"`{name}`"), F.lit(False)
+    cell = "trim(`" + name.replace("`", "``") + "`)"
+    blank = f"({cell} IS NULL OR {cell} IN ({_listed(null_texts)}))"
+    value = f"try_cast({cell} AS {kind.simpleString()})"
+    if isinstance(kind, T.IntegralType):
+        value = f"CASE WHEN {cell} RLIKE r'{INTEGER_PATTERN}' THEN {value} END"
+    elif isinstance(kind, T.FractionalType):
+        value = f"CASE WHEN {cell} RLIKE r'{FLOAT_PATTERN}' OR {cell} RLIKE r'{INFINITY_PATTERN}' THEN {value} END"
+    typed = F.expr(f"CASE WHEN NOT {blank} THEN {value} END")
+    return typed, F.expr(f"NOT {blank}") & typed.isNull()
+
+
+def inferred_struct(inferred: DataFrame, text_columns: Sequence[str] = ()) -> T.StructType:
+    """Spark schema of an inference result; reads one row per column. ``text_columns``, by name in any
+    case, are text whatever they hold."""
     rows = inferred.orderBy("position").collect()
-    return T.StructType([T.StructField(r["column"], TYPES[r["type"]]) for r in rows])
+    text = {name.lower() for name in text_columns}
+    return T.StructType(
+        [T.StructField(r["column"], T.StringType() if r["column"].lower() in text else TYPES[r["type"]]) for r in rows]
+    )

@@ -8,9 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from barloom.operators.inference import infer_types, inferred_struct
+from barloom.operators.quality import GateFailed
+from barloom.session import staged
 from barloom.sources.files import read_text_csv
 from barloom.sources.tables import publish
-from barloom.sources.tolerant import good_rows, parse_tolerant_csv, rejects
+from barloom.sources.tolerant import good_rows, mark_tolerant_csv, rejects
+
+#: Columns that hold symbols and names, in any case: text, so ``005930`` keeps its zeros.
+TEXT_COLUMNS = ("Ticker", "Symbol", "Name", "Fullname", "Code")
 
 
 def refresh_table(
@@ -20,13 +25,20 @@ def refresh_table(
     schema: T.StructType | None = None,
     gates: Sequence[Callable[[DataFrame], None]] = (),
     multi_line: bool = False,
+    text_columns: Sequence[str] = TEXT_COLUMNS,
+    max_reject_share: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Replace ``table`` by the good rows of the CSV; returns it and the ``<table>_rejects`` table.
 
-    A refused gate leaves both tables as they were.
+    Without a ``schema`` the types are inferred, but ``text_columns`` are text. Rows of which none is
+    good, or more than ``max_reject_share`` are not, are refused. A refusal leaves both tables as they
+    were. The parsed rows are an intermediate of this call and removed at its end.
     """
     if schema is None:
-        schema = inferred_struct(infer_types(read_text_csv(spark, csv_path, multi_line)))
-    parsed = parse_tolerant_csv(spark, csv_path, schema, multi_line=multi_line)
-    loaded = publish(good_rows(parsed), table, gates)
-    return loaded, publish(rejects(parsed), f"{table}_rejects")
+        schema = inferred_struct(infer_types(read_text_csv(spark, csv_path, multi_line)), text_columns)
+    with staged(mark_tolerant_csv(spark, csv_path, schema, multi_line=multi_line), "parsed") as parsed:
+        total, bad = parsed.count(), rejects(parsed).count()
+        if bad and (bad == total or max_reject_share is not None and bad > max_reject_share * total):
+            raise GateFailed(f"{bad} of {total} rows of {csv_path} are rejects")
+        loaded = publish(good_rows(parsed), table, gates)
+        return loaded, publish(rejects(parsed), f"{table}_rejects")

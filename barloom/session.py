@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,7 +63,20 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     Used where several passes follow: the passes share one computation, see pruned columns and
     footer statistics, and a lost executor costs a re-read instead of a re-run.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return _stored(df, scratch_path(df.sparkSession, label))
+
+
+@contextmanager
+def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
+    """``stage`` for an intermediate with an owner: its folder goes when the block ends."""
+    path = scratch_path(df.sparkSession, label)
+    try:
+        yield _stored(df, path)
+    finally:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

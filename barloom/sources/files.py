@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.sources.tables import append, publish
+
 UNIVERSE_SCHEMA = "symbol string, fullname string"
 
-# Source format and write disposition names of the loader, with their Spark names.
+# Source format names of the loader with their Spark names, and write dispositions.
 SOURCE_FORMATS = {"CSV": "csv", "NEWLINE_DELIMITED_JSON": "json", "AVRO": "avro", "PARQUET": "parquet"}
-WRITE_MODES = {"WRITE_APPEND": "append", "WRITE_TRUNCATE": "overwrite"}
+WRITE_MODES = {"WRITE_APPEND": append, "WRITE_TRUNCATE": publish}
 
 # Declared field types.
 FIELD_TYPES = {
@@ -83,7 +85,8 @@ def read_files(
     """Files of one of ``SOURCE_FORMATS`` (a path, a glob or several), failing on malformed records.
 
     ``strict_fields`` also fails on JSON records that carry undeclared fields. ``quoted_newlines``
-    allows line breaks inside quoted CSV values, at the price of one task per file.
+    allows line breaks inside quoted CSV values, at the price of one task per file. The frame is lazy:
+    columns that an action does not read are not checked by it. ``load_files`` writes all columns.
     """
     if source_format not in SOURCE_FORMATS:
         raise ValueError(f"no Spark reader for {source_format}")
@@ -129,12 +132,13 @@ def load_files(
     """Load files into a table in one pass and return the table.
 
     A malformed record or a NULL in a REQUIRED field fails the job before anything is committed.
+    WRITE_TRUNCATE publishes a new version, so a failed load leaves the old rows; WRITE_APPEND adds
+    to a plain table or to a published table's current version.
     """
     if write_disposition not in WRITE_MODES:
         raise ValueError(f"unknown write disposition {write_disposition}")
     df = read_files(spark, source, fields, source_format, quoted_newlines, header, strict_fields)
-    df.write.mode(WRITE_MODES[write_disposition]).saveAsTable(table)
-    return spark.table(table)
+    return WRITE_MODES[write_disposition](df, table)
 
 
 def to_records(df: DataFrame, name: str = "record") -> DataFrame:

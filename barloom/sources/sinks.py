@@ -23,8 +23,12 @@ def write_dual(df: DataFrame, parquet_path: str, csv_path: str) -> None:
 
 def write_snapshot(df: DataFrame, path: str, taken_at: Column | str | None = None) -> None:
     """Add the rows as JSON under a ``run_ts=YYYYmmdd_HHMMSS`` folder; earlier runs stay untouched."""
-    stamped = df.withColumn("run_ts", snapshot_time(taken_at))
-    stamped.hint("rebalance", "run_ts").write.mode("append").partitionBy("run_ts").json(path)
+    write_stamped(df.withColumn("run_ts", snapshot_time(taken_at)), path)
+
+
+def write_stamped(df: DataFrame, path: str) -> None:
+    """Add the rows as JSON under the folder of their ``run_ts``."""
+    df.hint("rebalance", "run_ts").write.mode("append").partitionBy("run_ts").json(path)
 
 
 def write_by_hour(df: DataFrame, path: str, ts: Column | str) -> None:

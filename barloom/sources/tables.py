@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Mapping, Sequence
 
@@ -26,8 +27,8 @@ def publish(df: DataFrame, table: str, gates: Sequence[Callable[[DataFrame], Non
     """
     spark = df.sparkSession
     version = f"{table}__v{time.time_ns():020d}"
-    df.write.mode("errorifexists").saveAsTable(version)
     try:
+        df.write.mode("errorifexists").saveAsTable(version)
         for gate in gates:
             gate(spark.table(version))
     except Exception:
@@ -36,17 +37,36 @@ def publish(df: DataFrame, table: str, gates: Sequence[Callable[[DataFrame], Non
     if _is_plain_table(spark, table):
         spark.sql(f"ALTER TABLE {table} RENAME TO {table}__v{0:020d}")
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {version}")
-    for old in versions(spark, table)[: -(keep + 1)]:
+    for old in [v for v in versions(spark, table) if v != version][: -keep or None]:
         spark.sql(f"DROP TABLE IF EXISTS {old}")
     return spark.table(table)
 
 
+def append(df: DataFrame, table: str) -> DataFrame:
+    """Add rows to a plain table or to the current version of a published one; create it if it is new."""
+    spark = df.sparkSession
+    target = table if not spark.catalog.tableExists(table) or _is_plain_table(spark, table) else current_version(spark, table)
+    df.write.mode("append").saveAsTable(target)
+    return spark.table(table)
+
+
+def current_version(spark: SparkSession, table: str) -> str:
+    """The stored version that a published table's view reads."""
+    lines = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'View Text'").collect()
+    read = lines[0]["data_type"].rpartition(" ")[2] if lines else ""
+    if read not in versions(spark, table):
+        raise ValueError(f"{table} is a view, but not of a version of its own")
+    return read
+
+
 def versions(spark: SparkSession, table: str) -> list[str]:
     """Stored versions of a published table, oldest first."""
     database, _, name = table.rpartition(".")
     where = f" IN {database}" if database else ""
     rows = spark.sql(f"SHOW TABLES{where} LIKE '{name}__v*'").collect()
-    return sorted(f"{database}.{r.tableName}" if database else r.tableName for r in rows)
+    # The pattern also lets through tables that are only called alike, and their versions.
+    own = re.compile(re.escape(name) + r"__v[0-9]{20}", re.IGNORECASE)
+    return sorted(f"{database}.{r.tableName}" if database else r.tableName for r in rows if own.fullmatch(r.tableName))
 
 
 def _is_plain_table(spark: SparkSession, table: str) -> bool:

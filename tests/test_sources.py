@@ -47,6 +47,8 @@ def test_inferred_type(spark, name, cells, want):
 def test_inferred_struct_follows_the_columns(spark):
     df = spark.createDataFrame([("005930", "1.5", "2024-01-01")], "Ticker string, Close string, Date string")
     assert inferred_struct(infer_types(df)).simpleString() == "struct<Ticker:bigint,Close:double,Date:timestamp_ntz>"
+    text = inferred_struct(infer_types(df), ["ticker"])
+    assert text.simpleString() == "struct<Ticker:string,Close:double,Date:timestamp_ntz>"
 
 
 # --- readers -----------------------------------------------------------------------------------
@@ -154,6 +156,43 @@ def test_refresh_table(spark, tmp_path, bad_csv, database):
     assert spark.table(table).count() == 1 and spark.table(f"{table}_rejects").count() == 1
 
 
+def test_what_is_inferred_loads(spark, tmp_path, database):
+    lines = ["Ticker,a,b,c", '005930, 1,1.5,"x "', "000660,2 ,N/A,NA", "000001,3,inf,1.0f"]
+    loaded, bad = refresh_table(spark, put(tmp_path / "a", "a.csv", "\n".join(lines) + "\n"), f"{database}.t")
+    assert loaded.schema.simpleString() == "struct<Ticker:string,a:bigint,b:double,c:string>" and bad.count() == 0
+    assert sorted(tuple(r) for r in loaded.collect()) == [
+        ("000001", 3, float("inf"), "1.0f"), ("000660", 2, None, "NA"), ("005930", 1, 1.5, "x "),
+    ]
+    given = T.StructType([T.StructField("c", T.DoubleType())])
+    parsed = tolerant.parse_tolerant_csv(spark, put(tmp_path / "b", "b.csv", "c\n1.0f\n 2 \nnan\n"), given)
+    assert [r.c for r in tolerant.good_rows(parsed).collect()] == [2.0, None] and tolerant.rejects(parsed).count() == 1
+
+
+def test_refresh_without_a_good_row_is_refused(spark, tmp_path, database):
+    table, schema = f"{database}.t", T.StructType([T.StructField("n", T.LongType())])
+    refresh_table(spark, put(tmp_path / "a", "a.csv", "n\n1\n"), table, schema)
+    with pytest.raises(GateFailed, match="2 of 2"):
+        refresh_table(spark, put(tmp_path / "b", "b.csv", "n\nx\ny\n"), table, schema)
+    half = put(tmp_path / "c", "c.csv", "n\n7\ny\n")
+    with pytest.raises(GateFailed):
+        refresh_table(spark, half, table, schema, max_reject_share=0.2)
+    assert [r.n for r in spark.table(table).collect()] == [1]
+    assert refresh_table(spark, half, table, schema, max_reject_share=0.5)[1].count() == 1
+
+
+def test_refresh_leaves_no_intermediates(spark, tmp_path, database):
+    from pathlib import Path
+
+    from barloom.session import scratch_root
+
+    folder = Path(scratch_root(spark).removeprefix("file:"))
+    before = set(folder.glob("parsed-*"))
+    refresh_table(spark, put(tmp_path / "a", "a.csv", "n,m\n1,2\n"), f"{database}.t")
+    with pytest.raises(GateFailed):
+        refresh_table(spark, put(tmp_path / "b", "b.csv", "n,m\n1\n"), f"{database}.t")
+    assert set(folder.glob("parsed-*")) == before
+
+
 # --- tables and gates --------------------------------------------------------------------------
 
 
@@ -182,6 +221,27 @@ def test_publish_replaces_schema_and_prunes_versions(spark, database):
     assert len(tables.versions(spark, table)) == 2
 
 
+def test_failed_truncate_keeps_the_old_rows(spark, tmp_path, database):
+    table = f"{database}.t"
+    good, bad = put(tmp_path / "a", "a.json", '{"id": "a", "x": 1}\n'), put(tmp_path / "b", "b.json", '{"id": "b"}\n{"x": 1}\n')
+    files.load_files(spark, good, table, FIELDS, "NEWLINE_DELIMITED_JSON", "WRITE_TRUNCATE")
+    for _ in range(2):
+        with pytest.raises(Exception, match="REQUIRED field id"):
+            files.load_files(spark, bad, table, FIELDS, "NEWLINE_DELIMITED_JSON", "WRITE_TRUNCATE")
+    assert [r.id for r in spark.table(table).collect()] == ["a"]
+    assert files.load_files(spark, good, table, FIELDS, "NEWLINE_DELIMITED_JSON", "WRITE_APPEND").count() == 2
+    assert len(tables.versions(spark, table)) == 1
+
+
+def test_names_that_look_like_versions_are_left_alone(spark, database):
+    for name in ("x__vx", "x__vx", "x", "x", "x", "x__v1"):
+        tables.publish(spark.range(len(name)), f"{database}.{name}")
+    tables.publish(spark.range(9), f"{database}.x")
+    assert spark.table(f"{database}.x__vx").count() == 5 and spark.table(f"{database}.x__v1").count() == 5
+    assert spark.table(f"{database}.x").count() == 9
+    assert len(tables.versions(spark, f"{database}.x")) == 2
+
+
 def test_publish_takes_over_a_plain_table(spark, database):
     table = f"{database}.t"
     spark.range(9).write.saveAsTable(table)
@@ -257,7 +317,15 @@ def test_increment_takes_each_file_once(spark, tmp_path):
     assert land_increment(spark, source, "id bigint", sink, checkpoint) == 25 and count() == 25
     assert land_increment(spark, source, "id bigint", sink, checkpoint) == 0 and count() == 25
     spark.range(3).write.mode("append").json(source)
-    assert land_increment(spark, source, "id bigint", sink, checkpoint, files_per_batch=1) == 3 and count() == 28
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", None)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        spark.range(9).repartition(9).write.mode("append").json(source)
+        assert land_increment(spark, source, "id bigint", sink, checkpoint, files_per_batch=1) == 12 and count() == 37
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates") if kept is None else spark.conf.set(
+            "spark.sql.streaming.numRecentProgressUpdates", kept
+        )
 
 
 @pytest.mark.parametrize("parts", [(), ("day",)])
