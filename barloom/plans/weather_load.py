@@ -15,6 +15,8 @@ from barloom.streaming.landing import land_increment
 
 
 INGEST_DATE = "ingest_date"
+#: The ingest time and all readings: everything but the random id.
+NATURAL_KEY = tuple(field["name"] for field in WEATHER_FIELDS if field["name"] != "uuid")
 
 
 def land_weather(responses: DataFrame, ingested_at: Column | str, landing: str) -> None:
@@ -28,12 +30,12 @@ def load_weather(
     landing: str,
     table_path: str,
     checkpoint: str,
-    unique_by: Sequence[str] = ("resp_ingested_timestamp",),
+    unique_by: Sequence[str] = NATURAL_KEY,
 ) -> int:
     """Append new records of the landing folder to the table folder; returns rows read.
 
     A record that a re-run landed again, under a new file name and id, is recognised by its
-    natural key and not appended twice. The table is stored by ingest date, so only the dates of
+    natural key, by default its time and all its readings, and not appended twice. The table is stored by ingest date, so only the dates of
     the new files are compared.
     """
     schema = struct_of(WEATHER_FIELDS)

@@ -2,15 +2,39 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-#: Partitions of one batch that are looked up by literal values; more are matched by a full scan.
-MAX_PRUNED = 10_000
+
+class _RowCount(StreamingQueryListener):
+    """Rows of every batch of one run, however many batches there are."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.rows[run] = self.rows.get(run, 0) + event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.runId)].set()
+
+    def of(self, run: str) -> int:
+        # Events follow the query; its last one comes after all progress.
+        if not self.ended[run].wait(300):
+            raise TimeoutError("the end of the query was not reported")
+        return self.rows.get(run, 0)
 
 
 def land_increment(
@@ -40,14 +64,22 @@ def land_increment(
     if prepare:
         rows = prepare(rows)
     stream = rows.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    counter = _RowCount()
+    spark.streams.addListener(counter)
+    try:
+        query = _started(stream, rows, sink, unique_by, partition_by)
+        query.awaitTermination()
+        return counter.of(str(query.runId))
+    finally:
+        spark.streams.removeListener(counter)
+
+
+def _started(stream, rows: DataFrame, sink: str, unique_by: Sequence[str] | None, partition_by: Sequence[str]):
     if unique_by:
-        query = stream.foreachBatch(_append_new(sink, rows.schema, list(unique_by), list(partition_by))).start()
-    else:
-        if partition_by:
-            stream = stream.partitionBy(*partition_by)
-        query = stream.format("parquet").start(sink)
-    query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+        return stream.foreachBatch(_append_new(sink, rows.schema, list(unique_by), list(partition_by))).start()
+    if partition_by:
+        stream = stream.partitionBy(*partition_by)
+    return stream.format("parquet").start(sink)
 
 
 def _append_new(sink: str, schema: T.StructType, keys: list[str], parts: list[str]):
@@ -80,9 +112,11 @@ def _existing(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame
 
 
 def _touched(known: DataFrame, batch: DataFrame, parts: list[str]) -> DataFrame:
-    if len(parts) != 1:
-        return known
-    values = [r[0] for r in batch.select(*parts).distinct().limit(MAX_PRUNED + 1).collect()]
-    if len(values) > MAX_PRUNED or None in values:
+    """Rows of the sink partitions that the batch touches; the join prunes the scan where it can."""
+    if not parts:
         return known
-    return known.filter(F.col(parts[0]).isin(values))
+    touched = batch.select(*[F.col(p).alias(f"__{p}") for p in parts]).distinct()
+    same = F.lit(True)
+    for part in parts:
+        same = same & F.col(part).eqNullSafe(F.col(f"__{part}"))
+    return known.join(touched, same, "left_semi")
