@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Timestamp text formats of landed records and snapshots.
-RECORD_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
-SNAPSHOT_TIME_FORMAT = "yyyyMMdd_HHmmss"
-ISO_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# Timestamp texts of landed records and snapshots.
+RECORD_TIME_PATTERN = "%04d-%02d-%02d %02d:%02d:%02d"
+SNAPSHOT_TIME_PATTERN = "%04d%02d%02d_%02d%02d%02d"
+ISO_TIME_PATTERN = "%04d-%02d-%02dT%02d:%02d:%02d.%06d"
 
 # Fixed value: the text that stands for an unknown full name.
 UNKNOWN_NAME = "N/A"
@@ -59,23 +59,33 @@ def record_id() -> Column:
     return F.uuid()
 
 
+def _time_text(ts: Column | str | None, pattern: str, micros: bool = False) -> Column:
+    """A time's parts under a printf pattern. Parts of a zone-less time do not pass through a zone."""
+    ts = F.current_timestamp() if ts is None else column(ts)
+    second = F.extract(F.lit("SECOND"), ts)
+    parts = [F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.floor(second).cast("int")]
+    if micros:
+        parts.append(((second % 1) * 1_000_000).cast("int"))
+    return F.when(ts.isNotNull(), F.format_string(pattern, *parts))
+
+
 def record_time(ts: Column | str | None = None) -> Column:
-    return F.date_format(F.current_timestamp() if ts is None else column(ts), RECORD_TIME_FORMAT)
+    return _time_text(ts, RECORD_TIME_PATTERN)
 
 
 def iso_time(ts: Column | str | None = None) -> Column:
-    return F.date_format(F.current_timestamp() if ts is None else column(ts), ISO_TIME_FORMAT)
+    return _time_text(ts, ISO_TIME_PATTERN, micros=True)
 
 
 def snapshot_time(ts: Column | str | None = None) -> Column:
-    return F.date_format(F.current_timestamp() if ts is None else column(ts), SNAPSHOT_TIME_FORMAT)
+    return _time_text(ts, SNAPSHOT_TIME_PATTERN)
 
 
 def hour_parts(ts: Column | str) -> list[Column]:
     """Zero-padded ``year, month, day, hour`` text columns of a timestamp."""
     ts = column(ts)
-    formats = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
-    return [F.date_format(ts, pattern).alias(name) for name, pattern in formats.items()]
+    parts = {"year": (F.year, 4), "month": (F.month, 2), "day": (F.dayofmonth, 2), "hour": (F.hour, 2)}
+    return [F.lpad(part(ts).cast("string"), width, "0").alias(name) for name, (part, width) in parts.items()]
 
 
 def hour_floor(ts: Column | str) -> Column:
@@ -84,6 +94,13 @@ def hour_floor(ts: Column | str) -> Column:
     return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts))
 
 
+def local_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970 of a time as its clock shows it, whatever the session zone."""
+    ts = column(ts)
+    seconds = F.unix_date(ts.cast("date")).cast("bigint") * 86_400 + F.hour(ts) * 3_600 + F.minute(ts) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
+
+
 def exclusive_end(today: Column | dt.date | str | None = None) -> Column:
     """The day after ``today`` as ``yyyy-MM-dd`` text: the open end of an up-to-now range."""
     if today is None:

@@ -8,8 +8,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from barloom.functions.scalars import column, first_number, hour_floor, name_or_default
+from barloom.functions.scalars import column, first_number, hour_floor, local_micros, name_or_default
 
 # Column order of the two bar layouts, and the price columns.
 DOMESTIC_COLUMNS = ("Ticker", "Fullname", "Datetime", "Close", "High", "Low", "Open", "Volume")
@@ -25,7 +26,7 @@ def hourly_bars(
     Every aggregate is combined before the shuffle, so an hour that holds a large share of all
     ticks sends one row per task. First and last follow (ts, tiebreak).
     """
-    at = F.struct(ts, tiebreak) if tiebreak else F.col(ts)
+    at = _moment(ticks, ts, tiebreak) if tiebreak else F.col(ts)
     size = F.count(F.lit(1)) if volume is None else F.sum(column(volume))
     return ticks.groupBy(F.col(symbol).alias("symbol"), hour_floor(ts).alias("hour")).agg(
         F.min_by(price, at).alias("Open"),
@@ -36,6 +37,19 @@ def hourly_bars(
     )
 
 
+def _moment(ticks: DataFrame, ts: str, tiebreak: str) -> Column:
+    """(ts, tiebreak) as one value to order by. A whole-number tiebreak is packed with a zone-less time
+    into a decimal, which hash aggregation can hold; a struct would sort all ticks first. NULLs are least."""
+    kinds = ticks.schema[ts].dataType, ticks.schema[tiebreak].dataType
+    if not (isinstance(kinds[0], T.TimestampNTZType) and isinstance(kinds[1], T.IntegralType)):
+        return F.struct(ts, tiebreak)
+    whole = "decimal(38,0)"
+    time = F.coalesce(local_micros(ts), F.lit(-(1 << 58))).cast("decimal(18,0)")
+    # Decimal text, as a literal of this size is no bigint: 2^64 + 1 places a moment, NULL takes the first.
+    place = F.coalesce(F.col(tiebreak).cast("decimal(20,0)") + F.lit("9223372036854775809").cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return (time * F.lit("18446744073709551617").cast("decimal(20,0)") + place).cast(whole)
+
+
 def in_range(df: DataFrame, ts: str, start: dt.datetime | str, end: dt.datetime | str | Column) -> DataFrame:
     """Rows with ``start <= ts < end``; on stored bars the scan itself applies it."""
     kind = df.schema[ts].dataType
@@ -43,10 +57,10 @@ def in_range(df: DataFrame, ts: str, start: dt.datetime | str, end: dt.datetime
     return df.filter((F.col(ts) >= F.lit(str(start)).cast(kind)) & (F.col(ts) < upper.cast(kind)))
 
 
-def ticks_in_range(ticks: DataFrame, ts: str, start: dt.datetime | str, end: dt.datetime | str) -> DataFrame:
+def ticks_in_range(ticks: DataFrame, ts: str, start: dt.datetime | str, end: dt.datetime | str | Column) -> DataFrame:
     """Ticks that can fall into a bar of the range: an outer bound that the tick scan can apply."""
     kind = ticks.schema[ts].dataType
-    upper = F.lit(str(end)).cast(kind) + F.make_dt_interval(F.lit(0), F.lit(1))
+    upper = (end if isinstance(end, Column) else F.lit(str(end))).cast(kind) + F.make_dt_interval(F.lit(0), F.lit(1))
     return ticks.filter((F.col(ts) >= F.lit(str(start)).cast(kind)) & (F.col(ts) < upper))
 
 

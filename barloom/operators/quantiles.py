@@ -101,7 +101,12 @@ def percentiles_spread(
             F.min(F.when(seen > F.col("__r2"), F.col("__v"))).alias("__v2"),
             F.first("__w").alias("__w"),
         )
-        .withColumn("__q", F.col("__v1") * (1 - F.col("__w")) + F.col("__v2") * F.col("__w"))
+        # As the built-in aggregate: equal neighbours, or a rank that is one, are not weighted (inf * 0).
+        .withColumn(
+            "__q",
+            F.when((F.col("__w") == 0) | (F.col("__v1") == F.col("__v2")), F.col("__v1"))
+            .otherwise((1 - F.col("__w")) * F.col("__v1") + F.col("__w") * F.col("__v2")),
+        )
     )
     result = picked.groupBy(*by).pivot("__of", list(values)).agg(F.max("__q"))
     result = result.select(*by, *[F.col(v).alias(v + suffix) for v in values])

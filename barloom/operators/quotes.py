@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.scalars import iso_time, json_int, quote_line
+from barloom.functions.scalars import iso_time, json_int, quote_line, snapshot_time
 
 # The watch list, in message order; response paths; message heading; success status.
 WATCH_LIST = (
@@ -22,9 +23,6 @@ VOLUME_PATH = "$.output1.acml_vol"
 HEADING = "📈 Stock Price Update:\n"
 SUCCESS = 200
 
-#: A watch list is typed in by hand; a longer list belongs in a table and a plain join.
-MAX_WATCH = 10_000
-
 
 def split_responses(responses: DataFrame, status: str = "status", success: object = SUCCESS) -> tuple[DataFrame, DataFrame]:
     """Successful responses, and the others."""
@@ -34,36 +32,42 @@ def split_responses(responses: DataFrame, status: str = "status", success: objec
 
 def watch_frame(like: DataFrame, watch: Sequence[Mapping[str, object]] = WATCH_LIST) -> DataFrame:
     """The watch list as ``(code, name, pos)``, typed after the ``code`` column of ``like``."""
-    if len(watch) > MAX_WATCH:
-        raise ValueError(f"watch list above {MAX_WATCH} entries")
     if not watch:
         raise ValueError("empty watch list")
     kind = like.schema["code"].dataType.simpleString()
-    rows = [F.struct(F.lit(w["code"]).cast(kind), F.lit(w["name"]), F.lit(i)) for i, w in enumerate(watch)]
-    one_row = like.sparkSession.range(0, 1, 1, 1)
-    return one_row.select(F.inline(F.array(*rows)).alias("code", "name", "pos"))
+    # One literal, however long the list.
+    rows = json.dumps([{"code": w["code"], "name": w["name"], "pos": i} for i, w in enumerate(watch)])
+    parsed = F.from_json(F.lit(rows), f"array<struct<code: {kind}, name: string, pos: int>>", {"mode": "FAILFAST"})
+    return like.sparkSession.range(0, 1, 1, 1).select(F.inline(parsed).alias("code", "name", "pos"))
 
 
 def watched(quotes: DataFrame, watch: Sequence[Mapping[str, object]] = WATCH_LIST) -> DataFrame:
-    """Quotes of watched codes with name and list position. The list is a checked, short literal."""
-    return quotes.join(F.broadcast(watch_frame(quotes, watch)), "code")
+    """Quotes of watched codes with name and list position; Spark sees the size of the list."""
+    return quotes.join(watch_frame(quotes, watch), "code")
 
 
 def parse_quotes(responses: DataFrame, taken_at: Column | str | None = None) -> DataFrame:
-    """``(code, price, volume, timestamp)`` of successful responses; an absent number is 0."""
+    """``(code, price, volume, timestamp, run_ts)`` of successful responses; an absent number is 0."""
     ok, _ = split_responses(responses)
     return ok.select(
         "code",
         json_int("body", PRICE_PATH).alias("price"),
         json_int("body", VOLUME_PATH).alias("volume"),
         iso_time(taken_at).alias("timestamp"),
+        snapshot_time(taken_at).alias("run_ts"),
     )
 
 
-def message(quotes: DataFrame, by: Sequence[str] = (), heading: str = HEADING) -> DataFrame:
-    """One text per ``by`` group: heading and one line per quote in list order.
+def last_per_run(quotes: DataFrame) -> DataFrame:
+    """One quote per run and code: the latest, of several the one with most volume, then price."""
+    latest = F.max(F.struct("timestamp", "volume", "price")).alias("last")
+    return quotes.groupBy("run_ts", "code").agg(latest).select("code", "last.price", "last.volume", "last.timestamp", "run_ts")
+
+
+def message(quotes: DataFrame, by: Sequence[str] = ("run_ts",), heading: str = HEADING) -> DataFrame:
+    """One text per ``by`` group, a run unless told otherwise: heading and one line per quote in list order.
 
-    A group is one snapshot of a watch list, so its size is bounded by the list.
+    Give one quote per code and group (``last_per_run``), then the list bounds what a group gathers.
     """
     line = quote_line("name", "code", "price")
     lined = quotes.select(*by, "pos", line.alias("line"))

@@ -64,12 +64,11 @@ def forward_returns(
 
     places = _places(bars, order, tiebreak)
     dated = bars.withColumn(DATED, F.col(order).isNull().cast("int"))
-    long_slices = _too_long(dated, [*series, DATED], order, places, slice_rows)
+    # At most (rows / slice_rows) keys; the join strategy follows the staged size.
+    long_slices = stage(_too_long(dated, [*series, DATED], order, places, slice_rows), "long-slices")
     if long_slices.isEmpty():
         return _over(bars, series, ordering, features)
 
-    # At most (rows / slice_rows) keys; the join strategy follows the staged size.
-    long_slices = stage(long_slices, "long-slices")
     hot = long_slices.select(*[F.col(f"__k{i}") for i in range(len(series))]).distinct()
     same = _same(series)
     sliced, slices = _cut(dated.join(hot, same, "left_semi"), series, order, places, slice_rows, long_slices)
@@ -126,6 +125,8 @@ def _over_slices(
             "__border": F.lag(one, ahead + 1).over(inner).isNull() | F.lead(one, ahead + 1).over(inner).isNull(),
         }
     )
+    # Stored, so that both parts below see the same order even where the ordering leaves ties open.
+    marked = stage(marked, "slices")
     marks = ["__at_cut", "__border"]
     at_cut = F.col("__at_cut")
     inside = marked.filter(~at_cut)
@@ -202,4 +203,7 @@ def _position(df: DataFrame, name: str) -> Column:
         return F.unix_date(value).cast("double")
     if isinstance(kind, T.NumericType):
         return value.cast("double")
+    if isinstance(kind, T.StringType):
+        # The leading six bytes, which order as the text does.
+        return F.conv(F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
     return F.lit(None).cast("double")

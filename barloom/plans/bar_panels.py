@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
 
+from barloom.functions.scalars import hour_floor
 from barloom.operators import bars as ops
 from barloom.sources.sinks import write_dual
 
@@ -22,11 +23,17 @@ def _panel(
     return ops.in_range(ops.hourly_bars(ticks, "symbol", ts, price, volume, tiebreak), "hour", start, end)
 
 
+def _seen(universe: DataFrame, ticks: DataFrame, symbol: str, ts: str, start, end) -> DataFrame:
+    """Ticks of listed symbols whose bar is in the range: the hour decides, as in the panel."""
+    ticks = ops.ticks_in_range(ticks.withColumnRenamed(symbol, "symbol"), ts, start, end)
+    return ops.listed_only(ops.in_range(ticks.withColumn("hour", hour_floor(ts)), "hour", start, end), universe)
+
+
 def domestic_bars(
     universe: DataFrame,
     ticks: DataFrame,
     start: str,
-    end: str,
+    end: str | Column,
     symbol: str = "symbol",
     ts: str = "ts",
     price: str = "price",
@@ -40,8 +47,7 @@ def domestic_bars(
         {"symbol": "Ticker", "fullname": "Fullname", "hour": "Datetime"},
         ops.DOMESTIC_COLUMNS,
     )
-    seen = ops.listed_only(ops.in_range(ticks.withColumnRenamed(symbol, "symbol"), ts, start, end), universe)
-    return bars, ops.missing_symbols(universe, seen)
+    return bars, ops.missing_symbols(universe, _seen(universe, ticks, symbol, ts, start, end))
 
 
 def foreign_bars(
@@ -49,7 +55,7 @@ def foreign_bars(
     ticks: DataFrame,
     names: DataFrame,
     start: str,
-    end: str,
+    end: str | Column,
     symbol: str = "symbol",
     ts: str = "ts",
     price: str = "price",
@@ -64,8 +70,7 @@ def foreign_bars(
         {"symbol": "Name", "fullname": "Fullname", "hour": "Date"},
         ops.FOREIGN_COLUMNS,
     )
-    seen = ops.listed_only(ops.in_range(ticks.withColumnRenamed(symbol, "symbol"), ts, start, end), universe)
-    return bars, ops.missing_symbols(universe, seen)
+    return bars, ops.missing_symbols(universe, _seen(universe, ticks, symbol, ts, start, end))
 
 
 def store_panel(bars: DataFrame, parquet_path: str, csv_path: str) -> None:

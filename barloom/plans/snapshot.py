@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from barloom.operators.quotes import WATCH_LIST, message, parse_quotes, watched
-from barloom.sources.sinks import write_snapshot
+from barloom.operators.quotes import WATCH_LIST, last_per_run, message, parse_quotes, watched
+from barloom.session import stage
+from barloom.sources.sinks import write_stamped
 
 SNAPSHOT_COLUMNS = ("code", "price", "volume", "timestamp", "name")
 
@@ -15,8 +16,8 @@ SNAPSHOT_COLUMNS = ("code", "price", "volume", "timestamp", "name")
 def quote_snapshot(
     responses: DataFrame, watch: Sequence[Mapping[str, object]] = WATCH_LIST, taken_at: Column | str | None = None
 ) -> DataFrame:
-    """Watched quotes of the successful responses, with the list position for the message."""
-    return watched(parse_quotes(responses, taken_at), watch).select(*SNAPSHOT_COLUMNS, "pos")
+    """Watched quotes of the successful responses, with run and list position."""
+    return watched(parse_quotes(responses, taken_at), watch).select(*SNAPSHOT_COLUMNS, "run_ts", "pos")
 
 
 def snapshot_and_notify(
@@ -25,7 +26,13 @@ def snapshot_and_notify(
     watch: Sequence[Mapping[str, object]] = WATCH_LIST,
     taken_at: Column | str | None = None,
 ) -> DataFrame:
-    """Store the snapshot under its run time and return the message; sending it is up to the caller."""
-    quotes = quote_snapshot(responses, watch, taken_at)
-    write_snapshot(quotes.select(*SNAPSHOT_COLUMNS), path, taken_at)
-    return message(quotes)
+    """Store each run's last quote of every watched code and return one message per run
+    (``run_ts``, ``message``); sending it is up to the caller.
+
+    A run is the second of ``taken_at``, a column of the responses or now. The quotes are computed
+    once, so rows and message agree. A message has a line per watched code at most. No quotes: no row.
+    """
+    quotes = stage(last_per_run(parse_quotes(responses, taken_at)), "quotes")
+    chosen = watched(quotes, watch)
+    write_stamped(chosen.select(*SNAPSHOT_COLUMNS, "run_ts"), path)
+    return message(chosen, ["run_ts"])
