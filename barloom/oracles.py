@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from barloom.operators.bands import BANDS
 from barloom.operators.windows import HORIZONS
-from barloom.queries import DAYS, MONTH, RESPONSE_WATCHED, WATCHED
+from barloom.queries import DAYS, MONTH, RESPONSE_WATCHED, UNALIGNED, WATCHED
 
 
 def _pct(base: str, new: str) -> str:
@@ -159,8 +159,21 @@ ORACLES: dict[str, str] = {
     "quote_snapshot": "SELECT code, CAST(floor(value * 100) AS BIGINT) AS price, CASE WHEN event_type = 'signup' THEN 0 "
     f"ELSE {_K} END AS volume, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, name FROM events "
     f"JOIN {_watch(RESPONSE_WATCHED)} ON code = CAST(user_id AS VARCHAR) WHERE event_type <> 'error'",
-    "weather_records": f"SELECT {_BATCH} AS resp_ingested_timestamp, value AS temp, "
-    "value - 1 AS feels_like, CAST(NULL AS DOUBLE) AS humidity, event_id FROM events",
+    "weather_records": f"SELECT {_BATCH} AS resp_ingested_timestamp, value AS temp, value - 1 AS feels_like, "
+    "value - 2 AS temp_min, value + 2 AS temp_max, CAST(event_id % 50 AS DOUBLE) AS pressure, CAST(NULL AS DOUBLE) AS humidity, "
+    "CASE WHEN event_id % 3 = 0 THEN CAST(event_id AS DOUBLE) END AS sea_level, CAST(event_id AS DOUBLE) AS grnd_level FROM events",
+    "snapshot_and_notify": "WITH q AS (SELECT strftime(ts, '%Y%m%d_%H%M%S') AS run_ts, CAST(user_id AS VARCHAR) AS code, "
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS timestamp, CASE WHEN event_type = 'signup' THEN 0 ELSE "
+    f"{_K} END AS volume, CAST(floor(value * 100) AS BIGINT) AS price FROM events WHERE event_type <> 'error'), "
+    "last AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY run_ts, code ORDER BY timestamp DESC, volume DESC, price DESC) = 1) "
+    f"SELECT run_ts, count(*) AS n, CAST(sum(price) AS BIGINT) AS prices, max(timestamp) AS last, '📈 Stock Price Update:' || chr(10) "
+    "|| string_agg(printf('%s (%s): %d KRW', name, code, price) || chr(10), '' ORDER BY pos) AS message "
+    f"FROM last JOIN {_watch(RESPONSE_WATCHED)} USING (code) GROUP BY run_ts",
+    "domestic_bars_unaligned": f"SELECT symbol, count(hour) AS bars FROM ({_BUILDING}) u LEFT JOIN (SELECT DISTINCT user_id, {_HOUR} AS hour "
+    f"FROM events WHERE {_HOUR} >= TIMESTAMP '{UNALIGNED[0]}' AND {_HOUR} < TIMESTAMP '{UNALIGNED[1]}') ON user_id = symbol GROUP BY symbol",
+    "load_truncate_failed": f"SELECT {_ORDERS} FROM orders UNION ALL SELECT {_ORDERS} FROM orders",
+    "refresh_inferred": "SELECT lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS \"Ticker\", c_custkey * 3 AS units, "
+    "CASE WHEN c_custkey % 5 > 1 THEN c_acctbal END AS balance FROM customer",
     "infer_types": _infer(),
     "not_null_report": _null_lines(),
     "required_gate": "SELECT event_id, CASE WHEN event_type <> 'error' AND props IS NOT NULL THEN 'good' ELSE 'bad' END "

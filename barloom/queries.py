@@ -225,6 +225,20 @@ def domestic_bars_missing(spark, sf_dir):
     return missing
 
 
+UNALIGNED = ("2024-01-05 09:20:00", "2024-01-06 12:40:00")
+
+
+@query
+def domestic_bars_unaligned(spark, sf_dir):
+    """A range that cuts hours, its end a column: each symbol of the universe has bars or is missing."""
+    end = F.lit(UNALIGNED[1]).cast("timestamp_ntz")
+    built, missing = bar_panels.domestic_bars(
+        _building(spark, sf_dir), _ticks(spark, sf_dir), UNALIGNED[0], end, tiebreak="event_id"
+    )
+    counted = built.groupBy(F.col("Ticker").alias("symbol")).agg(F.count(F.lit(1)).alias("bars"))
+    return counted.union(missing.select("symbol", F.lit(0).cast("bigint")))
+
+
 @query
 def foreign_bars(spark, sf_dir):
     """Ticks whose price is text, a scalar or a one-element list."""
@@ -349,22 +363,33 @@ def quote_snapshot(spark, sf_dir):
     return taken.select(*snapshot.SNAPSHOT_COLUMNS)
 
 
+@query
+def snapshot_and_notify(spark, sf_dir):
+    """Runs of a second each: the stored quotes of a run, counted, beside its message."""
+    path = scratch_path(spark, "notify")
+    messages = snapshot.snapshot_and_notify(_responses(spark, sf_dir), path, RESPONSE_WATCHED, "ts")
+    schema = "code string, price bigint, volume bigint, timestamp string, name string, run_ts string"
+    stored = spark.read.schema(schema).json(path).groupBy("run_ts").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("price").alias("prices"), F.max("timestamp").alias("last")
+    )
+    return stored.join(messages, "run_ts", "full")
+
+
 @query
 def weather_records(spark, sf_dir):
     """Weather responses landed by hour and taken in; landing and loading again adds nothing."""
     fields = [f["name"] for f in weather.WEATHER_FIELDS[2:]]
-    values = [F.col("value"), F.col("value") - 1, *[F.lit(None).cast("double")] * 5, F.col("event_id").cast("double")]
+    value, number = F.col("value"), F.col("event_id")
+    values = [value, value - 1, value - 2, value + 2, number % 50, F.lit(None), F.when(number % 3 == 0, number), number]
+    values = [v.cast("double") for v in values]
     main = F.struct(*[v.alias(n) for v, n in zip(values, fields)]).alias("main")
     responses = table(spark, sf_dir, "events").select(main, _batch_time().alias("ts"))
     landing, target = scratch_path(spark, "landing"), scratch_path(spark, "weather")
     checkpoint = scratch_path(spark, "checkpoint")
     for _ in range(2):
         weather_load.land_weather(responses, "ts", landing)
-        weather_load.load_weather(
-            spark, landing, target, checkpoint, unique_by=("resp_ingested_timestamp", "grnd_level")
-        )
-    loaded = weather_load.read_weather(spark, target)
-    return loaded.select("resp_ingested_timestamp", "temp", "feels_like", "humidity", F.col("grnd_level").cast("bigint").alias("event_id"))
+        weather_load.load_weather(spark, landing, target, checkpoint)
+    return weather_load.read_weather(spark, target).select("resp_ingested_timestamp", *fields)
 
 
 # --- schema and quality ------------------------------------------------------------------------
@@ -485,6 +510,25 @@ def load_parquet_truncate(spark, sf_dir):
     return _load_twice(spark, sf_dir, "WRITE_TRUNCATE", "PARQUET", lambda w, p: w.parquet(p))
 
 
+@query
+def load_truncate_failed(spark, sf_dir):
+    """A good load, then a truncating one with a NULL in a REQUIRED field: the old rows remain."""
+    orders = table(spark, sf_dir, "orders").select(*[f["name"] for f in _orders_fields()])
+    good, bad, target = scratch_path(spark, "good"), scratch_path(spark, "bad"), f"{scratch_database(spark)}.orders"
+    orders.write.json(good)
+    orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderkey"))).write.json(bad)
+    for _ in range(2):
+        files.load_files(spark, good, target, _orders_fields(), "NEWLINE_DELIMITED_JSON", "WRITE_TRUNCATE")
+    try:
+        files.load_files(spark, bad, target, _orders_fields(), "NEWLINE_DELIMITED_JSON", "WRITE_TRUNCATE")
+    except Exception as failed:
+        if "REQUIRED field o_orderkey" not in str(failed):
+            raise
+        # Appending to the published name goes to its current version.
+        return files.load_files(spark, good, target, _orders_fields(), "NEWLINE_DELIMITED_JSON", "WRITE_APPEND")
+    raise AssertionError("a NULL in a REQUIRED field was loaded")
+
+
 @query
 def load_csv_quoted_newlines(spark, sf_dir):
     fields = [
@@ -542,6 +586,21 @@ def refresh_table(spark, sf_dir):
     return loaded
 
 
+@query
+def refresh_inferred(spark, sf_dir):
+    """Symbols with zeros in front, padded numbers and N/A cells: what is inferred is what loads."""
+    customer = table(spark, sf_dir, "customer")
+    path, target = scratch_path(spark, "cells"), f"{scratch_database(spark)}.cells"
+    key = F.col("c_custkey")
+    customer.select(
+        F.lpad(key.cast("string"), 6, "0").alias("Ticker"),
+        F.concat(F.when(key % 2 == 0, " ").otherwise(""), (key * 3).cast("string"), F.lit(" ")).alias("units"),
+        F.when(key % 5 == 0, "N/A").when(key % 5 == 1, "").otherwise(F.concat(F.lit(" "), F.col("c_acctbal").cast("string"))).alias("balance"),
+    ).write.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    loaded, rejected = refresh.refresh_table(spark, path, target)
+    return loaded.unionByName(rejected.select(F.lit("reject").alias("Ticker")), allowMissingColumns=True)
+
+
 @query
 def publish_gated(spark, sf_dir):
     """A refresh that passes its gate, then one that does not: the table keeps the first."""

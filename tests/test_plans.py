@@ -4,6 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from barloom.functions import scalars as fx
 from barloom.operators import bars, quotes, weather
 from barloom.plans import bar_panels, models, snapshot, weather_load
 from barloom.session import scratch_root, stage
@@ -61,6 +62,28 @@ def test_foreign_bars_with_list_cells_and_unknown_names(spark):
     assert bars.distinct_symbols(lists).count() == 4
 
 
+def test_panel_and_missing_part_the_universe(spark):
+    seen = [("A", at(9) + dt.timedelta(minutes=45)), ("B", at(12) + dt.timedelta(minutes=45)), ("C", at(12) + dt.timedelta(minutes=10))]
+    rows = spark.createDataFrame([(s, t, 1.0, 1) for s, t in seen], "symbol string, ts timestamp_ntz, price double, volume bigint")
+    names = spark.createDataFrame([(s, s) for s in "ABCD"], "symbol string, fullname string")
+    day = seen[0][1].date()
+    for end in (f"{day} 12:30:00", F.lit(f"{day} 12:30:00").cast("timestamp_ntz")):
+        built, missing = bar_panels.domestic_bars(names, rows, f"{day} 09:30:00", end)
+        assert {r.Ticker for r in built.collect()} == {"B", "C"}
+        assert {r.symbol for r in missing.collect()} == {"A", "D"}
+    built, missing = bar_panels.domestic_bars(names, rows, str(day), fx.exclusive_end(F.lit(str(day))))
+    assert {r.Ticker for r in built.collect()} == {"A", "B", "C"} and {r.symbol for r in missing.collect()} == {"D"}
+
+
+def test_bars_are_hash_aggregated(spark):
+    rows = [("A", at(9), 1, 1.0), ("A", at(9), None, 2.0), ("A", at(9), 2, 3.0), ("A", None, 5, 4.0), ("A", at(9), -3, 5.0)]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp_ntz, tie bigint, price double")
+    built = bars.hourly_bars(df, "symbol", "ts", "price", tiebreak="tie")
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert {(r.hour, r.Open, r.Close) for r in built.collect()} == {(None, 4.0, 4.0), (at(9), 2.0, 3.0)}
+
+
 def test_range_is_pushed_to_the_scan(spark, tmp_path):
     ticks(spark).write.parquet(str(tmp_path / "t"))
     built, _ = bar_panels.domestic_bars(universe(spark), spark.read.parquet(str(tmp_path / "t")), "2024-11-01", "2024-11-02")
@@ -100,12 +123,31 @@ def test_snapshot_and_message(spark, tmp_path):
 
 
 def test_message_without_quotes_is_the_heading(spark):
-    assert quotes.message(snapshot.quote_snapshot(responses(spark).limit(0))).first().message == quotes.HEADING
+    none = snapshot.quote_snapshot(responses(spark).limit(0))
+    assert quotes.message(none, by=()).first().message == quotes.HEADING
+    assert quotes.message(none).count() == 0
+
+
+def test_each_run_has_its_own_message(spark, tmp_path):
+    path = str(tmp_path / "s")
+    polls = [
+        ("005930", 1, 9, 0), ("005930", 2, 9, 0), ("000660", 3, 9, 0), ("005930", 4, 10, 0), ("000660", 5, 10, 0), ("000660", 6, 10, 0),
+    ]
+    body = lambda price: json.dumps({"output1": {"stck_prpr": str(price), "acml_vol": str(price)}})
+    rows = [(c, 200, body(p), dt.datetime(2024, 11, 25, h, m)) for c, p, h, m in polls]
+    df = spark.createDataFrame(rows, "code string, status int, body string, seen timestamp_ntz")
+    messages = {r.run_ts: r.message for r in snapshot.snapshot_and_notify(df, path, taken_at="seen").collect()}
+    assert messages == {
+        "20241125_090000": quotes.HEADING + "삼성전자 (005930): 2 KRW\nSK하이닉스 (000660): 3 KRW\n",
+        "20241125_100000": quotes.HEADING + "삼성전자 (005930): 4 KRW\nSK하이닉스 (000660): 6 KRW\n",
+    }
+    assert spark.read.json(path).count() == 4
+    assert {r.message for r in snapshot.snapshot_and_notify(df, path).collect()} and spark.read.json(path).count() == 6
 
 
-def test_long_watch_lists_are_refused(spark):
-    with pytest.raises(ValueError):
-        quotes.watched(responses(spark), [{"code": str(i), "name": "x"} for i in range(quotes.MAX_WATCH + 1)])
+def test_watch_lists_of_any_length(spark):
+    watch = [{"code": f"{i:06d}", "name": "x"} for i in range(20_000)]
+    assert {r.code for r in quotes.watched(responses(spark), watch).collect()} == {"000660", "005930"}
 
 
 def test_refused_responses_are_kept(spark):
@@ -122,7 +164,7 @@ def test_weather_is_landed_and_loaded_once(spark, tmp_path):
         return df.select(F.from_json("body", weather.RESPONSE_SCHEMA).alias("r")).select("r.main", F.lit(at(9)).alias("seen"))
 
     def load():
-        weather_load.load_weather(spark, landing, table, checkpoint, unique_by=("resp_ingested_timestamp", "temp"))
+        weather_load.load_weather(spark, landing, table, checkpoint)
         return sorted((r.temp, r.sea_level, r.resp_ingested_timestamp) for r in weather_load.read_weather(spark, table).collect())
 
     weather_load.land_weather(responses(20.5), "seen", landing)
@@ -130,6 +172,9 @@ def test_weather_is_landed_and_loaded_once(spark, tmp_path):
     weather_load.land_weather(responses(20.5, 21.0), "seen", landing)
     assert load() == load() == [(20.5, None, at(9)), (21.0, None, at(9))]
     assert all(r.uuid for r in weather_load.read_weather(spark, table).collect())
+    # Several records of one second are several records.
+    weather_load.land_weather(responses(20.5, 21.0, 22.0, 23.0, 24.0), "seen", landing)
+    assert len(load()) == len(load()) == 5
 
 
 def test_models_run_and_pass_their_test(spark, database):

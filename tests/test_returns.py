@@ -219,3 +219,28 @@ def test_flagship_plan_has_one_exchange_below_the_bands(spark):
     scored = forward_returns(df, ["user_id"], "ts", "value", "event_id", zero_div="null")
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(user_id") == 1 and plan.count("Window [") == 1
+
+
+def test_both_median_routes_agree_on_odd_values(spark):
+    from barloom.operators.quantiles import percentiles_builtin, percentiles_spread
+    from barloom.session import stage
+
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "inf even": [1.0, inf, inf, inf], "inf odd": [1.0, 2.0, inf], "both": [-inf, -inf, inf, inf], "nan": [1.0, nan, nan], "ties": [0.1] * 6,
+        "near": [0.1, 0.2, 0.7, 0.7], "null": [None, None], "some": [None, 3.0, 4.0, None], "one": [inf], "mixed": [nan, -inf, 5.0, None, inf],
+    }
+    df = stage(spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "g string, v double"))
+    for p in (0.5, 0.25, 0.9):
+        a, b = ({r[0]: repr(r[1]) for r in way(df, ["g"], ["v"], p).collect()} for way in (percentiles_builtin, percentiles_spread))
+        assert a == b
+
+
+def test_text_order_columns_are_cut(spark):
+    from barloom.operators.windows import forward_returns
+
+    rows = [("A", f"{i:07d}"[-4:] + f"{i}", float(i % 13 + 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "s string, d string, c double")
+    whole = forward_returns(df, ["s"], "d", "c", slice_rows=None)
+    cut = forward_returns(df, ["s"], "d", "c", slice_rows=20)
+    assert sorted(map(repr, cut.collect())) == sorted(map(repr, whole.collect()))

@@ -76,3 +76,19 @@ def test_pct_change_modes(spark):
     assert spark.range(1).select(fx.pct_change(F.lit(4.0), F.lit(5.0))).first()[0] == 25.0
     with pytest.raises(ValueError):
         fx.pct_change("a", "b", "maybe")
+
+
+def test_texts_of_zoneless_times_know_no_zone(spark):
+    """New York skips 02:30 in March and has 01:30 twice in November."""
+    kept = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        for at in (dt.datetime(2024, 3, 10, 2, 30, 5, 7), dt.datetime(2024, 11, 3, 1, 30), dt.datetime(2024, 11, 3, 1, 59, 59, 999999)):
+            df = spark.createDataFrame([(at,)], "x timestamp_ntz")
+            row = df.select(fx.record_time("x"), fx.snapshot_time("x"), fx.iso_time("x"), *fx.hour_parts("x"), fx.local_micros("x")).first()
+            assert tuple(row[:3]) == (f"{at:%Y-%m-%d %H:%M:%S}", f"{at:%Y%m%d_%H%M%S}", f"{at:%Y-%m-%dT%H:%M:%S.%f}")
+            assert tuple(row[3:7]) == (f"{at:%Y}", f"{at:%m}", f"{at:%d}", f"{at:%H}")
+            assert row[7] == (at - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", kept)
+    assert tuple(spark.createDataFrame([(None,)], "x timestamp_ntz").select(fx.iso_time("x"), *fx.hour_parts("x")).first()) == (None,) * 5
