@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 #: Characters cut into words at a time, words of a block, and distinct words remembered in a partition.
 PART_CHARS = 1 << 18
-BLOCK_WORDS = 600_000
-MEMO_WORDS = 120_000
+BLOCK_WORDS = 1_000_000
+MEMO_WORDS = 160_000
 #: Texts that go back to Spark at a time.
 OUT_TEXTS = 256
 #: Between a visible character and white space no word of the pattern goes on, so texts may be cut there.
@@ -157,14 +157,23 @@ class MergeReplay:
 
     @staticmethod
     def _enter(index: dict[int, list[int]], queue: list[int], places: np.ndarray, ranks: np.ndarray) -> None:
-        for place, rank in zip(places.tolist(), ranks.tolist()):
-            if rank != NONE:
-                listed = index.get(rank)
-                if listed is None:
-                    index[rank] = [place]
-                    heapq.heappush(queue, rank)
-                else:
-                    listed.append(place)
+        listed = ranks != NONE
+        places, ranks = places[listed], ranks[listed]
+        if len(places) > 64:
+            order = np.argsort(ranks, kind="stable")
+            ranks = ranks[order]
+            cuts = [0, *(np.nonzero(np.diff(ranks))[0] + 1).tolist(), len(ranks)]
+            ordered = places[order].tolist()
+            groups = zip(ranks[cuts[:-1]].tolist(), (ordered[i:j] for i, j in zip(cuts, cuts[1:])))
+        else:
+            groups = zip(ranks.tolist(), ([p] for p in places.tolist()))
+        for rank, group in groups:
+            held = index.get(rank)
+            if held is None:
+                index[rank] = group
+                heapq.heappush(queue, rank)
+            else:
+                held += group
 
 
 def seams(text: str, size: int | None = None) -> Iterator[str]:
@@ -188,9 +197,13 @@ class TextEncoder:
         self.memo_words = memo_words
         self._forget()
 
-    def _forget(self) -> None:
+    def _forget(self, kept: dict[str, bytes] | None = None) -> None:
+        """Starts the memo anew with ``kept``."""
         self.number: dict[str, int] = defaultdict(count().__next__)
-        self.packed: list[bytes] = []
+        self.packed = list((kept or {}).values())
+        for word in kept or ():
+            self.number[word]
+        self.used = np.zeros(0, dtype=np.int64)
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The texts are held as numbers of words until a block is full."""
@@ -211,8 +224,16 @@ class TextEncoder:
         look_up = self.packed.__getitem__
         for words in block:
             yield b"".join(map(look_up, words.tolist()))
+        if block:
+            used = np.bincount(np.concatenate(block), minlength=len(self.packed))
+            used[: len(self.used)] += self.used
+            self.used = used
         if len(self.number) > self.memo_words:
-            self._forget()
+            # Words met once are the most; those met again are worth their place.
+            again = np.nonzero(self.used > 1)[0]
+            words = list(self.number)
+            kept = {words[i]: self.packed[i] for i in again.tolist()}
+            self._forget(kept if len(kept) <= self.memo_words // 2 else None)
 
 
 def _decoder(ranks: dict[bytes, int]) -> Callable[[bytes], bytes]:
