@@ -5,17 +5,20 @@ the smallest hash. Only the suffixes at minimisers are retained, about one in 22
 ``min_words`` windows that chose it, and its context is what they cover: it reaches left to the first of
 them and right to the end of the last.
 
-Sorted by their first k words, a suffix without an equal neighbour ends there. If all neighbours agree over
-the whole context, all of it is repeated. Otherwise the match ends somewhere on the left or on the right:
-it is extended from the minimiser window by window, by comparing what the different contexts hold.
+Sorted by their first k words, a suffix without an equal neighbour ends there. If all that are equal agree
+over the whole context, all of it is repeated. Otherwise the match ends somewhere on the left or on the
+right: it is extended from the minimiser window by window, by comparing what the different contexts hold.
 Where a document's repeated windows touch, they make one span.
 
-Texts that are copies of each other go through as one. Words and windows are compared by 128-bit hashes.
+Texts that are copies of each other go through as one. Windows are compared by 128-bit hashes,
+contexts, which are compared only under equal first words, by 64 bits, texts by 120.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +35,7 @@ K = 8
 #: Words of a text hashed at a time, and distinct words remembered in a partition.
 STRETCH = 1 << 18
 PLACE_BITS = 20
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 500_000
 
 #: Odd multipliers of the rolling hashes and their inverses modulo 2^64.
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -40,20 +43,26 @@ INVERSES = tuple(pow(b, -1, 1 << 64) for b in BASES)
 
 
 class Hasher:
-    """Rolling 2 x 64-bit hashes of runs of words."""
+    """Two 64-bit hashes of each word, remembered by number."""
 
     def __init__(self):
-        self.memo: dict[str, tuple[int, int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = defaultdict(count().__next__)
+        self.hashes = np.zeros((2, 0), dtype=np.uint64)
 
     def words(self, words: list[str]) -> np.ndarray:
         """Two rows of word hashes."""
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo = self.memo
-        for w in set(words).difference(memo):
-            data = w.encode("utf-8", "replace")
-            memo[w] = (xxhash.xxh64_intdigest(data, 1), xxhash.xxh64_intdigest(data, 2))
-        return np.array([memo[w] for w in words], dtype=np.uint64).reshape(len(words), 2).T
+        if len(self.number) > MEMO_WORDS:
+            self._forget()
+        numbers = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        known = self.hashes.shape[1]
+        if len(self.number) > known:
+            new = [w.encode("utf-8", "replace") for w in islice(self.number, known, None)]
+            grown = np.array([[xxhash.xxh64_intdigest(w, seed) for w in new] for seed in (1, 2)], dtype=np.uint64)
+            self.hashes = np.concatenate([self.hashes, grown], axis=1)
+        return self.hashes[:, numbers]
 
 
 class Rolling:
@@ -98,7 +107,7 @@ def minimisers(kmers: np.ndarray, width: int) -> np.ndarray:
 
 
 def suffixes(words: list[str], hasher: Hasher, min_words: int, k: int) -> list[np.ndarray]:
-    """Key, context (two hashes), first and last window start of each retained suffix."""
+    """Key, context hash, first and last window start of each retained suffix."""
     parts = []
     for at in range(0, len(words) - min_words + 1, STRETCH):
         local = words[at:at + STRETCH + min_words - 1]
@@ -108,21 +117,15 @@ def suffixes(words: list[str], hasher: Hasher, min_words: int, k: int) -> list[n
         chosen = minimisers(kmers, min_words - k + 1)
         first = np.nonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))[0]
         last = np.concatenate([first[1:], [len(chosen)]]) - 1
-        context = [rolling.runs(first, last + min_words, i) for i in (0, 1)]
         # Equal contexts have their minimiser at the same place, so equal windows too.
-        parts.append([kmers[chosen[first]], *context, first + at, last + at])
-    return [np.concatenate(column) for column in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * 5
-
-
-SUFFIX = pa.list_(pa.struct([("key", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("first", pa.int32()), ("last", pa.int32())]))
-WINDOW = pa.list_(pa.struct([("w1", pa.int64()), ("w2", pa.int64()), ("offset", pa.int32())]))
-SPAN = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("origin", pa.string())]))
+        parts.append([kmers[chosen[first]], rolling.runs(first, last + min_words, 1), first + at, last + at])
+    return [np.concatenate(column) for column in zip(*parts)] if parts else [np.zeros(0, np.uint64)] * 4
 
 
 def _retained(texts: DataFrame, min_words: int, k: int) -> DataFrame:
     """One row per text: ``n_words`` and its suffixes."""
 
-    @F.arrow_udf("struct<n_words: int, suffixes: array<struct<key: bigint, c1: bigint, c2: bigint, first: int, last: int>>>")
+    @F.arrow_udf("struct<n_words: int, suffixes: array<struct<key: bigint, context: bigint, first: int, last: int>>>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = Hasher()
         for batch in batches:
@@ -133,22 +136,60 @@ def _retained(texts: DataFrame, min_words: int, k: int) -> DataFrame:
                 counts.append(len(words))
                 sizes.append(sizes[-1] + len(found[0]))
                 rows.append(found)
-            columns = [np.concatenate(c) if rows else np.zeros(0, np.uint64) for c in (zip(*rows) if rows else [[]] * 5)]
-            arrays = [pa.array(c.view(np.int64)) for c in columns[:3]] + [pa.array(c.astype(np.int32)) for c in columns[3:]]
-            structs = pa.StructArray.from_arrays(arrays, names=["key", "c1", "c2", "first", "last"])
+            columns = [np.concatenate(c) for c in zip(*rows)] if rows else [np.zeros(0, np.uint64)] * 4
+            arrays = [pa.array(c.view(np.int64)) for c in columns[:2]] + [pa.array(c.astype(np.int32)) for c in columns[2:]]
+            structs = pa.StructArray.from_arrays(arrays, names=["key", "context", "first", "last"])
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), structs)
             yield pa.StructArray.from_arrays([pa.array(counts, pa.int32()), lists], names=["n_words", "suffixes"])
 
-    return texts.withColumn("found", run(F.col("text"))).select("id", "t", "found.n_words", "found.suffixes")
+    return texts.withColumn("found", run(F.col("text"))).select("id", *TEXT, "found.n_words", "found.suffixes")
 
 
-def _windows(text: str, wanted: list[dict], hasher: Hasher, min_words: int) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
-    words = text.split()
-    for suffix in wanted:
-        local = words[suffix["first"]:suffix["last"] + min_words]
-        rolling = Rolling(hasher.words(local))
-        starts = np.arange(len(local) - min_words + 1)
-        yield suffix["key"], suffix["c1"], suffix["c2"], *(rolling.runs(starts, starts + min_words, i).view(np.int64) for i in (0, 1))
+def _with_equal_neighbours(listed: DataFrame) -> DataFrame:
+    """Suffixes in order, without copies, that have a neighbour of the same key.
+
+    The order is cut anywhere, also within a key; a suffix at a cut stays, as its neighbour is not seen.
+    """
+    order = ["key", "context", *TEXT, "first"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        opening = True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            values = [table[name].to_numpy() for name in order]
+            fresh = np.ones(table.num_rows, dtype=bool)
+            fresh[1:] = np.logical_or.reduce([v[1:] != v[:-1] for v in values])
+            rows = np.nonzero(fresh)[0]
+            key = values[0][rows]
+            like_next = np.concatenate([key[1:] == key[:-1], [False]])
+            stays = like_next | np.concatenate([[opening], like_next[:-1]])
+            if held is not None:
+                stays[0] |= carried
+            # The last one waits for the next batch.
+            yield from table.take(pa.array(rows[:-1][stays[:-1]])).to_batches()
+            held, carried = table.slice(rows[-1], 1), bool(stays[-1])
+            opening = opening and len(rows) == 1
+        if held is not None:
+            yield from held.to_batches()
+
+    # Ranges of the whole order, so that suffixes of one frequent key go to several tasks.
+    tasks = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = listed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    return ordered.mapInArrow(run, listed.schema)
+
+
+TEXT = ["t1", "t2"]
+CONTEXT = ["key", "context"]
+
+
+def _text_ids(body) -> list:
+    """120 bits of the MD5 as two numbers, which aggregate by hash."""
+    digest = F.md5(body.cast("binary"))
+    return [F.conv(F.substring(digest, at, 15), 16, 10).cast("long").alias(name) for name, at in zip(TEXT, (1, 17))]
 
 
 def repeated_spans(
@@ -167,75 +208,99 @@ def repeated_spans(
         raise ValueError("k may not exceed min_words")
     id_type = df.schema[id_col].dataType.simpleString()
     body = text_of(text)
-    texts = df.select(F.col(f"`{id_col}`").alias("id"), F.unhex(F.md5(body.cast("binary"))).alias("t"), body.alias("text"))
+    texts = df.select(F.col(f"`{id_col}`").alias("id"), *_text_ids(body), body.alias("text"))
     stored = stage(_retained(texts, min_words, k), "suffixes")
-    docs = stored.select("id", "t", "n_words").filter(F.col("n_words") >= min_words)
-    classes = stage(docs.groupBy("t").agg(F.min("id").alias("first_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words")), "texts")
-    copied = classes.filter("copies > 1").select("t", F.lit(0).alias("start"), F.col("n_words").alias("stop"), "first_id")
-
-    # Sorted by key: equal neighbours, and whether they all agree over the whole context.
-    listed = stage(stored.select("t", F.explode("suffixes").alias("s")).select("t", "s.*").distinct(), "listed")
-    keys = listed.groupBy("key").agg(
-        F.count("*").alias("n"), ((F.min("c1") == F.max("c1")) & (F.min("c2") == F.max("c2"))).alias("uniform")
+    docs = stored.select("id", *TEXT, "n_words").filter(F.col("n_words") >= min_words)
+    by_id = docs.groupBy(*TEXT, "id").agg(F.count("*").alias("rows"), F.max("n_words").alias("n_words"))
+    classes = by_id.groupBy(*TEXT).agg(
+        F.min("id").alias("first_id"), F.sum("rows").alias("copies"), F.max("rows").alias("rows"), F.max("n_words").alias("n_words")
     )
-    keys = stage(keys.filter("n > 1"), "keys")
-    members = listed.join(keys.select("key", "uniform"), "key").join(classes.select("t", "first_id"), "t")
-    members = stage(members, "members")
+    classes = stage(classes, "texts")
+    copied = classes.filter("copies > 1").select(*TEXT, F.lit(0).alias("start"), F.col("n_words").alias("stop"), "first_id")
 
-    context = ["key", "c1", "c2"]
-    contexts = members.groupBy(*context, "uniform").agg(
-        F.min("first_id").alias("first_id"), F.count("*").alias("n"), F.min("t").alias("t")
+    listed = stored.select(*TEXT, F.explode("suffixes").alias("s")).select(*TEXT, "s.*")
+    listed = stage(_with_equal_neighbours(listed), "neighbours")
+    keys = listed.groupBy("key").agg(F.count("*").alias("n"), (F.min("context") == F.max("context")).alias("uniform"))
+    members = listed.join(keys.filter("n > 1").select("key", "uniform"), "key").join(classes.select(*TEXT, "first_id"), TEXT)
+    members = stage(members, "members")
+    contexts = members.groupBy(*CONTEXT, "uniform").agg(
+        F.min("first_id").alias("first_id"), F.count("*").alias("n"), F.min("t1").alias("t1")
     )
     contexts = stage(contexts, "contexts")
-    whole = members.filter("uniform").select(*context, "t", "first", "last").join(
-        contexts.filter("uniform").select(*context, "first_id"), context
+    whole = members.filter("uniform").select(*CONTEXT, *TEXT, "first", "last").join(
+        contexts.filter("uniform").select(*CONTEXT, "first_id"), CONTEXT
     )
-    whole = whole.select("t", F.col("first").alias("start"), (F.col("last") + min_words).alias("stop"), "first_id")
+    whole = whole.select(*TEXT, F.col("first").alias("start"), (F.col("last") + min_words).alias("stop"), "first_id")
 
     # Contexts that differ: their windows are compared, one text of each context standing for all.
-    open_contexts = contexts.filter("not uniform")
-    windows = stage(_window_rows(texts, members.filter("not uniform"), open_contexts, min_words), "windows")
-    counted = windows.join(open_contexts.select(*context, "n", "first_id"), context)
+    open_members, open_contexts = members.filter("not uniform"), contexts.filter("not uniform")
+    windows = stage(_window_rows(texts, open_members, open_contexts, classes, min_words), "windows")
+    counted = windows.join(open_contexts.select(*CONTEXT, "n", "first_id"), CONTEXT)
     shared = counted.groupBy("w1", "w2").agg(F.sum("n").alias("n"), F.min("first_id").alias("origin")).filter("n > 1")
-    runs = windows.join(shared.select("w1", "w2", "origin"), ["w1", "w2"]).groupBy(*context).agg(
+    runs = windows.join(shared.select("w1", "w2", "origin"), ["w1", "w2"]).groupBy(*CONTEXT).agg(
         F.collect_list(F.struct("offset", "origin")).alias("shared")
     )
-    partly = members.filter("not uniform").select(*context, "t", "first").join(runs, context)
-    partly = partly.select("t", "first", F.explode("shared").alias("w")).select(
-        "t", (F.col("first") + F.col("w.offset")).alias("start"), (F.col("first") + F.col("w.offset") + min_words).alias("stop"),
+    partly = open_members.select(*CONTEXT, *TEXT, "first").join(runs, CONTEXT)
+    partly = partly.select(*TEXT, "first", F.explode("shared").alias("w")).select(
+        *TEXT, (F.col("first") + F.col("w.offset")).alias("start"), (F.col("first") + F.col("w.offset") + min_words).alias("stop"),
         F.col("w.origin").alias("first_id"),
     )
     spans = _merged(copied.unionByName(whole).unionByName(partly), id_type)
-    return docs.select("id", "t").join(spans, "t").select(
+    return docs.select("id", *TEXT).join(spans, TEXT).select(
         F.col("id").alias(id_col), F.col("start").alias("start_word"), F.col("stop").alias("stop_word"),
         (F.col("stop") - F.col("start")).alias("n_words"), "first_id",
     )
 
 
-def _window_rows(texts: DataFrame, members: DataFrame, contexts: DataFrame, min_words: int) -> DataFrame:
-    """``key``, ``c1``, ``c2``, ``offset``, ``w1``, ``w2``: the windows of each context, from one of its texts."""
-    context = ["key", "c1", "c2"]
-    chosen = members.select(*context, "t", "first", "last").join(contexts.select(*context, "t"), [*context, "t"])
-    chosen = chosen.groupBy(*context, "t").agg(F.min("first").alias("first"), F.min("last").alias("last"))
-    wanted = chosen.groupBy("t").agg(F.collect_list(F.struct(*context, "first", "last")).alias("wanted"))
-    held = texts.select("t", "text").join(wanted.hint("merge"), "t").dropDuplicates(["t"]).select("text", "wanted")
+def _window_rows(texts: DataFrame, members: DataFrame, contexts: DataFrame, classes: DataFrame, min_words: int) -> DataFrame:
+    """``key``, ``context``, ``offset``, ``w1``, ``w2``: the windows of each context, from one of its texts."""
+    chosen = members.join(contexts.select(*CONTEXT, "t1"), [*CONTEXT, "t1"])
+    chosen = chosen.groupBy(*CONTEXT, "t1").agg(F.min("t2").alias("t2"), F.min("first").alias("first"), F.min(F.col("last") - F.col("first")).alias("more"))
+    wanted = chosen.groupBy(*TEXT).agg(F.collect_list(F.struct(*CONTEXT, "first", "more")).alias("wanted"))
+    wanted = wanted.join(classes.select(*TEXT, "first_id", "copies", "rows"), TEXT)
+    # Of copies the first one speaks; rows that repeat id and text are the rare case that needs counting.
+    held = texts.join(wanted.hint("merge"), TEXT).filter((F.col("copies") == 1) | F.col("id").eqNullSafe(F.col("first_id")))
+    parts = held.filter("rows = 1").select("text", "wanted")
+    if not classes.filter("rows > 1").isEmpty():
+        parts = parts.union(held.filter("rows > 1").dropDuplicates(TEXT).select("text", "wanted"))
+    names = [*CONTEXT, "offset", "w1", "w2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
             for text, wanted in zip(*batch.columns):
-                for key, c1, c2, w1, w2 in _windows(text.as_py(), wanted.as_py(), hasher, min_words):
-                    n = len(w1)
-                    columns = [np.full(n, v, dtype=np.int64) for v in (key, c1, c2)] + [np.arange(n, dtype=np.int32), w1, w2]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*context, "offset", "w1", "w2"])
-
-    return held.mapInArrow(run, "key long, c1 long, c2 long, offset int, w1 long, w2 long")
+                columns = _windows(text.as_py().split(), wanted.as_py(), hasher, min_words)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    return parts.mapInArrow(run, "key long, context long, offset int, w1 long, w2 long")
+
+
+def _windows(words: list[str], wanted: list[dict], hasher: Hasher, min_words: int) -> list[np.ndarray]:
+    """The columns of the windows that ``wanted`` contexts of a text hold, a stretch of the text at a time."""
+    wanted = sorted(wanted, key=lambda s: s["first"])
+    parts, at = [], 0
+    while at < len(wanted):
+        base = wanted[at]["first"]
+        end = at
+        while end < len(wanted) and wanted[end]["first"] + wanted[end]["more"] < base + STRETCH or end == at:
+            end += 1
+        group, at = wanted[at:end], end
+        stop = max(s["first"] + s["more"] for s in group) + min_words
+        rolling = Rolling(hasher.words(words[base:stop]))
+        sizes = [s["more"] + 1 for s in group]
+        offsets = np.concatenate([np.arange(n) for n in sizes])
+        starts = offsets + np.repeat([s["first"] - base for s in group], sizes)
+        parts.append([
+            *(np.repeat(np.array([s[name] for s in group], dtype=np.int64), sizes) for name in CONTEXT), offsets.astype(np.int32),
+            *(rolling.runs(starts, starts + min_words, i).view(np.int64) for i in (0, 1)),
+        ])
+    return [np.concatenate(column) for column in zip(*parts)]
 
 
 def _merged(pieces: DataFrame, id_type: str) -> DataFrame:
     """Spans of each text: pieces that overlap or touch are one. A text's pieces are bounded by its words."""
-    gathered = pieces.groupBy("t", "start").agg(F.max("stop").alias("stop"), F.min("first_id").alias("first_id"))
-    gathered = gathered.groupBy("t").agg(F.array_sort(F.collect_list(F.struct("start", "stop", "first_id"))).alias("pieces"))
+    gathered = pieces.groupBy(*TEXT, "start").agg(F.max("stop").alias("stop"), F.min("first_id").alias("first_id"))
+    gathered = gathered.groupBy(*TEXT).agg(F.array_sort(F.collect_list(F.struct("start", "stop", "first_id"))).alias("pieces"))
     step = F.aggregate(
         "pieces",
         F.expr(f"cast(array() as array<struct<start: int, stop: int, first_id: {id_type}>>)"),
@@ -247,4 +312,4 @@ def _merged(pieces: DataFrame, id_type: str) -> DataFrame:
             ))),
         ).otherwise(F.concat(done, F.array(p))),
     )
-    return gathered.select("t", F.explode(step).alias("s")).select("t", "s.*")
+    return gathered.select(*TEXT, F.explode(step).alias("s")).select(*TEXT, "s.*")
