@@ -97,7 +97,7 @@ def op7_language_id(spark, sf_dir):
 @query
 def op10_simhash_near_dedup(spark, sf_dir):
     groups = simhash_dedup.near_groups(table(spark, sf_dir, "documents"))
-    return groups.select("doc_id", simhash_dedup.hex_of(F.col("fp")).alias("fingerprint"), "component_id", "n_links")
+    return groups.select("doc_id", simhash_dedup.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 @query

@@ -8,7 +8,8 @@ A list of a single (position, byte) would hold 1/256 of all fingerprints and pai
 square. Of five shared positions, at least three lie in the same half, so the lists are kept for the eight
 triples within a half (2^24 keys each). A list longer than ``list_rows`` is dealt again by two more shared
 positions (a linked pair has them), which leaves 24 free bits. Pairs are made by an equi-join of the lists
-whose condition holds tally and distance, so only linked pairs come out of it.
+whose condition holds tally and distance, so only linked pairs come out of it, and of these no two that a
+list's pivot already connects.
 """
 
 from __future__ import annotations
@@ -84,23 +85,20 @@ def shared_bytes(a: Column, b: Column) -> Column:
 
 
 def links(distinct: DataFrame, distance: int = 3, list_rows: int = LIST_ROWS) -> DataFrame:
-    """``a`` < ``b``: all pairs of the distinct ``fp`` that differ in at most ``distance`` bits, possibly repeated.
+    """``a``, ``b``: links between distinct ``fp`` of at most ``distance`` bits, possibly repeated, that connect
+    every pair within that distance, by a link of their own or through one fingerprint linked to both.
 
     ``distance`` may be 0 to 3: then at least five positional bytes are shared.
     """
     if not 0 <= distance <= 3:
         raise ValueError("the index guarantees distances of 0 to 3")
-    least = BYTES - distance
     halves = [t for half in (range(0, 4), range(4, 8)) for t in combinations(half, 3)]
-    postings = _postings(distinct, halves)
-    lengths = postings.groupBy("list", "bytes").agg(F.count("*").alias("n"))
-    long_lists = stage(lengths.filter(F.col("n") > list_rows), "long_lists")
+    listed = _listed(_postings(distinct, halves))
+    long_lists = listed.filter(F.col("n") > list_rows)
     if long_lists.isEmpty():
-        return _pairs(postings, distance, least)
-    short = postings.join(long_lists, ["list", "bytes"], "left_anti")
-    held = postings.join(long_lists, ["list", "bytes"], "left_semi").select("fp").distinct()
-    finer = _postings(held, list(combinations(range(BYTES), 5)))
-    return _pairs(short, distance, least).union(_pairs(finer, distance, least))
+        return _pairs(listed, distance)
+    finer = _listed(_postings(long_lists.select("fp").distinct(), list(combinations(range(BYTES), 5))))
+    return _pairs(listed.filter(F.col("n") <= list_rows), distance).union(_pairs(finer, distance))
 
 
 def _postings(distinct: DataFrame, lists: list[tuple[int, ...]]) -> DataFrame:
@@ -109,39 +107,50 @@ def _postings(distinct: DataFrame, lists: list[tuple[int, ...]]) -> DataFrame:
     return distinct.select("fp", F.posexplode(keys).alias("list", "bytes"))
 
 
-def _pairs(postings: DataFrame, distance: int, least: int) -> DataFrame:
-    left = postings.select("list", "bytes", F.col("fp").alias("a"))
-    right = postings.select(F.col("list").alias("list2"), F.col("bytes").alias("bytes2"), F.col("fp").alias("b"))
+def _listed(postings: DataFrame) -> DataFrame:
+    """The postings of lists with more than one fingerprint, with the list's length and its ``pivot``; stored."""
+    lists = postings.groupBy("list", "bytes").agg(F.count("*").alias("n"), F.min("fp").alias("pivot")).filter("n > 1")
+    return stage(postings.join(stage(lists, "lists"), ["list", "bytes"]), "postings")
+
+
+def _linked(a: Column, b: Column, distance: int) -> Column:
+    return (shared_bytes(a, b) >= BYTES - distance) & (F.bit_count(a.bitwiseXOR(b)) <= distance)
+
+
+def _pairs(listed: DataFrame, distance: int) -> DataFrame:
+    """Links of each list. Two fingerprints that are both linked to the pivot need no link of their own, so a
+    dense group gives about as many links as it has members."""
+    marked = listed.withColumn("near", _linked(F.col("fp"), F.col("pivot"), distance))
+    hung = marked.filter(F.col("near") & (F.col("fp") != F.col("pivot"))).select(F.col("pivot").alias("a"), F.col("fp").alias("b"))
+    left = marked.select("list", "bytes", F.col("fp").alias("a"), F.col("near").alias("near_a"))
+    right = marked.select(F.col("list").alias("list2"), F.col("bytes").alias("bytes2"), F.col("fp").alias("b"), F.col("near").alias("near_b"))
     a, b = F.col("a"), F.col("b")
-    linked = (shared_bytes(a, b) >= least) & (F.bit_count(a.bitwiseXOR(b)) <= distance)
     same = (F.col("list") == F.col("list2")) & (F.col("bytes") == F.col("bytes2"))
-    return left.join(right, same & (a < b) & linked).select("a", "b")
+    apart = left.join(right, same & (a < b) & ~(F.col("near_a") & F.col("near_b")) & _linked(a, b, distance))
+    return hung.union(apart.select("a", "b"))
 
 
 def near_groups(
     df: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = 3, distance: int = 3, list_rows: int = LIST_ROWS
 ) -> DataFrame:
-    """One row per input row: id, ``fp``, ``component_id``, ``n_links``.
+    """One row per input row: id, ``fp``, ``component_id``.
 
     ``component_id`` is the smallest id reachable over links of at most ``distance`` bits, the row's own
-    included; ``n_links`` counts the other distinct fingerprints linked to this one. Equal fingerprints,
-    that of empty texts (0) included, are one node with their smallest id. Empty input: no rows.
+    included. Equal fingerprints, that of empty texts (0) included, are one node with their smallest id.
+    Empty input: no rows.
     """
     rows, label = _grouped(keyed(df, id_col, text), shingle, distance, list_rows)
-    return rows.join(label, "fp").select(F.col("_id").alias(id_col), "fp", "component_id", "n_links")
+    return rows.join(label, "fp").select(F.col("_id").alias(id_col), "fp", "component_id")
 
 
 def _grouped(rows: DataFrame, shingle: int, distance: int, list_rows: int) -> tuple[DataFrame, DataFrame]:
     rows = stage(rows.select("_id", "_key", fingerprints(F.col("_text"), shingle).alias("fp")), "fingerprints")
     nodes = stage(rows.groupBy("fp").agg(F.min("_id").alias("first_id")), "nodes")
     edges = stage(links(nodes.select("fp"), distance, list_rows).distinct(), "edges")
-    degree = edges.select(F.explode(F.array("a", "b")).alias("fp")).groupBy("fp").agg(F.count("*").alias("n_links"))
     roots = stage(components(edges), "components").withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    label = rooted.join(smallest, "root").join(degree, "fp", "left")
-    label = label.select("fp", "root", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return rows, stage(label, "labels")
+    smallest = stage(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
+    return rows, stage(rooted.join(smallest, "root").select("fp", "root", "component_id"), "labels")
 
 
 def drop_near_copies(
@@ -155,7 +164,7 @@ def drop_near_copies(
     rows, label = _grouped(keyed(df, id_col, text), shingle, distance, list_rows)
     placed = rows.join(label, "fp").select("_id", "_key", "root", "component_id")
     named = F.col("_id").eqNullSafe(F.col("component_id"))
-    chosen = placed.filter(named).groupBy("root").agg(F.min("_key").alias("chosen"))
+    chosen = stage(placed.filter(named).groupBy("root").agg(F.min("_key").alias("chosen")), "chosen")
     verdict = placed.join(chosen, "root")
     stays = named & (F.col("_key") == F.col("chosen"))
     return without(df, stage(verdict.filter(~stays).select("_id", "_key").distinct(), "dropped"), id_col, text)

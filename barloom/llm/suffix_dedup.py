@@ -220,8 +220,10 @@ def repeated_spans(
 
     listed = stored.select(*TEXT, F.explode("suffixes").alias("s")).select(*TEXT, "s.*")
     listed = stage(_with_equal_neighbours(listed), "neighbours")
+    # Small tables that meet hot keys are stored, so that Spark can split the other side of the join.
     keys = listed.groupBy("key").agg(F.count("*").alias("n"), (F.min("context") == F.max("context")).alias("uniform"))
-    members = listed.join(keys.filter("n > 1").select("key", "uniform"), "key").join(classes.select(*TEXT, "first_id"), TEXT)
+    keys = stage(keys.filter("n > 1").select("key", "uniform"), "keys")
+    members = listed.join(keys, "key").join(classes.select(*TEXT, "first_id"), TEXT)
     members = stage(members, "members")
     contexts = members.groupBy(*CONTEXT, "uniform").agg(
         F.min("first_id").alias("first_id"), F.count("*").alias("n"), F.min("t1").alias("t1")
@@ -237,9 +239,10 @@ def repeated_spans(
     windows = stage(_window_rows(texts, open_members, open_contexts, classes, min_words), "windows")
     counted = windows.join(open_contexts.select(*CONTEXT, "n", "first_id"), CONTEXT)
     shared = counted.groupBy("w1", "w2").agg(F.sum("n").alias("n"), F.min("first_id").alias("origin")).filter("n > 1")
-    runs = windows.join(shared.select("w1", "w2", "origin"), ["w1", "w2"]).groupBy(*CONTEXT).agg(
-        F.collect_list(F.struct("offset", "origin")).alias("shared")
-    )
+    shared = stage(shared.select("w1", "w2", "origin"), "shared")
+    # A context has as many windows as it has words, at most.
+    runs = windows.join(shared, ["w1", "w2"]).groupBy(*CONTEXT).agg(F.collect_list(F.struct("offset", "origin")).alias("shared"))
+    runs = stage(runs, "runs")
     partly = open_members.select(*CONTEXT, *TEXT, "first").join(runs, CONTEXT)
     partly = partly.select(*TEXT, "first", F.explode("shared").alias("w")).select(
         *TEXT, (F.col("first") + F.col("w.offset")).alias("start"), (F.col("first") + F.col("w.offset") + min_words).alias("stop"),
