@@ -147,3 +147,35 @@ def op8_token_counts(spark, sf_dir):
 @query
 def op9_license_scan(spark, sf_dir):
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op5_chat_format"] = r"""
+WITH said AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
+    UNION ALL SELECT -7, n, CASE n WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(2) AS r(n)
+), sized AS (
+    SELECT *, CAST(ceil(length(t) / 4.0) AS BIGINT) + 4 AS tokens,
+           replace(replace(replace(t, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#') AS body,
+           replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#'), ':', '\:') AS head
+    FROM said
+), placed AS (
+    SELECT *, sum(tokens) OVER o - tokens AS b, sum(tokens) OVER o AS e, 14 + length(head) + length(body) AS chars
+    FROM sized WINDOW o AS (PARTITION BY conv_id ORDER BY turn, role, body ROWS UNBOUNDED PRECEDING)
+), starts AS (
+    SELECT conv_id, b // 768 AS stretch, (e - 1) // 768 <> b // 768 AS across, min(b) AS start FROM placed GROUP BY 1, 2, 3
+), system AS (
+    SELECT conv_id, min(b) AS b FROM placed WHERE role = 'system' GROUP BY conv_id
+), repeated AS (
+    SELECT p.conv_id, sum(p.chars) AS chars
+    FROM starts s JOIN placed p ON p.conv_id = s.conv_id AND p.e <= s.start LEFT JOIN system y ON y.conv_id = p.conv_id AND y.b = p.b
+    WHERE p.b >= s.start - 128 OR y.b IS NOT NULL
+    GROUP BY p.conv_id
+), whole AS (
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, body)) AS turns_sha256,
+           coalesce(string_agg(t, '' ORDER BY turn, role, body) FILTER (role = 'assistant'), '') AS loss, sum(chars) AS chars
+    FROM placed GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(w.chars + coalesce(r.chars, 0) AS BIGINT) AS formatted_chars
+FROM whole w LEFT JOIN repeated r USING (conv_id)
+"""

@@ -177,8 +177,7 @@ def _with_equal_neighbours(listed: DataFrame) -> DataFrame:
             yield from held.to_batches()
 
     # Ranges of the whole order, so that suffixes of one frequent key go to several tasks.
-    tasks = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = listed.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    ordered = listed.repartitionByRange(*order).sortWithinPartitions(*order)
     return ordered.mapInArrow(run, listed.schema)
 
 
