@@ -8,9 +8,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.scalars import iso_time, json_int, quote_line, snapshot_time
+from barloom.functions.scalars import iso_time, quote_line, snapshot_time
 
-# The watch list, in message order; response paths; message heading; success status.
+# The watch list, in message order; response fields; message heading; success status.
 WATCH_LIST = (
     {"code": "005930", "name": "삼성전자"},
     {"code": "000660", "name": "SK하이닉스"},
@@ -18,8 +18,8 @@ WATCH_LIST = (
     {"code": "207940", "name": "삼성바이오로직스"},
     {"code": "005380", "name": "현대차"},
 )
-PRICE_PATH = "$.output1.stck_prpr"
-VOLUME_PATH = "$.output1.acml_vol"
+PRICE, VOLUME = "stck_prpr", "acml_vol"
+BODY = f"output1 struct<{PRICE}: string, {VOLUME}: string>"
 HEADING = "📈 Stock Price Update:\n"
 SUCCESS = 200
 
@@ -49,10 +49,12 @@ def watched(quotes: DataFrame, watch: Sequence[Mapping[str, object]] = WATCH_LIS
 def parse_quotes(responses: DataFrame, taken_at: Column | str | None = None) -> DataFrame:
     """``(code, price, volume, timestamp, run_ts)`` of successful responses; an absent number is 0."""
     ok, _ = split_responses(responses)
+    # Both numbers from one parse of the body; they may come as texts.
+    output = F.from_json("body", BODY)["output1"]
     return ok.select(
         "code",
-        json_int("body", PRICE_PATH).alias("price"),
-        json_int("body", VOLUME_PATH).alias("volume"),
+        F.coalesce(output[PRICE].cast("bigint"), F.lit(0).cast("bigint")).alias("price"),
+        F.coalesce(output[VOLUME].cast("bigint"), F.lit(0).cast("bigint")).alias("volume"),
         iso_time(taken_at).alias("timestamp"),
         snapshot_time(taken_at).alias("run_ts"),
     )
