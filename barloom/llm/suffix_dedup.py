@@ -50,18 +50,20 @@ class Hasher:
 
     def _forget(self) -> None:
         self.number: dict[str, int] = defaultdict(count().__next__)
-        self.hashes = np.zeros((2, 0), dtype=np.uint64)
+        self.hashes = np.zeros((2, 1 << 16), dtype=np.uint64)
+        self.known = 0
 
     def words(self, words: list[str]) -> np.ndarray:
         """Two rows of word hashes."""
         if len(self.number) > MEMO_WORDS:
             self._forget()
         numbers = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
-        known = self.hashes.shape[1]
-        if len(self.number) > known:
-            new = [w.encode("utf-8", "replace") for w in islice(self.number, known, None)]
-            grown = np.array([[xxhash.xxh64_intdigest(w, seed) for w in new] for seed in (1, 2)], dtype=np.uint64)
-            self.hashes = np.concatenate([self.hashes, grown], axis=1)
+        if len(self.number) > self.known:
+            new = [w.encode("utf-8", "replace") for w in islice(reversed(self.number), len(self.number) - self.known)][::-1]
+            while len(self.number) > self.hashes.shape[1]:
+                self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)], axis=1)
+            self.hashes[:, self.known:len(self.number)] = [[xxhash.xxh64_intdigest(w, seed) for w in new] for seed in (1, 2)]
+            self.known = len(self.number)
         return self.hashes[:, numbers]
 
 
