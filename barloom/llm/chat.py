@@ -29,6 +29,10 @@ SYSTEM_RESERVE = 128
 #: Turn numbers of a block of the prefix sums.
 BLOCK = 256
 
+#: What a conversation is known by: its id as text, and whether it has none. Plain columns keep a
+#: partitioning through joins that a null-safe comparison would deal out again.
+CONV = ["conv_key", "conv_null"]
+
 OPEN, CLOSE = "### ", "</turn>"
 SYSTEM, ASSISTANT = "system", "assistant"
 
@@ -53,24 +57,21 @@ def placed_turns(df: DataFrame, conv: str, turn: str, role: str, text: str, toke
     speaker = F.coalesce(F.col(f"`{role}`").cast("string"), F.lit(""))
     counted = estimated_tokens(body) if tokens is None else F.greatest(tokens.cast("long"), F.lit(1))
     number = F.col(f"`{turn}`")
+    own = F.col(f"`{conv}`")
     rows = df.select(
-        F.col(f"`{conv}`").alias("conv"), number.alias("turn"), F.floor(F.coalesce(number, F.lit(0)) / BLOCK).alias("block"),
-        speaker.alias("role"), escape(body).alias("body"), F.replace(escape(speaker), F.lit(":"), F.lit("\\:")).alias("head"),
+        own.alias("conv"), F.coalesce(own.cast("string"), F.lit("")).alias("conv_key"), own.isNull().alias("conv_null"),
+        # A null turn number comes first; equal numbers go by role and text.
+        number.alias("turn"), F.coalesce(F.floor(number / BLOCK), F.lit(-(1 << 62))).alias("block"), speaker.alias("role"), escape(body).alias("body"), F.replace(escape(speaker), F.lit(":"), F.lit("\\:")).alias("head"),
         counted.alias("tokens"),
     )
-    # A null turn number comes first; equal numbers go by role and text.
-    rows = rows.withColumn("block", F.when(F.col("turn").isNull(), F.lit(None)).otherwise(F.col("block")))
-    inside = Window.partitionBy("conv", "block").orderBy("turn", "role", "body").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy("conv", "block").agg(F.sum("tokens").alias("total"))
-    over = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = blocks.select(
-        F.col("conv").alias("conv2"), F.col("block").alias("block2"), F.coalesce(F.sum("total").over(over), F.lit(0)).alias("before")
-    )
+    inside = Window.partitionBy(*CONV, "block").orderBy("turn", "role", "body").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*CONV, "block").agg(F.sum("tokens").alias("total"))
+    over = Window.partitionBy(*CONV).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select(*CONV, "block", F.coalesce(F.sum("total").over(over), F.lit(0)).alias("before"))
     local = rows.withColumn("local", F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
-    same = F.col("conv").eqNullSafe(F.col("conv2")) & F.col("block").eqNullSafe(F.col("block2"))
     begin = F.col("before") + F.col("local")
-    return local.join(before, same).select(
-        "conv", "role", "body", "head", begin.alias("begin"), (begin + F.col("tokens")).alias("end"),
+    return local.join(before, [*CONV, "block"]).select(
+        "conv", *CONV, "role", "body", "head", begin.alias("begin"), (begin + F.col("tokens")).alias("end"),
     )
 
 
@@ -93,21 +94,20 @@ def format_windows(
     stretch = F.floor(F.col("begin") / step)
     across = (F.floor((F.col("end") - 1) / step) != stretch).cast("long")
     own = turns.withColumn("window", 2 * stretch + across)
-    starts = own.groupBy("conv", "window").agg(F.min("begin").alias("start"))
-    starts = starts.select(F.col("conv").alias("conv2"), F.col("window").alias("window2"), "start")
-    same_conv = F.col("conv").eqNullSafe(F.col("conv2"))
+    starts = own.groupBy(*CONV, "window").agg(F.min("begin").alias("start"))
 
     # The windows that may open within ``history`` tokens behind a turn: a few, found by their number.
     reach = F.sequence(2 * F.floor(F.col("end") / step), 2 * F.floor((F.col("begin") + history) / step) + 1)
     near = turns.filter(F.col("end") <= F.col("begin") + history).withColumn("window", F.explode(reach))
     recent = (F.col("start") >= F.col("end")) & (F.col("start") <= F.col("begin") + history)
-    repeats = near.join(starts, same_conv & (F.col("window") == F.col("window2")) & recent).drop("conv2", "window2", "start")
+    repeats = near.join(starts, [*CONV, "window"]).filter(recent).drop("start")
 
     systems = turns.filter(F.col("role") == SYSTEM)
-    first = systems.groupBy("conv").agg(F.min("begin").alias("first")).withColumnRenamed("conv", "conv3")
-    system = systems.join(first, F.col("conv").eqNullSafe(F.col("conv3")) & (F.col("begin") == F.col("first"))).drop("conv3", "first")
-    retained = system.join(starts, same_conv & (F.col("begin") < F.col("start") - history) & (F.col("end") <= F.col("start")))
-    retained = retained.withColumn("window", F.col("window2")).drop("conv2", "window2", "start")
+    first = systems.groupBy(*CONV).agg(F.min("begin").alias("begin"))
+    system = systems.join(first, [*CONV, "begin"])
+    retained = starts.join(system, CONV).filter((F.col("begin") < F.col("start") - history) & (F.col("end") <= F.col("start")))
+    retained = retained.drop("start")
+
     pieces = reduce(
         lambda a, b: a.unionByName(b),
         (p.withColumn("new", F.lit(new)) for p, new in ((own, True), (repeats, False), (retained, False))),
@@ -117,7 +117,7 @@ def format_windows(
         "begin", "new", opening.alias("opening"), "body", (F.col("new") & (F.col("role") == ASSISTANT)).alias("loss"),
         (F.col("end") - F.col("begin")).alias("tokens"),
     )
-    windows = pieces.groupBy("conv", "window").agg(F.array_sort(F.collect_list(piece)).alias("turns"))
+    windows = pieces.groupBy(*CONV, "window").agg(F.first("conv").alias("conv"), F.array_sort(F.collect_list(piece)).alias("turns"))
     closing = F.lit(CLOSE + "\n")
     rendered = F.transform("turns", lambda t: F.concat(t["opening"], t["body"], closing))
     # Each turn's first character: what stands before it, summed up.

@@ -81,7 +81,7 @@ def learn(
     dictionary_bytes: int = DICTIONARY_BYTES, sample_texts: int = SAMPLE_TEXTS,
 ) -> LanguageModel:
     """Dictionaries from a sample of the rows of ``df`` with a language: per language at most ``sample_texts``
-    whole texts, drawn by a hash of their id, until ``dictionary_bytes`` are filled.
+    texts, drawn by a hash of their id, and of these an equal share each until ``dictionary_bytes`` are filled.
 
     The draw is one row per language and hash bucket, so it combines on the map side; only the sample
     reaches the driver. No labelled row: a model without languages, which predicts ``und``.
