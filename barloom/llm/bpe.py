@@ -23,6 +23,8 @@ import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from barloom.llm.common import release_memory
+
 #: Characters cut into words at a time, words of a block, and distinct words remembered in a partition.
 PART_CHARS = 1 << 18
 BLOCK_WORDS = 1_000_000
@@ -250,6 +252,8 @@ def encode(text: Column, ranks: dict[bytes, int], pattern: str) -> Column:
         ids = encoder.encode(t.as_py() or "" for texts in batches for t in texts)
         while part := list(islice(ids, OUT_TEXTS)):
             yield pa.array(part, type=pa.binary())
+        del ids, encoder
+        release_memory()
 
     return run(text)
 
@@ -278,6 +282,8 @@ def encode_and_decode(text: Column, ranks: dict[bytes, int], pattern: str) -> Co
         ids = encoder.encode(t.as_py() or "" for texts in batches for t in texts)
         while part := list(islice(ids, OUT_TEXTS)):
             yield pa.array([{"ids": p, "decoded": decoded(p)} for p in part], type=BOTH)
+        del ids, encoder
+        release_memory()
 
     return run(text)
 

@@ -12,6 +12,10 @@ Conventions of the whole subpackage
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,6 +77,16 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
+def release_memory() -> None:
+    """Gives freed memory back to the system. Python workers live on from task to task, and what one
+    task's blocks took would otherwise stay with the worker while others need it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _mark(links: DataFrame) -> tuple:
     """Tells one edge set from another: number of rows and a sum of hashes."""
     hashed = F.xxhash64("a", "b").cast("decimal(38,0)")

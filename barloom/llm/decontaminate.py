@@ -25,6 +25,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import release_memory
+
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Bits of 64. Texts at the similarity of 0.8 differ in 9.7 bits on average, with a deviation of 2.9.
@@ -185,6 +187,7 @@ def _search(text: Column, bench: Benchmark) -> Column:
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array([bench.matches(t.as_py() or "") for t in texts], type=FOUND)
+        release_memory()
 
     return run(text)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import keyed, only, text_of, without
+from barloom.llm.common import keyed, only, release_memory, text_of, without
 from barloom.session import stage
 
 #: Two primes below 2^31 and a base for each: products stay below 2^63.
@@ -93,6 +93,7 @@ def _fingerprints(rows: DataFrame, primes: tuple[int, ...], digest: bool, huge:
                 h1, h2 = poly.hash(data)
                 out.append({"h1": h1, "h2": h2, "n_bytes": len(data), "digest": hashlib.sha256(data).hexdigest() if digest else None})
             yield pa.array(out, type=FINGERPRINT)
+        release_memory()
 
     size = F.octet_length("_text")
     small = rows.filter(size < huge).withColumn("_fp", whole(F.col("_text"))).select("*", "_fp.*").drop("_fp")

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.llm.common import release_memory
+
 #: Bytes of a dictionary, and texts drawn for it at most.
 DICTIONARY_BYTES = 32 << 10
 SAMPLE_TEXTS = 128
@@ -152,6 +154,7 @@ def predict(text: Column, model: LanguageModel, margin: float = MARGIN) -> Colum
                     score = min(1.0, max(0.0, (second - int(sizes[best])) / second))
                 out.append({"lang": model.languages[best], "score": score, "accepted": score >= margin})
             yield pa.array(out, type=RESULT)
+        release_memory()
 
     return run(text)
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import release_memory
+
 COVERAGE = 0.8
 WORD = re.compile(r"\w+")
 
@@ -155,6 +157,7 @@ def _found(text: Column, templates: dict[str, str], coverage: float) -> Column:
         scanner = Scanner(templates, coverage)
         for texts in batches:
             yield pa.array([scanner.scan(t.as_py() or "") for t in texts], type=FOUND)
+        release_memory()
 
     return run(text)
 

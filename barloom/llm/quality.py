@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import release_memory
+
 #: Labelled documents learned from, at most (drawn by a hash of the id).
 TRAIN_ROWS = 20_000
 BINS = 64
@@ -158,6 +160,7 @@ def score(text: Column, model: Trees) -> Column:
         for texts in batches:
             x = np.array([statistics(t.as_py() or "") for t in texts]).reshape(len(texts), len(STATISTICS))
             yield pa.array(model.scores(x))
+        release_memory()
 
     return run(text)
 

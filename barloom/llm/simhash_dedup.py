@@ -14,6 +14,7 @@ list's pivot already connects.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -22,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import components, keyed, without
+from barloom.llm.common import components, keyed, release_memory, without
 from barloom.session import stage
 
 #: Lower-casing of A-Z alone, and the word pattern; fixed by the contract.
@@ -58,9 +59,11 @@ def fingerprints(text: Column, shingle: int = 3) -> Column:
     """Fingerprint of each text as a (signed) long."""
 
     @F.arrow_udf("long")
-    def run(texts: pa.Array) -> pa.Array:
-        out = np.fromiter((fingerprint_of(t.as_py() or "", shingle) for t in texts), dtype=np.uint64, count=len(texts))
-        return pa.array(out.view(np.int64))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out = np.fromiter((fingerprint_of(t.as_py() or "", shingle) for t in texts), dtype=np.uint64, count=len(texts))
+            yield pa.array(out.view(np.int64))
+        release_memory()
 
     return run(text)
 

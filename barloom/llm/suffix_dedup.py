@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import text_of
+from barloom.llm.common import release_memory, text_of
 from barloom.session import stage
 
 MIN_WORDS = 50
@@ -143,6 +143,8 @@ def _retained(texts: DataFrame, min_words: int, k: int) -> DataFrame:
             structs = pa.StructArray.from_arrays(arrays, names=["key", "context", "first", "last"])
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), structs)
             yield pa.StructArray.from_arrays([pa.array(counts, pa.int32()), lists], names=["n_words", "suffixes"])
+        del hasher
+        release_memory()
 
     return texts.withColumn("found", run(F.col("text"))).select("id", *TEXT, "found.n_words", "found.suffixes")
 
@@ -275,6 +277,8 @@ def _window_rows(texts: DataFrame, members: DataFrame, contexts: DataFrame, clas
             for text, wanted in zip(*batch.columns):
                 columns = _windows(text.as_py().split(), wanted.as_py(), hasher, min_words)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+        del hasher
+        release_memory()
 
     return parts.mapInArrow(run, "key long, context long, offset int, w1 long, w2 long")
 

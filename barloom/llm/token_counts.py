@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import text_of
+from barloom.llm.common import release_memory, text_of
 from barloom.session import stage
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
@@ -84,6 +84,8 @@ def counted(text: Column, content: bytes, kind: str, seam: str | None = None) ->
             for start in range(0, len(texts), 256):
                 values += counter.count(texts[start:start + 256].to_pylist())
             yield pa.array(np.array(values, dtype=np.int64))
+        del counter
+        release_memory()
 
     return run(text)
 
