@@ -2,7 +2,8 @@
 
 Each language has a raw-content dictionary, a sample of its texts. A text is encoded with each of them and
 the shortest encoding wins. Long texts are encoded piece by piece, so that a text's own earlier words do
-not stand in for the dictionary. A narrow win is a rejection.
+not stand in for the dictionary; short texts several times, each time from another of their words on, as whole
+bytes are too coarse a measure for them. A narrow win is a rejection.
 """
 
 from __future__ import annotations
@@ -28,7 +29,9 @@ MAX_LANGUAGES = 256
 #: Bytes encoded at a time.
 PIECE = 16 << 10
 #: Share of the second-best size by which the best must be smaller.
-MARGIN = 0.002
+MARGIN = 0.001
+#: Texts below so many bytes are encoded from so many of their words on: whole bytes are coarse for them.
+SHORT, TURNS = 1024, 16
 
 NO_LANGUAGE = "und"
 NOT_LETTERS = regex.compile(r"[^\p{L}]+")
@@ -63,7 +66,15 @@ class LanguageModel:
 
 
 def sizes_of(data: bytes, compressors: list[zstandard.ZstdCompressor]) -> np.ndarray:
-    """Encoded bytes of ``data`` by each compressor; pieces end at a blank."""
+    """Encoded bytes of ``data`` by each compressor, beyond those of nothing; pieces end at a blank."""
+    empty = np.array([len(c.compress(b"")) for c in compressors])
+    if len(data) >= SHORT:
+        return _sizes(data, compressors, empty)
+    words = data.split(b" ")
+    return sum(_sizes(b" ".join(words[i:] + words[:i]), compressors, empty) for i in range(min(TURNS, len(words))))
+
+
+def _sizes(data: bytes, compressors: list[zstandard.ZstdCompressor], empty: np.ndarray) -> np.ndarray:
     sizes = np.zeros(len(compressors), dtype=np.int64)
     start = 0
     while start < len(data):
@@ -73,7 +84,7 @@ def sizes_of(data: bytes, compressors: list[zstandard.ZstdCompressor]) -> np.nda
             if end == start + 1:
                 end = start + PIECE
         part = data[start:end]
-        sizes += [len(c.compress(part)) for c in compressors]
+        sizes += [len(c.compress(part)) for c in compressors] - empty
         start = end
     return sizes
 
@@ -138,7 +149,6 @@ def predict(text: Column, model: LanguageModel, margin: float = MARGIN) -> Colum
     @F.arrow_udf("struct<lang: string, score: double, accepted: boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         compressors = model.compressors()
-        empty = [len(c.compress(b"")) for c in compressors]
         for texts in batches:
             out = []
             for value in texts:
@@ -146,7 +156,7 @@ def predict(text: Column, model: LanguageModel, margin: float = MARGIN) -> Colum
                 if not compressors or content is None or not LETTER.search(content):
                     out.append({"lang": NO_LANGUAGE, "score": 0.0, "accepted": False})
                     continue
-                sizes = sizes_of(letters_of(content), compressors) - empty
+                sizes = sizes_of(letters_of(content), compressors)
                 best = int(np.argmin(sizes))
                 score = 1.0
                 if len(sizes) > 1:
