@@ -7,11 +7,6 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Timestamp texts of landed records and snapshots.
-RECORD_TIME_PATTERN = "%04d-%02d-%02d %02d:%02d:%02d"
-SNAPSHOT_TIME_PATTERN = "%04d%02d%02d_%02d%02d%02d"
-ISO_TIME_PATTERN = "%04d-%02d-%02dT%02d:%02d:%02d.%06d"
-
 # Fixed value: the text that stands for an unknown full name.
 UNKNOWN_NAME = "N/A"
 
@@ -59,26 +54,24 @@ def record_id() -> Column:
     return F.uuid()
 
 
-def _time_text(ts: Column | str | None, pattern: str, micros: bool = False) -> Column:
-    """A time's parts under a printf pattern. Parts of a zone-less time do not pass through a zone."""
-    ts = F.current_timestamp() if ts is None else column(ts)
-    second = F.extract(F.lit("SECOND"), ts)
-    parts = [F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.floor(second).cast("int")]
-    if micros:
-        parts.append(((second % 1) * 1_000_000).cast("int"))
-    return F.when(ts.isNotNull(), F.format_string(pattern, *parts))
+def _time_text(ts: Column | str | None) -> Column:
+    """A time as its clock shows it, ``yyyy-MM-dd HH:mm:ss`` and what there is of a fraction (years of four
+    digits). The cast does not pass a zone-less time through the session zone, as formatting would."""
+    return (F.current_timestamp() if ts is None else column(ts)).cast("string")
 
 
 def record_time(ts: Column | str | None = None) -> Column:
-    return _time_text(ts, RECORD_TIME_PATTERN)
+    # A date's text ends early: midnight.
+    return F.rpad(F.substring(_time_text(ts), 1, 19), 19, " 00:00:00")
 
 
 def iso_time(ts: Column | str | None = None) -> Column:
-    return _time_text(ts, ISO_TIME_PATTERN, micros=True)
+    fraction = F.rpad(F.substring(_time_text(ts), 21, 6), 6, "0")
+    return F.concat(F.translate(record_time(ts), " ", "T"), F.lit("."), fraction)
 
 
 def snapshot_time(ts: Column | str | None = None) -> Column:
-    return _time_text(ts, SNAPSHOT_TIME_PATTERN)
+    return F.translate(record_time(ts), " -:", "_")
 
 
 def hour_parts(ts: Column | str) -> list[Column]:

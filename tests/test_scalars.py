@@ -92,3 +92,9 @@ def test_texts_of_zoneless_times_know_no_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", kept)
     assert tuple(spark.createDataFrame([(None,)], "x timestamp_ntz").select(fx.iso_time("x"), *fx.hour_parts("x")).first()) == (None,) * 5
+
+
+def test_texts_of_a_date_are_those_of_its_midnight(spark):
+    df = spark.createDataFrame([(dt.date(2024, 3, 1),)], "x date")
+    row = df.select(fx.record_time("x"), fx.snapshot_time("x"), fx.iso_time("x")).first()
+    assert tuple(row) == ("2024-03-01 00:00:00", "20240301_000000", "2024-03-01T00:00:00.000000")
