@@ -33,6 +33,17 @@ def test_language_keeps_documents(stored):
     assert stored[1].count() >= 0.97 * stored[0].count()
 
 
+def test_language_stage_drops_a_language_outside_the_dictionaries(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    turned = F.translate(F.lower("text"), "abcdefghijklmnopqrstuvwxyz", "nopqrstuvwxyzabcdefghijklm")
+    foreign = docs.filter("octet_length(text) >= 1000").select(
+        (F.col("doc_id") + 10**9).alias("doc_id"), turned.alias("text"), F.lit(None).cast("string").alias("lang"), "source", "n_chars"
+    )
+    got = ids(corpus_pipeline.identify_language(spark, docs.unionByName(foreign.select(docs.columns)), SF))
+    assert sum(i >= 10**9 for i in got) < 0.05 * foreign.count()
+    assert sum(i < 10**9 for i in got) >= 0.97 * docs.count()
+
+
 def test_exact_stage(stored):
     first = {}
     for r in sorted(stored[1].collect(), key=lambda r: r["doc_id"]):

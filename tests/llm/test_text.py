@@ -111,6 +111,21 @@ def test_language_edges(spark):
     assert kept.columns == [*docs.columns, "_p"] and kept.count() > 0.98 * docs.count()
 
 
+def test_language_outside_the_dictionaries_is_rejected(spark):
+    docs = documents(spark)
+    held_out, rows = language_id.trained_rows(docs, "doc_id", 5)
+    texts = docs.filter(held_out).filter("octet_length(text) >= 1000")
+    model = language_id.learn(rows)
+    foreign = texts.withColumn("text", F.translate(F.lower("text"), "abcdefghijklmnopqrstuvwxyz", "nopqrstuvwxyzabcdefghijklm"))
+    accepted = [r["accepted"] for r in language_id.identify(foreign, model).collect()]
+    assert len(accepted) > 50 and sum(accepted) / len(accepted) < 0.05
+    own = [r["accepted"] for r in language_id.identify(texts, model).collect()]
+    assert sum(own) / len(own) > 0.98
+    rest = language_id.learn(rows.filter("lang <> 'de'"))
+    left_out = [r["accepted"] for r in language_id.identify(docs.filter("lang = 'de'"), rest).collect()]
+    assert len(left_out) > 50 and sum(left_out) / len(left_out) < 0.15
+
+
 # ---- BPE
 
 
