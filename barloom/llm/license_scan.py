@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,8 +60,58 @@ TEMPLATES = {
         "Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice "
         "shall be included in all copies or substantial portions of the Software."
     ),
+    "All-rights-reserved": "All rights reserved.",
 }
 
+# Families by version: a notice, a name without the sentence around it, the grant of a source file, an SPDX tag.
+_CC = {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+for _kind, _long in _CC.items():
+    for _v in ("2.0", "2.5", "3.0", "4.0"):
+        TEMPLATES.setdefault(f"CC-{_kind}-{_v}-notice", f"Licensed under CC {_kind} {_v}.")
+        TEMPLATES[f"CC-{_kind}-{_v}-name"] = f"Creative Commons {_long} {_v}"
+_GNU = {"GPL": ("General", "1.0 2.0 3.0"), "LGPL": ("Lesser General", "2.1 3.0"), "AGPL": ("Affero General", "3.0")}
+for _short, (_long, _versions) in _GNU.items():
+    for _v in _versions.split():
+        _said = _v.removesuffix(".0")
+        TEMPLATES.setdefault(f"{_short}-{_v}-notice", f"This work is licensed under the GNU {_long} Public License, version {_said}.")
+        TEMPLATES[f"{_short}-{_v}-name"] = f"GNU {_long} Public License version {_said}"
+        TEMPLATES.setdefault(f"{_short}-{_v}-or-later", TEMPLATES["GPL-3.0-or-later"].replace("GNU General", f"GNU {_long}").replace("version 3", f"version {_said}"))
+TEMPLATES |= {
+    "Apache-1.1-notice": "Licensed under the Apache License, Version 1.1.",
+    "BSD-2-Clause-notice": "Released under the BSD 2-Clause License.",
+    "BSD-3-Clause-notice": "Released under the BSD 3-Clause License.",
+    "ISC-notice": "Released under the ISC License.",
+    "Zlib-notice": "Released under the zlib License.",
+    "Unlicense-notice": "Released under the Unlicense.",
+    "BSL-1.0-notice": "Distributed under the Boost Software License, Version 1.0.",
+    "EPL-1.0-notice": "Licensed under the Eclipse Public License, version 1.0.",
+    "EPL-2.0-notice": "Licensed under the Eclipse Public License, version 2.0.",
+    "CC0-1.0-notice": "Licensed under CC0 1.0.",
+    "CC0-1.0-name": "Creative Commons Zero 1.0",
+    "MPL-1.1-notice": "Licensed under the Mozilla Public License, version 1.1.",
+    "MPL-2.0-notice": "Licensed under the Mozilla Public License, version 2.0.",
+    "MPL-2.0": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    ),
+}
+_SPDX = (
+    "0BSD AGPL-3.0-only AGPL-3.0-or-later Apache-1.1 Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSL-1.0 CC-BY-3.0 CC-BY-4.0 "
+    "CC-BY-SA-3.0 CC-BY-SA-4.0 CC-BY-NC-4.0 CC-BY-ND-4.0 CC-BY-NC-SA-4.0 CC-BY-NC-ND-4.0 CC0-1.0 EPL-1.0 EPL-2.0 GPL-2.0 GPL-2.0-only "
+    "GPL-2.0-or-later GPL-3.0 GPL-3.0-only GPL-3.0-or-later ISC LGPL-2.1-only LGPL-2.1-or-later LGPL-3.0-only LGPL-3.0-or-later MIT "
+    "MIT-0 MPL-1.1 MPL-2.0 Unlicense WTFPL Zlib"
+)
+TEMPLATES |= {f"SPDX-{_id}": f"SPDX-License-Identifier: {_id}" for _id in _SPDX.split()}
+# Whole texts, as published; without the line of the copyright holder where there is one.
+TEMPLATES |= {f"{_file.stem}-text": _file.read_text() for _file in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
+
+#: Up to so many words a template is a notice: what it names must be matched, only words of any notice may lack.
+NOTICE_WORDS = 20
+ANY_NOTICE = frozenset("a are available distributed is its license licensed of released terms the this under v version work".split())
+
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
@@ -119,33 +171,72 @@ class Scanner:
     def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
         self.templates = {name: words_of(text) for name, text in templates.items() if words_of(text)}
         self.coverage = coverage
-        self.vocabulary = {w for words in self.templates.values() for w in words}
+        self.named = {
+            name: {i for i, w in enumerate(words) if w not in ANY_NOTICE} if len(words) <= NOTICE_WORDS else set()
+            for name, words in self.templates.items()
+        }
+        self.bags = {name: Counter(words) for name, words in self.templates.items()}
+        self.vocabulary = {w: k for k, w in enumerate(sorted({w for bag in self.bags.values() for w in bag}))}
+        self.weights = np.zeros((len(self.vocabulary), len(self.templates)), dtype=np.int32)
+        for t, bag in enumerate(self.bags.values()):
+            for w, n in bag.items():
+                self.weights[self.vocabulary[w], t] = n
+        self.needed = np.array([self._needed(len(words)) for words in self.templates.values()])
+
+    def _needed(self, size: int) -> int:
+        return int(-(-(size * self.coverage - 1e-9) // 1))
 
     def scan(self, text: str) -> list[dict]:
-        """Disjoint stretches by template, in order."""
+        """Disjoint stretches, in order. Of overlapping ones that with most words matched beyond those it lacks."""
         words = words_of(text)
         places: dict[str, list[int]] = defaultdict(list)
         for i in [i for i, w in enumerate(words) if w in self.vocabulary]:
             places[words[i]].append(i)
-        return [found for name, template in self.templates.items() for found in self._stretches(name, template, words, places)]
+        if not places:
+            return []
+        held = self.weights[[self.vocabulary[w] for w in places]].sum(axis=0)
+        names = list(self.templates)
+        found = [x for t in np.flatnonzero(held >= self.needed) for x in self._stretches(names[t], words, places)]
+        found.sort(key=lambda x: (-x["score"], -x["coverage"], x["start"], x["license"]))
+        starts: list[int] = []
+        kept: list[dict] = []
+        for x in found:
+            at = bisect_left(starts, x["start"])
+            if (at and kept[at - 1]["stop"] > x["start"]) or (at < len(kept) and kept[at]["start"] < x["stop"]):
+                continue
+            starts.insert(at, x["start"])
+            kept.insert(at, x)
+        return [{k: v for k, v in x.items() if k != "score"} for x in kept]
 
-    def _stretches(self, name: str, template: list[str], words: list[str], places: dict[str, list[int]]) -> Iterator[dict]:
+    def _stretches(self, name: str, words: list[str], places: dict[str, list[int]]) -> Iterator[dict]:
+        template, bag, named = self.templates[name], self.bags[name], self.named[name]
         size = len(template)
-        missing_at_most = size - -(-size * self.coverage // 1)
-        if sum(1 for w in template if w in places) < size - missing_at_most:
-            return
+        needed = self._needed(size)
+        missing_at_most = size - needed
         order = sorted(range(size), key=lambda i: (len(places.get(template[i], ())), i))
-        probes = sorted((at, i) for i in order[: int(missing_at_most) + 1] for at in places.get(template[i], ()))
+        probes = sorted((at, i) for i in order[: missing_at_most + 1] for at in places.get(template[i], ()))
         slack = max(4, size // 2)
+        # Probes whose windows lie in one stretch with too few of the template's words fall together.
+        hopeful: dict[int, bool] = {}
+        tried: set[tuple[int, int]] = set()
         end = 0
         for at, i in probes:
             if at < end:
                 continue
+            group = (at - i) // slack
+            if group not in hopeful:
+                wide = Counter(words[max(0, (group - 1) * slack):max(0, (group + 2) * slack + size)])
+                hopeful[group] = sum(min(n, wide[w]) for w, n in bag.items()) >= needed
+            if not hopeful[group]:
+                continue
             start, stop = max(end, at - i - slack), min(len(words), at - i + size + slack)
+            if (start, stop) in tried:
+                continue
+            tried.add((start, stop))
             pairs = align(words[start:stop], template)
-            if pairs and len(pairs) >= size * self.coverage - 1e-9:
+            if len(pairs) >= needed and named <= {j for _, j in pairs}:
                 first, end = start + pairs[0][0], start + pairs[-1][0] + 1
-                yield {"license": name, "coverage": len(pairs) / size, "start": first, "stop": end}
+                yield {"license": name, "coverage": len(pairs) / size, "start": first, "stop": end, "score": 2 * len(pairs) - size}
 
 
 FOUND = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("start", pa.int64()), ("stop", pa.int64())]))
@@ -168,8 +259,10 @@ def scan(
     """One row per stretch that covers ``coverage`` of a template: id, ``license``, ``coverage``,
     ``start_word`` and ``stop_word`` (behind the last), counted in runs of letters and digits.
 
-    Stretches of one template do not overlap; those of different templates may. Documents without a
-    license, null or empty texts and templates without words give no row. Ids come out as they are.
+    Stretches do not overlap: where several templates cover words of a document, the one with most words matched
+    beyond those it lacks is reported. Of templates up to ``NOTICE_WORDS`` words all but the words of any notice must be
+    matched, so that another version or variant is not taken for it. Documents without a license, null or empty
+    texts and templates without words give no row. Ids come out as they are.
     """
     rows = df.select(F.col(f"`{id_col}`").alias("_id"), _found(F.col(f"`{text}`").cast("string"), dict(templates), coverage).alias("_f"))
     return rows.select("_id", F.explode("_f").alias("_f")).select(

@@ -250,6 +250,41 @@ def test_every_planted_notice_is_found(spark):
         assert want <= {r["doc_id"] for r in got.filter(F.col("license") == name).collect()}
 
 
+#: License sentences as they stand in the documents, written down from these and not from TEMPLATES.
+IN_DOCUMENTS = {
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0-notice", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0-notice",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-notice",
+    "Released under the MIT License.": "MIT-notice", "All rights reserved.": "All-rights-reserved",
+}
+
+
+def test_every_license_sentence_of_the_documents_is_found(spark):
+    docs = documents(spark)
+    got = {(r["doc_id"], r["license"]) for r in license_scan.scan(docs).collect()}
+    want = {(r["doc_id"], name) for r in docs.collect() for line, name in IN_DOCUMENTS.items() if line in (r["text"] or "")}
+    assert {name for _, name in want} == set(IN_DOCUMENTS.values()) and want <= got
+    said = {r["doc_id"] for r in docs.collect() if any(w in (r["text"] or "").lower() for w in ("license", "rights reserved"))}
+    assert {i for i, _ in got} == said
+
+
+def test_neighbours_have_their_own_names():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    said = {
+        "Licensed under CC BY-SA 4.0.": ["CC-BY-SA-4.0-notice"], "Licensed under CC BY 4.0.": ["CC-BY-4.0-notice"],
+        "Licensed under CC BY-NC-SA 3.0.": ["CC-BY-NC-SA-3.0-notice"], "Licensed under CC BY-NC 9.0.": [],
+        "This work is licensed under the GNU General Public License, version 2.": ["GPL-2.0-notice"],
+        "This work is licensed under the GNU Lesser General Public License, version 3.": ["LGPL-3.0-notice"],
+        "This work is licensed under the GNU General Public License, version 9.": [],
+        "Licensed under the Mozilla Public License, version 2.0.": ["MPL-2.0-notice"],
+        "Released under the ISC License.": ["ISC-notice"], "SPDX-License-Identifier: BSD-2-Clause": ["SPDX-BSD-2-Clause"],
+        "All rights reserved. x y z Released under the MIT License.": ["All-rights-reserved", "MIT-notice"],
+    }
+    for text, names in said.items():
+        assert [x["license"] for x in scanner.scan(f"one two {text} three four")] == names, text
+    for name, text in license_scan.TEMPLATES.items():
+        assert [(x["license"], x["coverage"]) for x in scanner.scan(f"one two {text} three four")] == [(name, 1.0)]
+
+
 # ---- quality
 
 
