@@ -85,6 +85,22 @@ def test_no_items_or_documents(spark):
     assert decontaminate.matches(none, spark.createDataFrame(items, "item_id long, text string")).count() == 0
 
 
+def test_repeated_shingles_are_found_beyond_the_radius():
+    # Two words said in turn with a changed tail: 0.8 alike, half the bits hang on what differs.
+    far = 0
+    for seed in range(300):
+        random.seed(seed)
+        word = lambda: "".join(random.choice("abcdefghij") for _ in range(6))
+        a, b = word(), word()
+        text = [a, b] * 22
+        item, doc = text + [word() for _ in range(5)], text + [word() for _ in range(5)]
+        value = decontaminate.weighted_similarity(decontaminate.shingles_of(item), decontaminate.shingles_of(doc))
+        got = decontaminate.Benchmark([("x", " ".join(item))], value, 22).matches(" ".join(doc))
+        assert [m["item"] for m in got] == ["x"]
+        far += decontaminate.Benchmark([("x", " ".join(item))], value, 64).matches(" ".join(doc))[0]["distance"] > 22
+    assert far > 0
+
+
 # ---- language
 
 
