@@ -125,13 +125,14 @@ class Benchmark:
     def matches(self, text: str) -> list[dict]:
         """The best window for each item found in ``text``."""
         words = words_of(text)
-        best: dict[str, dict] = {}
+        best: dict[tuple[int, int], dict] = {}
         for length, starts in self._windows(words).items():
             for start, item, distance in self._near(words, length, starts):
                 name, own = self.by_length[length][item]
                 value = weighted_similarity(shingles_of(words[start:start + length], self.shingle), own)
-                if value >= self.similarity and value > best.get(name, {"similarity": -1.0})["similarity"]:
-                    best[name] = {"item": name, "similarity": value, "distance": distance, "start": start, "n_words": length}
+                # By place and not by id: ids may be null or repeated, and different texts of one id are different items.
+                if value >= self.similarity and value > best.get((length, item), {"similarity": -1.0})["similarity"]:
+                    best[length, item] = {"item": name, "similarity": value, "distance": distance, "start": start, "n_words": length}
         return list(best.values())
 
     def _windows(self, words: list[str]) -> dict[int, np.ndarray]:
@@ -204,7 +205,8 @@ def matches(
     window, its ``distance`` in bits, first word ``start_word`` and ``n_words``.
 
     Equally good windows: the first. Null and empty texts match nothing, null or wordless items are
-    never found, of two items of one text both are. An item id that is null or repeated comes out as it is.
+    never found, of two items of one text both are. An item id that is null or repeated comes out as it is, with a row
+    for each of its texts that is found.
     A text shorter than the item is one window. Empty input or benchmark: no rows.
     """
     kind = benchmark.schema[item_id].dataType

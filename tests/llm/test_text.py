@@ -101,6 +101,15 @@ def test_repeated_shingles_are_found_beyond_the_radius():
     assert far > 0
 
 
+@pytest.mark.parametrize("block", [1, 5_000])
+def test_texts_under_one_item_id_are_items_of_their_own(spark, block):
+    texts = ["one two three four five six", "seven eight nine ten eleven twelve thirteen", "red green blue black white grey"]
+    bench = spark.createDataFrame([(7, texts[0]), (7, texts[1]), (None, texts[0]), (None, texts[2])], "item_id long, text string")
+    docs = spark.createDataFrame([(1, " and ".join(texts))], SCHEMA)
+    got = decontaminate.matches(docs, bench, block_items=block).select("item_id", "start_word").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(7, 0), (7, 7), (None, 0), (None, 15)], key=str)
+
+
 # ---- language
 
 
