@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import (
-    bpe, chat, decontaminate, exact_dedup, language_id, license_scan, quality, simhash_dedup, suffix_dedup, token_counts,
+    alignment, bpe, chat, collocations, decontaminate, exact_dedup, language_id, license_scan, quality, sharding, simhash_dedup, suffix_dedup,
+    token_counts,
 )
 from barloom.session import scratch_path, stage
 
@@ -179,3 +180,59 @@ SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss)
        CAST(w.chars + coalesce(r.chars, 0) AS BIGINT) AS formatted_chars
 FROM whole w LEFT JOIN repeated r USING (conv_id)
 """
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH said AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+           regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS p
+    FROM documents
+), pieces AS (
+    SELECT lang, list_filter(regexp_split_to_array(u.x, '[\x20\x09]+'), lambda w: w <> '') AS w FROM said, unnest(p) AS u(x)
+), grams AS (
+    SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k
+    FROM pieces, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i)
+), f AS (
+    SELECT lang, phrase, k, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100
+), totals AS (
+    SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang
+), candidates AS (
+    SELECT * FROM f WHERE k >= 2
+), kept AS (
+    SELECT * FROM candidates c WHERE NOT EXISTS (
+        SELECT 1 FROM candidates o WHERE o.lang = c.lang AND o.k > c.k AND o.f >= c.f AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' ')
+    )
+), cuts AS (
+    SELECT c.lang, c.phrase, c.f AS a, j, array_to_string(string_split(c.phrase, ' ')[1:j], ' ') AS head,
+           array_to_string(string_split(c.phrase, ' ')[j + 1:], ' ') AS rest
+    FROM kept c, unnest(range(1, c.k)) AS s(j)
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, c.j, x.f AS l, y.f AS r, t.n,
+           (1000::HUGEINT * c.a * t.n) // (x.f::HUGEINT * y.f) AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.rest JOIN totals t ON t.lang = c.lang
+), least AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM least
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= 2000
+"""
+
+
+@query
+def op12_sharding(spark, sf_dir):
+    shards = sharding.assign(table(spark, sf_dir, "documents"))
+    return shards.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query
+def op13_alignment(spark, sf_dir):
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align(table(spark, sf_dir, "documents"), *paths)

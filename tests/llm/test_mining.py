@@ -1,0 +1,285 @@
+"""Collocations, sharding and cross-tokenizer alignment against brute force."""
+
+import hashlib
+import heapq
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from barloom.llm import alignment, collocations, sharding
+
+SF = "/root/testdata/sf0.01"
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+# ---- collocations
+
+
+def brute_collocations(docs, least, top=collocations.TOP, absorbed=100):
+    counts, totals = defaultdict(Counter), Counter()
+    for lang, text in docs:
+        lang = lang or "und"
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            totals[lang] += len(words)
+            for k in range(1, 6):
+                counts[lang].update(tuple(words[i:i + k]) for i in range(len(words) - k + 1))
+    out = []
+    for lang, own in counts.items():
+        candidates = {p: n for p, n in own.items() if n >= least and len(p) > 1}
+        found = []
+        for p, a in candidates.items():
+            around = (q for q in candidates if len(q) > len(p) and any(q[i:i + len(p)] == p for i in range(len(q))))
+            if any(100 * candidates[q] >= absorbed * a for q in around):
+                continue
+            cuts = [(1000 * a * totals[lang] // (own[p[:k]] * own[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            found.append((-score, -a, " ".join(p).encode(), own[p[:k]], own[p[k:]]))
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out, key=str)
+
+
+def spoken(seed, n=60):
+    random.seed(seed)
+    vocabulary = ["Der", "die", "das", "Éa", "éa", "<x>", " ", "ein", "sehr", "langes", "w" * 40, "w" * 39 + "v", "\x00"]
+    docs = [("de", None), (None, "a b. a b! a\tb a b"), ("de", ""), ("xx", " ., \n"), ("de", "ein  sehr\tlanges\vein sehr")]
+    for _ in range(n):
+        words = [random.choice(vocabulary[: random.choice([4, 13])]) + random.choice(["", "", "", "", ",", ".", ":", "\n", " "]) for _ in range(random.randrange(80))]
+        docs.append((random.choice(["de", "en", None]), " ".join(words)))
+    return docs + docs[7:9]
+
+
+@pytest.mark.parametrize("seed, block, short", [(1, 4_000_000, 1 << 18), (2, 50, 100), (3, 7, 1)])
+def test_collocations_are_those_of_brute_force(spark, monkeypatch, seed, block, short):
+    monkeypatch.setattr(collocations, "BLOCK_WORDS", block)
+    monkeypatch.setattr(collocations, "SHORT_BYTES", short)
+    monkeypatch.setattr(collocations, "STRETCH", 40)
+    docs = spoken(seed)
+    df = spark.createDataFrame(docs, "lang string, text string").withColumn("phrase", F.lit(1)).withColumn("_lang", F.lit(2)).repartition(3)
+    assert rows(collocations.collocations(df, min_count=5)) == brute_collocations(docs, 5)
+    assert rows(collocations.collocations(df, min_count=3, top=4, absorbed=60)) == brute_collocations(docs, 3, 4, 60)
+
+
+def test_colliding_fingerprints_are_told_apart_by_the_text(spark, monkeypatch):
+    # One fingerprint for all n-grams of a size, one hash for all words: only the text is left.
+    docs = spoken(4, 20)
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(3)
+    monkeypatch.setattr(collocations, "spread", lambda h: h & np.uint64(3))
+    assert rows(collocations.collocations(df, min_count=5)) == brute_collocations(docs, 5)
+
+
+def test_one_long_text_and_no_words(spark):
+    random.seed(5)
+    long = " ".join(random.choice(["ab", "cd", "ef", "gh."]) for _ in range(400_000))
+    df = spark.createDataFrame([("en", long)], "lang string, text string")
+    assert rows(collocations.collocations(df)) == brute_collocations([("en", long)], 100)
+    for none in ([], [("en", None), (None, "")]):
+        assert collocations.collocations(spark.createDataFrame(none, "lang string, text string")).count() == 0
+
+
+def test_word_numbers_are_exact():
+    words = [b"a", b"b", b"a", b"long word one", b"long word two", b"long word one", b"12345678", b"123456789", b"a\x00", b"12345678"]
+    data, starts = b"", []
+    for w in words:
+        starts.append(len(data))
+        data += w + b"."
+    starts = np.array(starts)
+    stops = starts + [len(w) for w in words]
+    for hashed in (np.array([zlib.crc32(w) for w in words], dtype=np.uint64),):
+        got = collocations.word_numbers(data, starts, stops, hashed)
+        assert [[g == h for h in got] for g in got] == [[v == w for w in words] for v in words]
+
+
+def test_decimal_scores_do_not_round(spark):
+    a, left, right, n = 10**14 + 1, 10**14 + 3, 10**14 + 7, 10**16 + 9
+    got = spark.range(1).selectExpr(f"(1000 * cast({a} as decimal(17,0)) * cast({n} as decimal(17,0))) div (cast({left} as decimal(17,0)) * cast({right} as decimal(17,0))) AS s")
+    assert got.first()["s"] == 1000 * a * n // (left * right)
+
+
+# ---- sharding
+
+
+def heap_loads(sizes, shards):
+    heap = [(0, s) for s in range(shards)]
+    for size in sorted(sizes, reverse=True):
+        load, s = heap[0]
+        heapq.heapreplace(heap, (load + size, s))
+    return sorted(load for load, _ in heap)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_schedule_of_many_equal_sizes_is_that_of_the_heap(seed):
+    random.seed(seed)
+    sizes = sorted((random.choice([8, 9, 30, 31, 500, random.randrange(8, 9_000)]) for _ in range(random.randrange(1, 6_000))), reverse=True)
+    counts = Counter(sizes)
+    for shards in (1, 3, 24):
+        given = sharding.schedule(list(counts), list(counts.values()), shards)
+        assert [sum(g) for g in given] == list(counts.values())
+        loads = [sum(size * g[s] for size, g in zip(counts, given)) for s in range(shards)]
+        assert sorted(loads) == heap_loads(sizes, shards)
+
+
+def documents_to_shard(seed, n=600):
+    random.seed(seed)
+    docs = [(None, None), (1, ""), (None, ""), (7, "same"), (7, "same"), (7, "other")]
+    docs += [(n, "x" * random.randrange(40) + random.choice("äbc")) for n in range(n)]
+    return docs + [(1000 + k, "copied " * 9) for k in range(n // 2)]
+
+
+def checked(got, docs, shards, overhead=8):
+    by_text = defaultdict(set)
+    assert sorted(((r[0], r["size"], r["text_crc32"]) for r in got), key=str) == sorted(
+        ((i, len((t or "").encode()) + overhead, zlib.crc32((t or "").encode())) for i, t in docs), key=str
+    )
+    texts = {(i, zlib.crc32((t or "").encode())): t or "" for i, t in docs}
+    loads, slots = [0] * shards, defaultdict(list)
+    for r in got:
+        by_text[texts[r[0], r["text_crc32"]]].add(r["shard"])
+        loads[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert all(len(s) == 1 for s in by_text.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    totals = Counter()
+    for _, t in docs:
+        totals[t or ""] += len((t or "").encode()) + overhead
+    assert sorted(loads) == heap_loads(totals.values(), shards)
+
+
+@pytest.mark.parametrize("shards, per_task, hot", [(24, 50_000, 1_000), (5, 40, 3)])
+def test_shards_are_those_of_the_heap(spark, monkeypatch, shards, per_task, hot):
+    monkeypatch.setattr(sharding, "PER_TASK", per_task)
+    monkeypatch.setattr(sharding, "HOT_SHARE", hot)
+    docs = documents_to_shard(shards)
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("_shard", F.lit(0)).withColumn("slot", F.lit(0)).repartition(4)
+    checked(sharding.assign(df, shards).collect(), docs, shards)
+
+
+def test_shards_as_folders(spark, tmp_path):
+    docs = documents_to_shard(3, 50)
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("_shard", F.lit("mine"))
+    name = sharding.write_shards(df, str(tmp_path / "shards"), 4)
+    back = spark.read.schema(f"doc_id long, text string, _shard string, {name} int").parquet(str(tmp_path / "shards"))
+    assert rows(back.drop(name)) == rows(df)
+    assert all(len({r[name] for r in back.filter(F.col("text") == t).collect()}) == 1 for t in ("same", "copied " * 9))
+
+
+def test_no_documents_to_shard(spark):
+    assert sharding.assign(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+# ---- alignment
+
+A_PATH, B_PATH = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(A_PATH)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=B_PATH)
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(x): x for x in shown}
+    for x in range(256):
+        if x not in shown:
+            letters[chr(256 + len(letters) - len(shown))] = x
+    a_bytes = lambda i: bytes(letters[c] for c in a.id_to_token(i))
+
+    def b_bytes(i):
+        piece = b.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()
+
+    return a, b, a_bytes, b_bytes
+
+
+def brute_alignment(docs, libraries):
+    a, b, a_bytes, b_bytes = libraries
+    aligned, counts = [], Counter()
+    for i, text in docs:
+        want = (" " + (text or "")).encode()
+        ids = a.encode(" " + (text or ""), add_special_tokens=False).ids, b.encode(text or "")
+        parts = [[f(t) for t in tokens] for f, tokens in zip((a_bytes, b_bytes), ids)]
+        if not text or any(b"".join(p) != want for p in parts):
+            aligned.append((i, [], [], [], []))
+            continue
+        spans = []
+        for own in parts:
+            at, out = 0, []
+            for token in own:
+                out.append((at, at + len(token)))
+                at += len(token)
+            spans.append(out)
+        common = sorted({e for _, e in spans[0]} & {e for _, e in spans[1]})
+        groups, before = [], 0
+        for end in common:
+            groups.append("|".join(",".join(str(t) for t, (s, e) in zip(tokens, own) if before < e <= end) for tokens, own in zip(ids, spans)))
+            before = end
+        links = []
+        for x, (s, e) in zip(ids[0], spans[0]):
+            links += [(x, y) for y, (u, v) in zip(ids[1], spans[1]) if s < v and u < e]
+        counts.update(links)
+        aligned.append((i, ids[0], ids[1], groups, links))
+    best = defaultdict(int)
+    for (_, y), n in counts.items():
+        best[y] = max(best[y], n)
+    return sorted((
+        (i, len(x), len(y), len(groups), len(links), sum(counts[k] == best[k[1]] for k in links), sum(counts[k] for k in links),
+         hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "")
+        for i, x, y, groups, links in aligned
+    ), key=str)
+
+
+ODD = [
+    None, "", " ", "   ", "\n", "a", " a", "a ", "a  ", "a\nb", "a \n b", "\n\na", "a\n\nb", "a\tb", "a \t b", "x▁y", "▁", "<s> </s> <0x0A> <unk>",
+    "<|endoftext|> and more", "naïve — 東京 タワー 😀 é", "\x00 \x01", "    b", "don't we'll  I'm", "ﬁ ａ １", "\x1c a\x1d b", "\r\n a\r\n", "1234567 89",
+    "zwj 👩‍👩‍👧 x", "a" * 3_000, ("word " * 3_000).strip(), "﻿ a", "a 　b", "tab\t tab", "same same", "same same",
+]
+
+
+def test_alignment_of_odd_texts(spark, libraries):
+    docs = list(enumerate(ODD)) + [(None, "no id"), (3, "again three")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("block", F.lit(1)).withColumn("_id", F.lit(1)).withColumn("pair", F.lit(1))
+    want = brute_alignment(docs, libraries)
+    assert rows(alignment.align(df.repartition(3), A_PATH, B_PATH)) == want
+    assert rows(alignment.align(df.repartition(2), A_PATH, B_PATH, block_bytes=40)) == want
+
+
+def test_alignment_of_the_table(spark, libraries):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").filter("doc_id < 150")
+    assert rows(alignment.align(df, A_PATH, B_PATH)) == brute_alignment(map(tuple, df.collect()), libraries)
+
+
+def test_segments_once_known_are_dropped_and_learned_again(spark, monkeypatch, libraries):
+    monkeypatch.setattr(alignment, "BLOCK_SEGMENTS", 10)
+    docs = list(enumerate(ODD))
+    assert rows(alignment.align(spark.createDataFrame(docs, "doc_id long, text string"), A_PATH, B_PATH)) == brute_alignment(docs, libraries)
+
+
+def test_nothing_to_align(spark):
+    for none in ([], [(1, None), (2, "")]):
+        got = alignment.align(spark.createDataFrame(none, "doc_id long, text string"), A_PATH, B_PATH).collect()
+        assert sorted(tuple(r) for r in got) == [(i, 0, 0, 0, 0, 0, 0, "") for i, _ in none]
+
+
+def test_links_and_groups():
+    random.seed(1)
+    for _ in range(300):
+        total = random.randrange(1, 30)
+        cuts = [sorted({*random.sample(range(1, total + 1), random.randrange(total)), total}) for _ in range(2)]
+        a, b = ([e - s for s, e in zip([0, *c], c)] for c in cuts)
+        want = [(i, j) for i, (s, e) in enumerate(zip([0, *cuts[0]], cuts[0])) for j, (u, v) in enumerate(zip([0, *cuts[1]], cuts[1])) if s < v and u < e]
+        assert sorted(alignment.links_of(a, b)) == want
+        ends = sorted(set(cuts[0]) & set(cuts[1]))
+        assert alignment.groups_of(a, b) == [(cuts[0].index(e) + 1, cuts[1].index(e) + 1) for e in ends]
