@@ -135,38 +135,46 @@ def _huge_fingerprints(rows: DataFrame, primes: tuple[int, ...], digest: bool) -
     )
 
 
+def _dealt(members: DataFrame) -> DataFrame:
+    """Each row of the stored ``members`` in one ``share`` of its group. A group of several shares has a copy of its
+    leading row, marked ``guide``, in each: one row with the group's ``keep_id``, however many have that id."""
+    per_share = F.least(F.greatest(F.lit(SHARE_BYTES) / (F.col("n_bytes") + 64), F.lit(SHARE_TEXTS)), F.lit(1_000))
+    shares = F.ceil(F.col("size") / per_share).cast("int")
+    sized = members.withColumn("leads", F.col("_id").eqNullSafe(F.col("keep_id"))).withColumn("shares", shares)
+    own = sized.withColumn("share", F.pmod(F.xxhash64("_id", "_key", "_n"), F.col("shares")).cast("int")).withColumn("guide", F.lit(False))
+    # Large groups only, so these are few.
+    candidates = sized.filter("leads and shares > 1")
+    chosen = candidates.groupBy(*GROUP).agg(F.min("_n").alias("_n"))
+    copies = candidates.join(chosen.select("_n"), "_n", "left_semi").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    return own.unionByName(copies.withColumn("guide", F.lit(True)))
+
+
 def _compared(members: DataFrame, id_type: str) -> DataFrame:
-    """Each row of ``members`` with ``equal`` (to its group's first row) and ``first`` (it is that row).
+    """Each row of the stored ``members`` with ``equal`` (to its group's leading row) and ``first`` (it is that row).
 
-    Rows of a group, or of one of a large group's shares, arrive together and its first row leads; one
-    text is held at a time. Each share has a copy of the leading rows, marked ``guide``.
+    Rows of a group, or of one of a large group's shares, arrive together behind the leading row; one text is held
+    at a time.
     """
-    per_share = F.least(F.greatest(F.lit(SHARE_BYTES) / (F.col("n_bytes") + 64), F.lit(SHARE_TEXTS)), F.lit(1_000))
-    shares = F.ceil(F.col("size") / per_share).cast("int")
-    leads = F.col("_id").eqNullSafe(F.col("keep_id"))
-    own = F.when(leads, F.sequence(F.lit(0), shares - 1)).otherwise(F.array(F.pmod(F.xxhash64("_id", "_key"), shares).cast("int")))
-    dealt = members.withColumn("leads", leads).withColumn("share", F.explode(own))
-    dealt = dealt.withColumn("guide", F.col("leads") & (F.col("share") > 0))
     key = [*GROUP, "share"]
-    ordered = dealt.repartition(*key).sortWithinPartitions(*key, F.desc("leads"), "_key")
-    rows = ordered.select(*key, "guide", "_id", "_key", "digest", "_text")
+    ordered = _dealt(members).repartition(*key).sortWithinPartitions(*key, F.desc("guide"), F.desc("leads"), "_key", "_n")
+    rows = ordered.select(*key, "guide", "_id", "_key", "_n", "digest", "_text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, lead = None, b""
+        group, lead, lead_n = None, b"", None
         for batch in batches:
             columns = dict(zip(batch.schema.names, batch.columns))
             equal, first = [], []
             for i in range(batch.num_rows):
                 own_group = tuple(columns[k][i].as_py() for k in key)
-                text = normalised(columns["_text"][i].as_py())
-                first.append(own_group != group)
-                if first[-1]:
-                    group, lead = own_group, text
+                text, n = normalised(columns["_text"][i].as_py()), columns["_n"][i].as_py()
+                if own_group != group:
+                    group, lead, lead_n = own_group, text, n
+                first.append(n == lead_n)
                 equal.append(_same(lead, text))
             out = batch.drop_columns(["_text"]).append_column("equal", pa.array(equal)).append_column("first", pa.array(first))
             yield out.filter(pa.array([not g for g in columns["guide"].to_pylist()]))
 
-    schema = f"h1 long, h2 long, n_bytes long, share int, guide boolean, _id {id_type}, _key long, digest string, equal boolean, first boolean"
+    schema = f"h1 long, h2 long, n_bytes long, share int, guide boolean, _id {id_type}, _key long, _n long, digest string, equal boolean, first boolean"
     return rows.mapInArrow(compare, schema)
 
 
@@ -185,8 +193,12 @@ def _decided(df: DataFrame, id_col: str, text: str, primes: tuple[int, ...], dig
     groups = light.groupBy(*GROUP).agg(F.min("_id").alias("keep_id"), F.count("*").alias("size"))
     open_groups = stage(groups.filter("size > 1"), "groups")
     single = light.join(open_groups.select(*GROUP), GROUP, "left_anti")
-    # The texts always move by fingerprint: a broadcast while the groups are few would only hide the cost.
-    members = hashed.join(open_groups.hint("merge"), GROUP)
+    # The texts always move: a broadcast while the groups are few would only hide the cost.
+    grouped = light.join(open_groups, GROUP).dropDuplicates(["_id", "_key"]).withColumnsRenamed({"_id": "_id2", "_key": "_key2"})
+    same = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2"))
+    texts = rows.join(grouped.hint("merge"), same).drop("_id2", "_key2")
+    # A stored number tells rows apart that are alike in all else.
+    members = stage(texts.withColumn("_n", F.monotonically_increasing_id()), "members")
     done = None
     while True:
         checked = stage(_compared(members, id_type), "compared")
@@ -203,10 +215,8 @@ def _decided(df: DataFrame, id_col: str, text: str, primes: tuple[int, ...], dig
             return single, done
         again = rest.groupBy(*GROUP).agg(F.min("_id").alias("keep_id"), F.count("*").alias("size"))
         open_groups = stage(again, "groups")
-        left = rest.select(*GROUP, "_id", "_key", "digest")
-        texts = rows.select(F.col("_id").alias("_id2"), F.col("_key").alias("_key2"), "_text")
-        same = F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_key") == F.col("_key2"))
-        members = left.join(texts.dropDuplicates(["_id2", "_key2"]), same).drop("_id2", "_key2").join(open_groups, GROUP)
+        left = members.drop("keep_id", "size").join(rest.select("_n"), "_n", "left_semi")
+        members = stage(left.join(open_groups, GROUP), "members")
 
 
 def copy_report(

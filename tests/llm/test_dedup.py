@@ -52,6 +52,23 @@ TEXTS = [
 ]
 
 
+@pytest.mark.parametrize("one_id", [7, None])
+def test_rows_under_one_id_are_dealt_once(spark, one_id):
+    n = 20_000
+    rows = [(one_id, "")] * n + [(one_id, "a  b"), (one_id, "a b"), (one_id, "single")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    report = exact_dedup.copy_report(df).collect()
+    assert sum(r["kept"] for r in report) == 3 and {r["group_size"] for r in report} == {n, 2, 1}
+    assert exact_dedup.drop_copies(df).count() == 3
+    members = df.filter("text = ''").selectExpr(
+        "doc_id AS _id", "text AS _text", "1L AS _key", "1L AS h1", "1L AS h2", "0L AS n_bytes", "'' AS digest",
+        f"{one_id or 'cast(NULL as bigint)'} AS keep_id", f"{n}L AS size", "monotonically_increasing_id() AS _n",
+    )
+    dealt = exact_dedup._dealt(exact_dedup.stage(members, "members")).groupBy("share").count().collect()
+    shares = -(-n // 1_000)
+    assert len(dealt) == shares and sum(r["count"] for r in dealt) == n + shares and max(r["count"] for r in dealt) < 1_300
+
+
 def brute_copies(docs):
     groups = defaultdict(list)
     for i, t in docs:
