@@ -10,8 +10,9 @@ The prefix sums are taken in two levels, inside blocks of turn numbers and over
 long conversation is not one task's sort. A window is bounded by its budget, so is what one row gathers.
 
 Template: ``### role: text</turn>`` and a line feed for each turn. In texts and roles a backslash is doubled,
-``</turn>`` becomes ``<\\/turn>`` and ``##`` becomes ``#\\#`` (no three in a row stay), in roles a colon gets a
-backslash as well: reading drops each backslash and keeps the character behind it.
+``</turn>`` becomes ``<\\/turn>`` and ``##`` becomes ``#\\#`` (no three in a row stay): reading drops each backslash and
+keeps the character behind it. In roles ``%`` becomes ``%0`` and a colon ``%1`` before that, so the first colon of a
+turn ends its role and is found without a pattern, however long the role is.
 """
 
 from __future__ import annotations
@@ -46,6 +47,14 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"\\(.)", "$1")
 
 
+def escape_role(role: Column) -> Column:
+    return escape(F.replace(F.replace(role, F.lit("%"), F.lit("%0")), F.lit(":"), F.lit("%1")))
+
+
+def unescape_role(head: Column) -> Column:
+    return F.replace(F.replace(unescape(head), F.lit("%1"), F.lit(":")), F.lit("%0"), F.lit("%"))
+
+
 def estimated_tokens(text: Column) -> Column:
     """A quarter of the characters, and four for a turn's marks."""
     return (F.ceil(F.char_length(text) / 4) + 4).cast("long")
@@ -61,7 +70,7 @@ def placed_turns(df: DataFrame, conv: str, turn: str, role: str, text: str, toke
     rows = df.select(
         own.alias("conv"), F.coalesce(own.cast("string"), F.lit("")).alias("conv_key"), own.isNull().alias("conv_null"),
         # A null turn number comes first; equal numbers go by role and text.
-        number.alias("turn"), F.coalesce(F.floor(number / BLOCK), F.lit(-(1 << 62))).alias("block"), speaker.alias("role"), escape(body).alias("body"), F.replace(escape(speaker), F.lit(":"), F.lit("\\:")).alias("head"),
+        number.alias("turn"), F.coalesce(F.floor(number / BLOCK), F.lit(-(1 << 62))).alias("block"), speaker.alias("role"), escape(body).alias("body"), escape_role(speaker).alias("head"),
         counted.alias("tokens"),
     )
     inside = Window.partitionBy(*CONV, "block").orderBy("turn", "role", "body").rowsBetween(Window.unboundedPreceding, -1)
@@ -139,14 +148,18 @@ def format_windows(
 
 
 def read_turns(windows: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """The conversation read back from its windows: id, ``window``, ``turns`` (role and text, each turn once)
-    and ``targets`` (the texts under the loss mask)."""
+    """The conversation read back from its windows: id, ``window``, ``turns`` (role and text, each turn once),
+    ``targets`` (the texts under the loss mask) and ``n_chars`` of the window's text."""
     marked = F.split("text", f"{CLOSE}\n")
     # What follows the last mark is empty; repeats stand at the head.
     marked = F.slice(marked, F.col("n_repeated") + 1, F.size(marked) - 1 - F.col("n_repeated"))
-    header = r"(?s)^### ((?:[^\\:]|\\.)*): (.*)$"
-    turns = F.transform(marked, lambda t: F.struct(
-        unescape(F.regexp_extract(t, header, 1)).alias("role"), unescape(F.regexp_extract(t, header, 2)).alias("text")
-    ))
+
+    def turn(t: Column) -> Column:
+        head = F.substring(F.substring_index(t, ": ", 1), F.lit(len(OPEN) + 1), F.char_length(t))
+        body = F.substring(t, F.char_length(head) + len(OPEN) + 3, F.char_length(t))
+        return F.struct(unescape_role(head).alias("role"), unescape(body).alias("text"))
+
     targets = F.transform("loss", lambda s: unescape(F.substring(F.col("text"), s["start"], s["length"])))
-    return windows.select(F.col(conv), "window", turns.alias("turns"), targets.alias("targets"))
+    return windows.select(
+        F.col(conv), "window", F.transform(marked, turn).alias("turns"), targets.alias("targets"), F.char_length("text").cast("long").alias("n_chars")
+    )

@@ -109,14 +109,14 @@ def op5_chat_format(spark, sf_dir):
         F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"),
     )
-    windows = stage(chat.format_windows(table(spark, sf_dir, "conversations").unionByName(hostile)), "windows")
-    read = chat.read_turns(windows).join(windows.select("conv_id", "window", F.char_length("text").alias("chars")), ["conv_id", "window"])
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    read = chat.read_turns(stage(chat.format_windows(given.unionByName(hostile)), "windows"))
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     # A digest of a conversation needs its whole text in one place: one row of the result, no more.
     part = F.struct("window", F.array_join(lines, "").alias("lines"), F.array_join("targets", "").alias("targets"))
     whole = read.groupBy("conv_id").agg(
         F.sum(F.size("turns")).cast("long").alias("n_turns"), F.array_sort(F.collect_list(part)).alias("parts"),
-        F.sum("chars").cast("long").alias("formatted_chars"),
+        F.sum("n_chars").alias("formatted_chars"),
     )
     targets = F.array_join(F.transform("parts", lambda p: p["targets"]), "")
     return whole.select(
@@ -140,9 +140,12 @@ def op4_quality(spark, sf_dir):
 
 @query
 def op8_token_counts(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return token_counts.count_tokens(docs, path, scratch_path(spark, "token_cache"), seam=token_counts.BYTE_LEVEL_SEAM)
+    """All documents, with a cache that a run over the labelled ones has left."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    path, cache = public_tokenizers.path("byte_bpe_50k.json"), scratch_path(spark, "token_cache")
+    for part in (docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"), docs):
+        counted = token_counts.count_tokens(part, path, cache, seam=token_counts.BYTE_LEVEL_SEAM)
+    return counted
 
 
 @query
@@ -157,7 +160,7 @@ WITH said AS (
 ), sized AS (
     SELECT *, CAST(ceil(length(t) / 4.0) AS BIGINT) + 4 AS tokens,
            replace(replace(replace(t, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#') AS body,
-           replace(replace(replace(replace(role, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#'), ':', '\:') AS head
+           replace(replace(replace(replace(replace(coalesce(role, ''), '%', '%0'), ':', '%1'), '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#') AS head
     FROM said
 ), placed AS (
     SELECT *, sum(tokens) OVER o - tokens AS b, sum(tokens) OVER o AS e, 14 + length(head) + length(body) AS chars
@@ -168,17 +171,18 @@ WITH said AS (
     SELECT conv_id, min(b) AS b FROM placed WHERE role = 'system' GROUP BY conv_id
 ), repeated AS (
     SELECT p.conv_id, sum(p.chars) AS chars
-    FROM starts s JOIN placed p ON p.conv_id = s.conv_id AND p.e <= s.start LEFT JOIN system y ON y.conv_id = p.conv_id AND y.b = p.b
+    FROM starts s JOIN placed p ON p.conv_id IS NOT DISTINCT FROM s.conv_id AND p.e <= s.start
+    LEFT JOIN system y ON y.conv_id IS NOT DISTINCT FROM p.conv_id AND y.b = p.b
     WHERE p.b >= s.start - 128 OR y.b IS NOT NULL
     GROUP BY p.conv_id
 ), whole AS (
-    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, body)) AS turns_sha256,
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(coalesce(role, '') || chr(10) || t || chr(10), '' ORDER BY turn, role, body)) AS turns_sha256,
            coalesce(string_agg(t, '' ORDER BY turn, role, body) FILTER (role = 'assistant'), '') AS loss, sum(chars) AS chars
     FROM placed GROUP BY conv_id
 )
-SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+SELECT w.conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
        CAST(w.chars + coalesce(r.chars, 0) AS BIGINT) AS formatted_chars
-FROM whole w LEFT JOIN repeated r USING (conv_id)
+FROM whole w LEFT JOIN repeated r ON r.conv_id IS NOT DISTINCT FROM w.conv_id
 """
 
 

@@ -83,6 +83,28 @@ def test_windows_are_those_of_the_plain_loop(spark, monkeypatch, seed, budget, h
             assert back["targets"] == [t[3] for t in new if t[2] == "assistant"]
 
 
+def test_long_roles_read_back(spark):
+    roles = ["r" * 1_000_000, ":" * 300_000, "\\:" * 300_000, "%1:%0:" * 100_000, "## </turn>\n: " * 50_000, "%", "%1", ":", ": ", ""]
+    rows = [(n, 0, role, "said: " + ODD[0]) for n, role in enumerate(roles)]
+    windows = chat.format_windows(spark.createDataFrame(rows, SCHEMA))
+    got = {r["conv_id"]: [tuple(t) for t in r["turns"]] for r in chat.read_turns(windows).collect()}
+    assert got == {n: [(role, text)] for n, _, role, text in rows}
+
+
+def test_query_has_conversations_without_id(spark, tmp_path):
+    rows = conversations(1) + [(None, 3, "r" * 5_000, "x"), (3, 1, "assistant", "y")]
+    odd = spark.createDataFrame(rows, SCHEMA).withColumn("window", F.lit("clash")).withColumn("more", F.lit(1))
+    odd.write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r["conv_id"]: r for r in queries.op5_chat_format(spark, str(tmp_path)).collect()}
+    want = plain_windows([*rows, (-7, 0, "user", ODD[0]), (-7, 1, "assistant", ODD[0])], chat.BUDGET, chat.HISTORY, chat.SYSTEM_RESERVE)
+    assert set(got) == set(want) and None in got
+    for conv, laid in want.items():
+        turns = [t for _, new in laid for t in new]
+        said = "".join(t[3] for t in turns if t[2] == "assistant")
+        assert (got[conv]["n_turns"], got[conv]["loss_chars"]) == (len(turns), len(said))
+        assert got[conv]["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
 def test_no_conversations(spark):
     assert chat.format_windows(spark.createDataFrame([], SCHEMA)).count() == 0
 
