@@ -125,7 +125,8 @@ def count_tokens(
         "content", F.lit(version).alias("tokenizer"), counted(F.col("_text"), content, kind, seam).alias("n_tokens")
     )
     misses.write.mode("append").parquet(cache_path)
-    known = read_cache(spark, cache_path, version)
-    return rows.join(known, "content").select(
+    # Stored, so that the join's rows are not tied to an aggregate: a text that many rows share can then be split.
+    known = stage(rows.select("content").distinct().join(read_cache(spark, cache_path, version), "content"), "known")
+    return rows.join(known.hint("merge"), "content").select(
         F.col("_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
