@@ -1,9 +1,9 @@
 """Language ID by compression: the language whose dictionary shortens a text most.
 
 Each language has a raw-content dictionary, a sample of its texts. A text is encoded with each of them and
-the shortest encoding wins. Long texts are encoded piece by piece, so that a text's own earlier words do
-not stand in for the dictionary; short texts several times, each time from another of their words on, as whole
-bytes are too coarse a measure for them. A narrow win is a rejection.
+the shortest encoding wins. Texts are encoded piece by piece, so that a text's own earlier words do not stand in for
+the dictionary. Whole bytes are a coarse measure, so the head of every text is encoded several times, from another of
+its words on each time, and counts with the mean. A narrow win is a rejection: some bytes for noise, and a share.
 """
 
 from __future__ import annotations
@@ -28,11 +28,14 @@ SAMPLE_TEXTS = 128
 MAX_LANGUAGES = 256
 #: Bytes encoded at a time.
 PIECE = 16 << 10
-#: Share of the second-best size by which the best must be smaller. Set on a fold of labelled training rows that gave no
-#: dictionary, against the same texts in ROT13 and each language left out of the dictionaries in turn.
-MARGIN = 0.03
-#: Texts below so many bytes are encoded from so many of their words on: whole bytes are coarse for them.
-SHORT, TURNS = 1024, 16
+#: The best size must be smaller than the second best by this share of it and so many bytes. Set on a fold of labelled
+#: training rows that gave no dictionary, against the same texts in ROT13.
+MARGIN, MARGIN_BYTES = 0.03, 1.0
+#: Bytes of the head of a text, and from how many of its words on it is encoded.
+HEAD, TURNS = 512, 8
+#: Stands before every piece: the encoder stores what it cannot shorten as it is, which would hide that one
+#: dictionary fits a few words better than another.
+PAD = b"0" * 64
 
 NO_LANGUAGE = "und"
 NOT_LETTERS = regex.compile(r"[^\p{L}]+")
@@ -66,28 +69,39 @@ class LanguageModel:
         return out
 
 
-def sizes_of(data: bytes, compressors: list[zstandard.ZstdCompressor]) -> np.ndarray:
-    """Encoded bytes of ``data`` by each compressor, beyond those of nothing; pieces end at a blank."""
-    empty = np.array([len(c.compress(b"")) for c in compressors])
-    if len(data) >= SHORT:
-        return _sizes(data, compressors, empty)
-    words = data.split(b" ")
-    return sum(_sizes(b" ".join(words[i:] + words[:i]), compressors, empty) for i in range(min(TURNS, len(words))))
-
-
-def _sizes(data: bytes, compressors: list[zstandard.ZstdCompressor], empty: np.ndarray) -> np.ndarray:
-    sizes = np.zeros(len(compressors), dtype=np.int64)
-    start = 0
-    while start < len(data):
-        end = start + PIECE
-        if end < len(data):
-            end = max(data.rfind(b" ", start, end), start) + 1
-            if end == start + 1:
-                end = start + PIECE
-        part = data[start:end]
-        sizes += [len(c.compress(part)) for c in compressors] - empty
-        start = end
-    return sizes
+class Sizes:
+    """Encoded bytes of texts by each dictionary of a model, beyond those of nothing."""
+
+    def __init__(self, model: LanguageModel):
+        self.compressors = model.compressors()
+        self.empty = np.array([len(c.compress(PAD)) for c in self.compressors])
+
+    def of(self, data: bytes) -> np.ndarray:
+        """The mean over the turns of the head, and the rest once; pieces end at a blank."""
+        stop = len(data)
+        if stop > HEAD:
+            stop = data.rfind(b" ", 0, HEAD)
+            stop = HEAD if stop <= 0 else stop
+        words = data[:stop].split(b" ")
+        turns = min(TURNS, len(words))
+        firsts = [i * (len(words) // turns) for i in range(turns)]
+        return sum(self._piece(b" ".join(words[i:] + words[:i])) for i in firsts) / turns + self._pieces(data[stop:])
+
+    def _piece(self, data: bytes) -> np.ndarray:
+        return [len(c.compress(PAD + data)) for c in self.compressors] - self.empty
+
+    def _pieces(self, data: bytes) -> np.ndarray:
+        sizes = np.zeros(len(self.compressors))
+        start = 0
+        while start < len(data):
+            end = start + PIECE
+            if end < len(data):
+                end = max(data.rfind(b" ", start, end), start) + 1
+                if end == start + 1:
+                    end = start + PIECE
+            sizes += self._piece(data[start:end])
+            start = end
+        return sizes
 
 
 def learn(
@@ -95,15 +109,16 @@ def learn(
     dictionary_bytes: int = DICTIONARY_BYTES, sample_texts: int = SAMPLE_TEXTS,
 ) -> LanguageModel:
     """Dictionaries from a sample of the rows of ``df`` with a language: per language at most ``sample_texts``
-    texts, drawn by a hash of their id, and of these an equal share each until ``dictionary_bytes`` are filled.
+    texts, drawn by a hash of id and text, and of these an equal share each until ``dictionary_bytes`` are filled.
 
-    The draw is one row per language and hash bucket, so it combines on the map side; only the sample
-    reaches the driver. No labelled row: a model without languages, which predicts ``und``.
+    The draw is one row per language and hash bucket, so it combines on the map side; rows alike in id, text and
+    language are one. Only the sample reaches the driver, ``sample_texts`` texts a language at most. No labelled row: a model without languages, which predicts ``und``.
     """
     named = df.filter(F.col(f"`{lang}`").isNotNull())
     label = F.col(f"`{lang}`").cast("string").alias("_lang")
-    draw = F.xxhash64(F.col(f"`{id_col}`"), F.lit(7)).alias("_draw")
-    bucket = F.pmod(F.xxhash64(F.col(f"`{id_col}`"), F.lit(8)), F.lit(sample_texts)).alias("_bucket")
+    own = [F.col(f"`{id_col}`"), F.col(f"`{text}`")]
+    draw = F.xxhash64(*own, F.lit(7)).alias("_draw")
+    bucket = F.pmod(F.xxhash64(*own, F.lit(8)), F.lit(sample_texts)).alias("_bucket")
     drawn = named.select(label, draw, bucket).groupBy("_lang", "_bucket").agg(F.min("_draw").alias("_draw"), F.count("*").alias("n"))
     picks = drawn.limit(MAX_LANGUAGES * sample_texts + 1).collect()
     counts: dict[str, int] = {}
@@ -119,6 +134,7 @@ def learn(
     picked = F.broadcast(spark.createDataFrame([(r["_lang"], r["_draw"]) for r in picks], schema))
     body = F.left(F.col(f"`{text}`").cast("string"), F.lit(dictionary_bytes)).alias("_text")
     texts = named.select(label, draw, body).join(picked, (F.col("_lang") == F.col("_lang2")) & (F.col("_draw") == F.col("_draw2")))
+    texts = texts.dropDuplicates(["_lang", "_draw"])
     parts: dict[str, list[tuple[int, bytes]]] = {name: [] for name in languages}
     for name, order, content in texts.select("_lang", "_draw", "_text").toLocalIterator():
         parts[name].append((order, letters_of(content or "")))
@@ -139,31 +155,33 @@ def _dictionary(texts: list[bytes], limit: int) -> bytes:
 RESULT = pa.struct([("lang", pa.string()), ("score", pa.float64()), ("accepted", pa.bool_())])
 
 
-def predict(text: Column, model: LanguageModel, margin: float = MARGIN) -> Column:
+def predict(text: Column, model: LanguageModel, margin: float = MARGIN, margin_bytes: float = MARGIN_BYTES) -> Column:
     """``lang``, ``score`` and ``accepted`` of each text.
 
     ``score`` is the share by which the best encoding is smaller than the second best (1 if only one
-    language is known). ``accepted`` is false where it is below ``margin``. NULL, empty texts and texts
-    without a letter: ``und``, 0, false. Equal sizes: the language with more learned rows, not accepted.
+    language is known). ``accepted``: it is smaller by ``margin`` of the second best and ``margin_bytes``. NULL, empty
+    texts and texts without a letter: ``und``, 0, false. Equal sizes: the language with more learned rows, not accepted.
     """
 
     @F.arrow_udf("struct<lang: string, score: double, accepted: boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        compressors = model.compressors()
+        encoded = Sizes(model)
         for texts in batches:
             out = []
             for value in texts:
                 content = value.as_py()
-                if not compressors or content is None or not LETTER.search(content):
+                if not model.languages or content is None or not LETTER.search(content):
                     out.append({"lang": NO_LANGUAGE, "score": 0.0, "accepted": False})
                     continue
-                sizes = sizes_of(letters_of(content), compressors)
+                sizes = encoded.of(letters_of(content).strip(b" "))
                 best = int(np.argmin(sizes))
-                score = 1.0
+                score, accepted = 1.0, True
                 if len(sizes) > 1:
-                    second = max(int(np.partition(sizes, 1)[1]), 1)
-                    score = min(1.0, max(0.0, (second - int(sizes[best])) / second))
-                out.append({"lang": model.languages[best], "score": score, "accepted": score >= margin})
+                    second = float(np.partition(sizes, 1)[1])
+                    saved = second - float(sizes[best])
+                    score = min(1.0, saved / max(second, 1.0))
+                    accepted = saved > 0 and saved >= margin * second + margin_bytes
+                out.append({"lang": model.languages[best], "score": score, "accepted": accepted})
             yield pa.array(out, type=RESULT)
         release_memory()
 
@@ -178,14 +196,16 @@ def trained_rows(df: DataFrame, id_col: str, parts: int, held_out: int = 0) -> t
 
 
 def identify(
-    df: DataFrame, model: LanguageModel, text: str = "text", id_col: str = "doc_id", margin: float = MARGIN
+    df: DataFrame, model: LanguageModel, text: str = "text", id_col: str = "doc_id", margin: float = MARGIN, margin_bytes: float = MARGIN_BYTES
 ) -> DataFrame:
     """One row per input row: id, ``lang_pred``, ``score``, ``accepted``."""
-    found = df.select(F.col(f"`{id_col}`").alias("_id"), predict(F.col(f"`{text}`").cast("string"), model, margin).alias("_p"))
+    found = df.select(F.col(f"`{id_col}`").alias("_id"), predict(F.col(f"`{text}`").cast("string"), model, margin, margin_bytes).alias("_p"))
     return found.select(F.col("_id").alias(id_col), F.col("_p.lang").alias("lang_pred"), "_p.score", "_p.accepted")
 
 
-def keep_identified(df: DataFrame, model: LanguageModel, text: str = "text", margin: float = MARGIN) -> DataFrame:
+def keep_identified(
+    df: DataFrame, model: LanguageModel, text: str = "text", margin: float = MARGIN, margin_bytes: float = MARGIN_BYTES
+) -> DataFrame:
     """The rows of ``df`` whose language is accepted, columns unchanged."""
-    found = df.select(F.struct("*").alias("_row"), predict(F.col(f"`{text}`").cast("string"), model, margin).alias("_p"))
+    found = df.select(F.struct("*").alias("_row"), predict(F.col(f"`{text}`").cast("string"), model, margin, margin_bytes).alias("_p"))
     return found.filter("_p.accepted").select("_row.*")
