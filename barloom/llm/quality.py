@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import release_memory
+from barloom.session import stage
 
-#: Labelled documents learned from, at most (drawn by a hash of the id).
+#: Labelled documents learned from, at most (drawn by a hash of id, label and text).
 TRAIN_ROWS = 20_000
 BINS = 64
 TREES = 80
@@ -80,8 +81,11 @@ class Trees:
         return 1 / (1 + np.exp(-out))
 
 
-def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bins: int = BINS) -> Trees:
-    """Boosted trees for labels 0 and 1. No rows: every score is one half; one class: close to it."""
+def fit(
+    x: np.ndarray, y: np.ndarray, times: np.ndarray | None = None, trees: int = TREES, depth: int = DEPTH, bins: int = BINS
+) -> Trees:
+    """Boosted trees for labels 0 and 1 of rows that count ``times`` each. No rows: every score is one half;
+    one class: close to it."""
     n, width = x.shape
     inner = 2**depth - 1
     feature = np.zeros((trees, inner), dtype=np.int64)
@@ -89,7 +93,8 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bi
     leaf = np.zeros((trees, inner + 1))
     if not n:
         return Trees(feature, threshold, leaf, 0.0)
-    share = (y.sum() + 0.5) / (n + 1)
+    times = np.ones(n) if times is None else times
+    share = ((y * times).sum() + 0.5) / (times.sum() + 1)
     base = float(np.log(share / (1 - share)))
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(width)]
     binned = np.stack([np.searchsorted(edges[f], x[:, f], side="left") for f in range(width)], axis=1)
@@ -97,7 +102,7 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bi
     raw = np.full(n, base)
     for t in range(trees):
         p = 1 / (1 + np.exp(-raw))
-        gradient, weight = y - p, p * (1 - p)
+        gradient, weight = (y - p) * times, p * (1 - p) * times
         node = np.zeros(n, dtype=np.int64)
         for level in range(depth):
             first, count = 2**level - 1, 2**level
@@ -134,22 +139,29 @@ def statistics_of(text: Column) -> Column:
 def learn(
     df: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id", label: str = "quality", train_rows: int = TRAIN_ROWS
 ) -> Trees:
-    """Trees from the rows of ``df`` that ``labels`` marks 0 or 1, at most about ``train_rows`` of them.
+    """Trees from the rows of ``df`` that ``labels`` marks 0 or 1, at most ``train_rows`` of them.
 
-    ``labels`` has the same id column. Rows without id or label are left out; a document with several
-    labels is learned with each.
+    ``labels`` has the same id column. Rows without id or label are left out; a document with several labels is
+    learned with each. Rows alike in id, label and text are one that counts as often. Those with the smallest hashes are
+    drawn; the driver and the broadcasts get the drawn rows only.
     """
     key = F.col(f"`{id_col}`")
     marked = labels.select(key.alias("_id"), F.col(f"`{label}`").cast("int").alias("_label")).filter("_id is not null and _label in (0, 1)")
-    total = marked.count()
-    share = 1_000_000 * train_rows // max(total, train_rows)
-    drawn = F.broadcast(marked.filter(F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(1_000_000)) < share))
+    marked = marked.groupBy("_id", "_label").agg(F.count("*").alias("_n"))
     body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    found = df.select(key.alias("_id2"), body.alias("_text")).join(drawn, F.col("_id2") == F.col("_id"))
-    rows = found.select("_id", "_label", statistics_of(F.col("_text")).alias("s")).collect()
-    rows = sorted(rows, key=lambda r: (str(r["_id"]), r["_label"], r["s"]))
-    x = np.array([r["s"] for r in rows]).reshape(len(rows), len(STATISTICS))
-    return fit(x, np.array([r["_label"] for r in rows], dtype=float))
+    rows = df.select(key.alias("_id"), F.xxhash64(body).alias("_key"))
+    known = stage(rows.join(marked, "_id").groupBy("_id", "_label", "_key").agg(F.sum("_n").alias("_times")), "labelled")
+    order = F.xxhash64("_id", "_label", "_key", F.lit(11))
+    share = 1_000_000 * train_rows // max(known.count(), train_rows)
+    about = known.filter(F.pmod(order, F.lit(1_000_000)) < share)
+    drawn = stage(about.orderBy(order, "_id", "_label", "_key").limit(train_rows), "drawn")
+    drawn = F.broadcast(drawn.withColumnsRenamed({"_id": "_id2", "_key": "_key2"}))
+    found = df.select(key.alias("_id"), F.xxhash64(body).alias("_key"), body.alias("_text"))
+    found = found.join(drawn, (F.col("_id") == F.col("_id2")) & (F.col("_key") == F.col("_key2"))).dropDuplicates(["_id", "_label", "_key"])
+    learned = found.select("_id", "_label", "_times", statistics_of(F.col("_text")).alias("s")).collect()
+    learned = sorted(learned, key=lambda r: (str(r["_id"]), r["_label"], r["s"]))
+    x = np.array([r["s"] for r in learned]).reshape(len(learned), len(STATISTICS))
+    return fit(x, *(np.array([r[c] for r in learned], dtype=float) for c in ("_label", "_times")))
 
 
 def score(text: Column, model: Trees) -> Column:
