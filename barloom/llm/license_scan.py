@@ -36,6 +36,12 @@ TEMPLATES = {
         "OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and "
         "limitations under the License."
     ),
+    "Apache": (
+        'Licensed under the Apache License (the "License"); you may not use this file except in compliance with the License. Unless '
+        'required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, '
+        "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
+        "permissions and limitations under the License."
+    ),
     "BSD-3-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
         "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and "
@@ -79,6 +85,10 @@ for _short, (_long, _versions) in _GNU.items():
         TEMPLATES.setdefault(f"{_short}-{_v}-notice", f"This work is licensed under the GNU {_long} Public License, version {_said}.")
         TEMPLATES[f"{_short}-{_v}-name"] = f"GNU {_long} Public License version {_said}"
         TEMPLATES.setdefault(f"{_short}-{_v}-or-later", TEMPLATES["GPL-3.0-or-later"].replace("GNU General", f"GNU {_long}").replace("version 3", f"version {_said}"))
+# A grant whose version, or also whose family, is not said or not known.
+for _short, (_long, _) in _GNU.items():
+    TEMPLATES[f"{_short}-or-later"] = TEMPLATES["GPL-3.0-or-later"].replace("GNU General", f"GNU {_long}").replace("version 3", "version")
+TEMPLATES["GNU-or-later"] = TEMPLATES["GPL-or-later"].replace("GNU General", "GNU")
 TEMPLATES |= {
     "Apache-1.1-notice": "Licensed under the Apache License, Version 1.1.",
     "BSD-2-Clause-notice": "Released under the BSD 2-Clause License.",
@@ -108,15 +118,45 @@ TEMPLATES |= {f"SPDX-{_id}": f"SPDX-License-Identifier: {_id}" for _id in _SPDX.
 # Whole texts, as published; without the line of the copyright holder where there is one.
 TEMPLATES |= {f"{_file.stem}-text": _file.read_text() for _file in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
 
-#: Up to so many words a template is a notice: what it names must be matched, only words of any notice may lack.
-NOTICE_WORDS = 20
+# What names a license: the phrases that occur in a template, by how its name begins, must be matched.
+PHRASES = {
+    "GPL": ["GNU General Public License"], "LGPL": ["GNU Lesser General Public License"], "LGPL-2.0": ["GNU Library General Public License"],
+    "AGPL": ["GNU Affero General Public License"], "GFDL": ["GNU Free Documentation License"], "Apache": ["Apache License"],
+    "MPL": ["Mozilla Public License"], "BSL": ["Boost Software License"], "Artistic": ["Artistic License"], "GNU": ["GNU"],
+}
+VERSIONED = re.compile(r"[A-Za-z]+-([0-9]+(?:\.[0-9]+)?)")
+#: Words that any notice may hold; of notices, names and tags all others must be matched.
 ANY_NOTICE = frozenset("a are available distributed is its license licensed of released terms the this under v version work".split())
+NOTICE = re.compile(r"-notice$|-name$|^SPDX-|^All-rights-reserved$")
 
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+def naming_phrases(name: str, words: list[str]) -> list[list[range]]:
+    """What must be matched, word beside word, for a stretch to be called ``name``: for each phrase the places where
+    the template has it, one of which will do."""
+    if NOTICE.search(name):
+        named = [i for i, w in enumerate(words) if w not in ANY_NOTICE]
+        runs = np.split(named, np.flatnonzero(np.diff(named) > 1) + 1)
+        return [[range(int(r[0]), int(r[-1]) + 1)] for r in runs if len(r)]
+    family = max((k for k in PHRASES if name.startswith(k)), key=len, default="")
+    phrases = [words_of(p) for p in PHRASES.get(family, [])]
+    version = VERSIONED.match(name)
+    if version and family:
+        number = words_of(version[1].removesuffix(".0"))
+        phrases += [[v, *n] for v in ("version", "v") for n in (words_of(version[1]), number)]
+    out = []
+    for phrase in phrases:
+        size = len(phrase)
+        places = [range(i, i + size) for i in range(len(words) - size + 1) if words[i:i + size] == phrase]
+        # Of the ways to write a version the first that the template has.
+        if places and not (phrase[0] in ("version", "v") and any(words[p[0][0]] in ("version", "v") for p in out)):
+            out.append(places)
+    return out
+
+
 def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
     """Matched places of ``a`` and ``b``, ascending in both."""
     out: list[tuple[int, int]] = []
@@ -171,10 +211,7 @@ class Scanner:
     def __init__(self, templates: dict[str, str], coverage: float = COVERAGE):
         self.templates = {name: words_of(text) for name, text in templates.items() if words_of(text)}
         self.coverage = coverage
-        self.named = {
-            name: {i for i, w in enumerate(words) if w not in ANY_NOTICE} if len(words) <= NOTICE_WORDS else set()
-            for name, words in self.templates.items()
-        }
+        self.named = {name: naming_phrases(name, words) for name, words in self.templates.items()}
         self.bags = {name: Counter(words) for name, words in self.templates.items()}
         self.vocabulary = {w: k for k, w in enumerate(sorted({w for bag in self.bags.values() for w in bag}))}
         self.weights = np.zeros((len(self.vocabulary), len(self.templates)), dtype=np.int32)
@@ -234,11 +271,16 @@ class Scanner:
                 continue
             tried.add((start, stop))
             pairs = align(words[start:stop], template)
-            if len(pairs) >= needed and named <= {j for _, j in pairs}:
+            if len(pairs) >= needed and _said(named, pairs):
                 first, end = start + pairs[0][0], start + pairs[-1][0] + 1
                 yield {"license": name, "coverage": len(pairs) / size, "start": first, "stop": end, "score": 2 * len(pairs) - size}
 
 
+def _said(named: list[list[range]], pairs: list[tuple[int, int]]) -> bool:
+    at = {j: i for i, j in pairs}
+    return all(any(all(at.get(j) == at.get(p[0], -1 - len(p)) + k for k, j in enumerate(p)) for p in places) for places in named)
+
+
 FOUND = pa.list_(pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("start", pa.int64()), ("stop", pa.int64())]))
 
 
@@ -260,8 +302,9 @@ def scan(
     ``start_word`` and ``stop_word`` (behind the last), counted in runs of letters and digits.
 
     Stretches do not overlap: where several templates cover words of a document, the one with most words matched
-    beyond those it lacks is reported. Of templates up to ``NOTICE_WORDS`` words all but the words of any notice must be
-    matched, so that another version or variant is not taken for it. Documents without a license, null or empty
+    beyond those it lacks is reported. What names a license, its family and version, must be matched at any length, so
+    that another version or variant is not taken for it; a grant without them comes out as that of its family, or as
+    ``GNU-or-later``. Documents without a license, null or empty
     texts and templates without words give no row. Ids come out as they are.
     """
     rows = df.select(F.col(f"`{id_col}`").alias("_id"), _found(F.col(f"`{text}`").cast("string"), dict(templates), coverage).alias("_f"))

@@ -1,6 +1,7 @@
 """Decontamination, language ID, BPE, token counts, licenses, quality."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -11,6 +12,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from barloom.llm import bpe, decontaminate, language_id, license_scan, quality, token_counts
+from barloom.session import stage
 
 SCHEMA = "doc_id long, text string"
 SF = "/root/testdata/sf0.01"
@@ -113,6 +115,60 @@ def test_texts_under_one_item_id_are_items_of_their_own(spark, block):
 # ---- language
 
 
+def test_any_length_is_encoded_by_one_rule(spark):
+    docs = documents(spark)
+    model = language_id.learn(docs)
+    encoded = language_id.Sizes(model)
+    text = language_id.letters_of(max((r["text"] for r in docs.filter("lang = 'de'").collect()), key=len))
+    shares = []
+    for n in range(language_id.HEAD - 100, language_id.HEAD + 100):
+        sizes = np.sort(encoded.of(text[:n].strip()))
+        shares.append((sizes[1] - sizes[0]) / sizes[1])
+    # No jump where the head ends.
+    assert max(abs(a - b) for a, b in zip(shares, shares[1:])) < 0.03
+
+
+def test_short_texts_are_kept_and_short_foreign_ones_go(spark):
+    docs = documents(spark)
+    held_out, rows = language_id.trained_rows(docs, "doc_id", 5)
+    model = language_id.learn(rows)
+    random.seed(1)
+    cuts = []
+    for r in docs.filter(held_out).filter("text IS NOT NULL AND lang IS NOT NULL").collect():
+        words = r["text"].split()
+        for _ in range(5):
+            at = random.randrange(len(words))
+            cut = " ".join(words[at:])[:random.randrange(60, 200)].rsplit(" ", 1)[0]
+            if sum(c.isalpha() for c in cut) >= 40:
+                cuts.append((len(cuts), cut, r["lang"]))
+    own = spark.createDataFrame(cuts, "doc_id long, text string, lang string")
+    kept = language_id.identify(own, model).filter("accepted").count()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    turned = letters[13:] + letters[:13]
+    foreign = own.withColumn("text", F.translate("text", letters + letters.upper(), turned + turned.upper()))
+    passed = language_id.identify(foreign, model).filter("accepted").count()
+    assert kept >= 0.95 * len(cuts) and passed <= 0.08 * len(cuts), (kept, passed, len(cuts))
+
+
+def test_samples_are_bounded_whatever_the_ids(spark, monkeypatch):
+    n = 30_000
+    texts = spark.range(n).selectExpr("cast(NULL as bigint) AS doc_id", "concat('some words ', id) AS text", "'en' AS lang")
+    seen = []
+    plain = language_id._dictionary
+    monkeypatch.setattr(language_id, "_dictionary", lambda texts, limit: seen.append(len(texts)) or plain(texts, limit))
+    language_id.learn(texts)
+    language_id.learn(texts.withColumn("text", F.lit("all alike")))
+    assert seen[0] <= language_id.SAMPLE_TEXTS and seen[1] == 1
+    docs = spark.range(3_000).selectExpr("7L AS doc_id", "concat('text ', id % 2000) AS text")
+    labels = spark.range(60_000).selectExpr("7L AS doc_id", "cast(id % 2 as int) AS quality")
+    fitted = []
+    grow = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda x, y, times: fitted.append((len(x), times.sum())) or grow(x, y, times, trees=1))
+    quality.learn(docs, labels, train_rows=500)
+    quality.learn(docs, labels)
+    assert 300 < fitted[0][0] <= 500 and fitted[1] == (4_000, 3_000 * 60_000)
+
+
 def test_held_out_language_accuracy(spark):
     docs = documents(spark)
     held_out, rows = language_id.trained_rows(docs, "doc_id", 5)
@@ -269,7 +325,7 @@ def test_alignment_is_ordered_and_whole_where_words_are_unique():
 
 def test_every_planted_notice_is_found(spark):
     docs = documents(spark)
-    got = license_scan.scan(docs)
+    got = stage(license_scan.scan(docs), "found")
     for name, text in license_scan.TEMPLATES.items():
         want = {r["doc_id"] for r in docs.filter(F.contains("text", F.lit(text))).collect()}
         assert want <= {r["doc_id"] for r in got.filter(F.col("license") == name).collect()}
@@ -310,6 +366,40 @@ def test_neighbours_have_their_own_names():
         assert [(x["license"], x["coverage"]) for x in scanner.scan(f"one two {text} three four")] == [(name, 1.0)]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_edited_templates_never_come_out_under_another_version_or_family(seed):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    base = lambda name: re.sub("-(notice|name|text|or-later|only)$", "", name.removeprefix("SPDX-"))
+    family = lambda name: re.match("[A-Za-z]+", name)[0]
+    random.seed(seed)
+    found = 0
+    for name, text in license_scan.TEMPLATES.items():
+        words = text.split()
+        if name.endswith("-text"):
+            continue  # these mention other licenses
+        for share in (0.02, 0.05, 0.1, 0.2):
+            edited = list(words)
+            for i in random.sample(range(len(words)), max(1, round(share * len(words)))):
+                edited[i] = random.choice(["edited", "xyz", "7", "version", "3"])
+            for x in scanner.scan(" ".join(["one", *edited, "two"])):
+                got, want = base(x["license"]), base(name)
+                unversioned = not re.search("[0-9]", got) and (got == "GNU" or family(got) == family(want))
+                assert got == want or unversioned or edited[-1] in ("7", "3", "7.", "3.") or len(words) < 12, (name, x, edited)
+                found += 1
+    assert found > 100
+
+
+def test_grants_without_version_or_family_are_reported_as_such():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    grant = license_scan.TEMPLATES["LGPL-2.1-or-later"]
+    for text, name in (
+        (grant, "LGPL-2.1-or-later"), (grant.replace("2.1", "9"), "LGPL-or-later"), (grant.replace("version 2.1", "the version"), "LGPL-or-later"),
+        (grant.replace("Lesser", "Wider"), "GNU-or-later"), (grant.replace("2.1", "3"), "LGPL-3.0-or-later"),
+        (license_scan.TEMPLATES["Apache-2.0"].replace("Version 2.0", "Version 5.0"), "Apache"),
+    ):
+        assert [x["license"] for x in scanner.scan(text)] == [name], text
+
+
 # ---- quality
 
 
