@@ -204,7 +204,7 @@ def bitmap_of(prints: DataFrame) -> Bitmap:
     )
     content = bytearray(bits // 8)
     size = ROW_BITS // 8
-    for row in rows.toLocalIterator():
+    for row in rows.collect():
         content[row["row"] * size:(row["row"] + 1) * size] = row["content"]
     return Bitmap(bytes(content), bits)
 
