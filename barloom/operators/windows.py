@@ -33,7 +33,11 @@ SLICE_ROWS = 4_000_000
 #: many pieces, for so many rounds.
 RECUT_FACTOR = 4
 RECUT_PIECES = 200
-MAX_CUTS = 8
+MAX_CUTS = 16
+
+#: Numbers of six bytes that a round looks at in a text, and what a cut consists of.
+TEXT_DIGITS = 4
+CUT = "struct<axis: int, digit: int, lo: double, hi: double>"
 
 DATED = "__slice"
 
@@ -62,16 +66,23 @@ def forward_returns(
     if slice_rows is None:
         return _over(bars, series, ordering, features)
 
-    places = _places(bars, order, tiebreak)
-    dated = bars.withColumn(DATED, F.col(order).isNull().cast("int"))
+    axes = (_Axis(bars, order, 0), _Axis(bars, tiebreak, 1))
+    dated = bars.withColumn(DATED, F.col(order).isNull().cast("int")).withColumns({a.skip: F.lit(0) for a in axes})
+    whole, asked = [*series, DATED], dated
+    if any(a.text for a in axes):
+        # Reading bytes of a text is dear: only rows of series that are too long are read so.
+        long_series = stage(_longer(dated, whole, slice_rows), "long-series")
+        if long_series.isEmpty():
+            return _over(bars, series, ordering, features)
+        asked = dated.join(long_series, _same(whole), "left_semi")
     # At most (rows / slice_rows) keys; the join strategy follows the staged size.
-    long_slices = stage(_too_long(dated, [*series, DATED], order, places, slice_rows), "long-slices")
+    long_slices = stage(_too_long(asked, whole, axes, slice_rows), "long-slices")
     if long_slices.isEmpty():
         return _over(bars, series, ordering, features)
 
     hot = long_slices.select(*[F.col(f"__k{i}") for i in range(len(series))]).distinct()
     same = _same(series)
-    sliced, slices = _cut(dated.join(hot, same, "left_semi"), series, order, places, slice_rows, long_slices)
+    sliced, slices = _cut(dated.join(hot, same, "left_semi"), series, axes, slice_rows, long_slices)
     short = bars.join(hot, same, "left_anti")
     ahead = max([*horizons.values(), 1])
     return _over(short, series, ordering, features).unionByName(
@@ -137,29 +148,91 @@ def _over_slices(
     return inside.unionByName(mended).drop(*marks, *slices)
 
 
-def _too_long(df: DataFrame, keys: Sequence[str], order: str, places: tuple[Column, Column], limit: int) -> DataFrame:
-    """Slices above ``limit`` rows that can be cut, with the span to cut: of time, or of the tiebreak
-    where the slice is one single instant. One map-side-combined pass over the key columns."""
-    ends = [fold(place).alias(f"__{end}{i}") for end, fold in (("lo", F.min), ("hi", F.max)) for i, place in enumerate(places)]
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(order).eqNullSafe(F.max(order)).alias("__instant"), *ends
-    )
-    spans = [F.when(F.col("__instant"), F.col(f"__{end}1")).otherwise(F.col(f"__{end}0")).alias(f"__{end}") for end in ("lo", "hi")]
+class _Axis:
+    """A column as numbers, most significant first, that order rows as the column does.
+
+    Most types are one number. A text is six bytes a number, ``TEXT_DIGITS`` numbers behind the bytes that its slice
+    has in common as far as is known (a column of the rows), and its length, which decides between a text and
+    the same text with NUL behind it.
+    """
+
+    def __init__(self, df: DataFrame, name: str | None, at: int):
+        self.name, self.at, self.skip = name, at, f"__skip{at}"
+        self.text = name is not None and isinstance(df.schema[name].dataType, T.StringType)
+        if name is None:
+            self.digits = []
+        elif self.text:
+            data = F.col(name).cast("binary")
+            self.digits = [_six_bytes(data, F.col(self.skip) + 6 * i) for i in range(TEXT_DIGITS)]
+            self.digits.append(F.octet_length(name).cast("double"))
+        else:
+            self.digits = [_position(df, name)]
+
+    def stats(self) -> list[Column]:
+        out = []
+        for i, digit in enumerate(self.digits):
+            out += [F.min(digit).alias(f"__lo{self.at}{i}"), F.max(digit).alias(f"__hi{self.at}{i}")]
+        if self.text:
+            out.append(F.max(self.skip).alias(f"__skipped{self.at}"))
+        elif self.name is not None:
+            # Exact, where the number is not.
+            out.append(F.min(self.name).eqNullSafe(F.max(self.name)).alias(f"__alike{self.at}"))
+        return out
+
+    def where_to_cut(self) -> Column:
+        """The first number that is not the same in the whole slice, with its span; digit -1 where texts agree
+        in all numbers but go on. NULL: the values are alike, or cannot be cut."""
+        ends = [(F.col(f"__lo{self.at}{i}"), F.col(f"__hi{self.at}{i}")) for i in range(len(self.digits))]
+        found = [F.when(hi > lo, self._cut_at(i, lo, hi)) for i, (lo, hi) in enumerate(ends)]
+        if self.text:
+            _, longest = ends[-1]
+            deeper = F.when(longest > F.col(f"__skipped{self.at}") + 6 * TEXT_DIGITS, self._cut_at(-1, F.lit(0.0), F.lit(1.0)))
+            found.insert(-1, deeper)
+        return F.coalesce(*found, F.lit(None).cast(CUT))
+
+    def _cut_at(self, digit: int, lo: Column, hi: Column) -> Column:
+        return F.struct(F.lit(self.at).alias("axis"), F.lit(digit).alias("digit"), lo.alias("lo"), hi.alias("hi")).cast(CUT)
+
+    def alike(self) -> Column:
+        return self.where_to_cut().isNull() if self.text else F.col(f"__alike{self.at}")
+
+    def skipped(self) -> Column:
+        """The bytes that the rows of a slice are then known to have in common."""
+        digit = F.when(F.col("__axis") == self.at, F.col("__digit")).otherwise(0)
+        more = F.when(digit < 0, TEXT_DIGITS).when(digit < TEXT_DIGITS, digit).otherwise(0) * 6
+        return F.col(self.skip) + (F.coalesce(more, F.lit(0)) if self.text else 0)
+
+
+def _longer(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """Keys of more than ``limit`` rows as ``__k0, __k1, ...``."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
+    return counts.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+
+
+def _too_long(df: DataFrame, keys: Sequence[str], axes: tuple[_Axis, _Axis], limit: int) -> DataFrame:
+    """Slices above ``limit`` rows that can be cut, with the number to cut and its span: one of the order, or of
+    the tiebreak where the slice is one single instant. One map-side-combined pass, numbers only."""
+    order, tiebreak = axes
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *order.stats(), *tiebreak.stats())
+    cut = F.coalesce(order.where_to_cut(), F.when(order.alike(), tiebreak.where_to_cut()))
     return (
         sizes.filter(F.col("__n") > limit)
-        .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", "__instant", *spans)
-        .filter("__hi > __lo")
+        .select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__n", cut.alias("__cut"))
+        .filter("__cut IS NOT NULL")
+        .select("*", *[F.col(f"__cut.{c}").alias(f"__{c}") for c in ("axis", "digit", "lo", "hi")])
+        .drop("__cut")
     )
 
 
 def _cut(
-    df: DataFrame, series: Sequence[str], order: str, places: tuple[Column, Column], slice_rows: int, full: DataFrame
+    df: DataFrame, series: Sequence[str], axes: tuple[_Axis, _Axis], slice_rows: int, full: DataFrame
 ) -> tuple[DataFrame, list[str]]:
     """Add slice columns that follow the row order and hold about ``slice_rows`` rows each.
 
     Undated rows are apart from the start, as they come last. Every slice that is too long is cut
-    into equal widths of its time span, or by tiebreak if it is one single instant, and what a burst
-    overfills is cut again more finely. The cuts depend on the data only, so a task that runs again
+    into equal widths of its span, or by tiebreak if it is one single instant, and what a burst
+    overfills is cut again more finely. A text is cut at the first bytes that differ in its slice, so each round
+    looks behind what the slice has in common. The cuts depend on the data only, so a task that runs again
     agrees with the first run.
     """
     slices = [DATED]
@@ -167,25 +240,25 @@ def _cut(
         pieces = F.ceil(F.col("__n") / F.lit(slice_rows))
         if cut_round:
             pieces = F.greatest(pieces, F.lit(RECUT_PIECES))
-        place = F.when(F.col("__instant"), places[1]).otherwise(places[0])
+        place = F.lit(None).cast("double")
+        for axis in axes:
+            for i, digit in enumerate(axis.digits):
+                place = F.when((F.col("__axis") == axis.at) & (F.col("__digit") == i), digit).otherwise(place)
         at = F.floor((place - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * pieces)
         # A row without a place can only be one of NULL tiebreak, which comes last as well.
         at = F.coalesce(at, pieces + 1)
         name = f"__slice{cut_round}"
         df = (
             df.join(full, _same([*series, *slices]), "left")
-            .withColumn(name, F.when(F.col("__n").isNull(), 0).otherwise(at).cast("bigint"))
+            .withColumn(name, F.when(F.col("__n").isNull() | (F.col("__digit") < 0), 0).otherwise(at).cast("bigint"))
+            .withColumns({axis.skip: axis.skipped() for axis in axes})
             .drop(*full.columns)
         )
         slices.append(name)
-        full = stage(_too_long(df, [*series, *slices], order, places, slice_rows * RECUT_FACTOR), "long-slices")
+        full = stage(_too_long(df, [*series, *slices], axes, slice_rows * RECUT_FACTOR), "long-slices")
         if full.isEmpty():
             break
-    return df, slices
-
-
-def _places(df: DataFrame, order: str, tiebreak: str | None) -> tuple[Column, Column]:
-    return tuple(F.lit(None).cast("double") if c is None else _position(df, c) for c in (order, tiebreak))
+    return df.drop(*[axis.skip for axis in axes]), slices
 
 
 def _position(df: DataFrame, name: str) -> Column:
@@ -203,7 +276,9 @@ def _position(df: DataFrame, name: str) -> Column:
         return F.unix_date(value).cast("double")
     if isinstance(kind, T.NumericType):
         return value.cast("double")
-    if isinstance(kind, T.StringType):
-        # The leading six bytes, which order as the text does.
-        return F.conv(F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double")
     return F.lit(None).cast("double")
+
+
+def _six_bytes(data: Column, skip: Column) -> Column:
+    """Six bytes behind the first ``skip``, zeros where there are no more: a number that a double holds exactly."""
+    return F.conv(F.rpad(F.hex(F.substring(data, skip + 1, F.lit(6))), 12, "0"), 16, 10).cast("double")

@@ -128,12 +128,47 @@ def test_slices_are_balanced_over_bursts(spark):
     from barloom.operators import windows
 
     series = ["Name", "Fullname"]
-    df = messy(spark).filter("Name = 'long'").withColumn(windows.DATED, F.col("Date").isNull().cast("int"))
-    places = windows._places(df, "Date", "id")
-    full = windows._too_long(df, [*series, windows.DATED], "Date", places, 60)
-    sliced, keys = windows._cut(df, series, "Date", places, 60, full)
-    assert sliced.count() == 1500
-    assert sliced.groupBy(*keys).count().agg(F.max("count")).first()[0] <= 60 * windows.RECUT_FACTOR
+    df = messy(spark).filter("Name = 'long'")
+    sizes = slice_sizes(df, series, "Date", "id", 60)
+    assert sum(sizes) == 1500 and max(sizes) <= 60 * windows.RECUT_FACTOR
+
+
+def slice_sizes(df, series, order, tiebreak, slice_rows):
+    from barloom.operators import windows
+
+    axes = windows._Axis(df, order, 0), windows._Axis(df, tiebreak, 1)
+    dated = df.withColumn(windows.DATED, F.col(order).isNull().cast("int")).withColumns({a.skip: F.lit(0) for a in axes})
+    full = windows._too_long(dated, [*series, windows.DATED], axes, slice_rows)
+    sliced, keys = windows._cut(dated, series, axes, slice_rows, full)
+    return [r["count"] for r in sliced.groupBy(*series, *keys).count().collect()]
+
+
+STAMP = "date_format(timestamp_micros(1704067200000000 + id * 58000000), 'yyyy-MM-dd HH:mm:ss')"
+
+
+@pytest.mark.parametrize(
+    "order, tiebreak",
+    [
+        (STAMP, None),
+        (f"concat(repeat('same head ', 4), {STAMP})", None),
+        (f"concat(repeat('a head beyond one round, ', 5), {STAMP})", None),
+        ("'one instant'", f"concat(repeat('x', 70), {STAMP})"),
+        ("concat('a', repeat(char(0), int(id % 40)))", "lpad(string(id), 9, '0')"),
+        (f"if(id % 3 = 0, NULL, if(id < 20000, 'é early', {STAMP}))", "id"),
+    ],
+    ids=["iso", "head of 40", "head of 125", "tiebreak", "NUL behind", "bursts and NULL"],
+)
+def test_text_orders_are_cut_to_the_wanted_length(spark, order, tiebreak):
+    from barloom.operators import windows
+
+    df = spark.range(30_000).selectExpr("'n' as s", f"{order} as d", f"{tiebreak or 'NULL'} as t", "double(id % 13 + 1) as c")
+    if not tiebreak:
+        df = df.drop("t")
+    sizes = slice_sizes(df, ["s"], "d", tiebreak and "t", 1_000)
+    assert sum(sizes) == 30_000 and max(sizes) <= 1_000 * windows.RECUT_FACTOR
+    whole = forward_returns(df, ["s"], "d", "c", tiebreak and "t", slice_rows=None)
+    cut = forward_returns(df, ["s"], "d", "c", tiebreak and "t", slice_rows=1_000)
+    assert cut.count() == 30_000 and whole.exceptAll(cut).isEmpty()
 
 
 def test_sliced_series_in_a_zone_with_clock_changes(spark):
