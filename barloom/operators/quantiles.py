@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.session import stage
@@ -17,12 +17,13 @@ from barloom.session import stage
 #: Up to this many input rows one task may hold the distinct values of a group.
 IN_MEMORY_ROWS = 1_000_000
 
-#: Sketch accuracy, and the most that a large input may raise it to.
+#: Sketch accuracy, which bounds the size of every task's sketch however many rows there are.
 SKETCH_ACCURACY = 10_000
-FINEST_ACCURACY = 1_000_000
 
-#: About so many rows around the wanted rank are put in order per group and column.
+#: At most so many rows around the wanted rank are put in order per group and column, and the fences of a
+#: round that makes them fewer.
 NEAR_ROWS = 4_000_000
+GRID = [i / 32 for i in range(33)]
 
 
 def percentiles_builtin(
@@ -47,60 +48,57 @@ def percentiles_spread(
 ) -> DataFrame:
     """Exact percentiles without gathering a group.
 
-    A mergeable sketch proposes two values close below and above the wanted rank, the rows on each
-    side are counted exactly, and only the part that holds the rank is put in order, one row per
-    distinct value. The counts decide which part that is, so the answer does not depend on how good
-    the sketch was. The sketch is finer for more rows, which keeps the ordered part about the same
-    size. Reads its input three times: give it a stored table.
+    A mergeable sketch of constant size proposes fences, the rows between and on the fences are counted exactly,
+    and the counts tell which part holds the wanted rank. Rounds go on inside that part, all groups and columns at
+    once, until it has at most ``NEAR_ROWS`` rows or is a single value; then its distinct values are put in order.
+    The first fences stand close to the rank and leave a few rows in ten thousand, each further round leaves
+    one part in ``len(GRID)``. The counts decide, so the answer does not depend on how good the sketch was.
+    Reads its input twice, and twice more a further round: give it a stored table.
     """
     by = list(by)
     long = staged.unpivot(by, list(values), "__of", "__v").filter(F.col("__v").isNotNull())
     keys = [*by, "__of"]
-    accuracy = min(max(SKETCH_ACCURACY, 4 * staged.count() // NEAR_ROWS), FINEST_ACCURACY)
-    margin = 2.0 / accuracy
-    fences = long.groupBy(*keys).agg(
-        F.percentile_approx("__v", [max(p - margin, 0.0), min(p + margin, 1.0)], accuracy).alias("__f")
-    )
+    margin = 2.0 / SKETCH_ACCURACY
+    close = [max(p - margin, 0.0), min(p + margin, 1.0)]
+    sketch = F.percentile_approx("__v", close, SKETCH_ACCURACY)
     # One row per group and column; stored, so that the joins see how small it is and broadcast it.
-    fences = stage(fences, "fences")
-    side = F.when(F.col("__v") < F.col("__lo"), 0).when(F.col("__v") <= F.col("__hi"), 1).otherwise(2)
-    fences = fences.select(*keys, F.col("__f")[0].alias("__lo"), F.col("__f")[1].alias("__hi"))
-    counted = (
-        _match(long, fences, keys)
-        .groupBy(*keys, "__lo", "__hi")
-        .agg(F.count(F.lit(1)).alias("__n"), F.count_if(side == 0).alias("__below"), F.count_if(side == 1).alias("__mid"))
-    )
-    rank = (F.col("__n") - 1) * F.lit(p)
-    upto_mid = F.col("__below") + F.col("__mid")
-
-    def part_of(r):
-        return F.when(r < F.col("__below"), 0).when(r < upto_mid, 1).otherwise(2)
-
-    # The counts are kept together with the fences they belong to.
-    targets = stage(
-        counted.withColumns({"__r1": F.floor(rank), "__r2": F.ceil(rank), "__w": rank - F.floor(rank)})
-        .withColumns({"__p1": part_of(F.col("__r1")), "__p2": part_of(F.col("__r2"))})
-        .withColumn("__base", F.when(F.col("__p1") == 0, 0).when(F.col("__p1") == 1, F.col("__below")).otherwise(upto_mid))
-        .select(*keys, "__lo", "__hi", "__r1", "__r2", "__w", "__p1", "__p2", "__base"),
-        "targets",
-    )
-    fixed = [*keys, "__r1", "__r2", "__w", "__base"]
+    fences = stage(long.groupBy(*keys).agg(F.array_sort(F.array_distinct(sketch)).alias("__f")), "fences")
+    # A few rows for each group and column, as all that follows.
+    counts = stage(_parts(_match(long, fences, keys), keys), "parts")
+    rank = (F.sum("__c") - 1) * F.lit(p)
+    wanted = counts.groupBy(*keys).agg(rank.alias("__rank"))
+    ranks = F.explode(F.array_distinct(F.array(F.floor("__rank"), F.ceil("__rank")))).alias("__r")
+    wanted = wanted.select(*keys, (F.col("__rank") - F.floor("__rank")).alias("__w"), ranks)
+    targets = _part_of_rank(_match(wanted, counts, keys), [*keys, "__r", "__w"], F.lit(None), F.lit(None), F.lit(0))
+    targets = stage(targets, "targets")
+    while True:
+        single = F.coalesce(F.col("__lo") == F.col("__hi"), F.lit(False))
+        wide = stage(targets.filter((F.col("__n") > NEAR_ROWS) & ~single), "wide")
+        if wide.isEmpty():
+            break
+        span = [*keys, "__r", "__w", "__lo", "__hi", "__below"]
+        inside = _match(long, wide, keys).filter(_inside())
+        sketch = F.percentile_approx("__v", GRID, SKETCH_ACCURACY)
+        fences = stage(inside.groupBy(*keys, "__r").agg(F.array_sort(F.array_distinct(sketch)).alias("__f")), "fences")
+        fenced = _match(wide.select(*span), fences, [*keys, "__r"])
+        counts = _parts(_match(long, fenced, keys).filter(_inside()), span)
+        narrowed = _part_of_rank(counts, [*keys, "__r", "__w"], F.col("__lo"), F.col("__hi"), F.col("__below"))
+        rest = targets.join(wide.select(*[F.col(k).alias(f"__j{i}") for i, k in enumerate([*keys, "__r"])]), _same([*keys, "__r"]), "left_anti")
+        targets = stage(rest.unionByName(narrowed), "targets")
     near = (
         _match(long, targets, keys)
-        .filter(side.between(F.col("__p1"), F.col("__p2")))
-        .groupBy(*fixed, "__v")
+        .filter(_inside())
+        .groupBy(*keys, "__r", "__w", "__below", "__v")
         .agg(F.count(F.lit(1)).alias("__c"))
     )
-    ordered = Window.partitionBy(*keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    seen = F.col("__base") + F.col("__upto")
+    ordered = Window.partitionBy(*keys, "__r").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     picked = (
-        near.withColumn("__upto", F.sum("__c").over(ordered))
+        near.withColumn("__upto", F.col("__below") + F.sum("__c").over(ordered))
+        .filter(F.col("__upto") > F.col("__r"))
+        .groupBy(*keys, "__r", "__w")
+        .agg(F.min("__v").alias("__v"))
         .groupBy(*keys)
-        .agg(
-            F.min(F.when(seen > F.col("__r1"), F.col("__v"))).alias("__v1"),
-            F.min(F.when(seen > F.col("__r2"), F.col("__v"))).alias("__v2"),
-            F.first("__w").alias("__w"),
-        )
+        .agg(F.min_by("__v", "__r").alias("__v1"), F.max_by("__v", "__r").alias("__v2"), F.first("__w").alias("__w"))
         # As the built-in aggregate: equal neighbours, or a rank that is one, are not weighted (inf * 0).
         .withColumn(
             "__q",
@@ -115,6 +113,39 @@ def percentiles_spread(
     return _match(groups, result, by, "left").select(*by, *[v + suffix for v in values])
 
 
+def _inside() -> Column:
+    """Whether ``__v`` lies in its part: a single value, or what lies strictly between two; NULL is no end."""
+    v, lo, hi = F.col("__v"), F.col("__lo"), F.col("__hi")
+    between = (lo.isNull() | (v > lo)) & (hi.isNull() | (v < hi))
+    return F.when(lo == hi, v == lo).otherwise(between)
+
+
+def _parts(fenced: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of each part that the sorted fences ``__f`` make: odd parts are the fences themselves, even ones
+    lie between two. Combined before the shuffle."""
+    below = F.size(F.filter("__f", lambda f: f < F.col("__v")))
+    on = F.exists("__f", lambda f: f == F.col("__v")).cast("int")
+    return fenced.groupBy(*keys, "__f", (2 * below + on).alias("__part")).agg(F.count(F.lit(1)).alias("__c"))
+
+
+def _part_of_rank(counts: DataFrame, keys: Sequence[str], lo: Column, hi: Column, base: Column) -> DataFrame:
+    """The part that holds rank ``__r``: its ends, its rows and those below it."""
+    upto = F.sum("__c").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, 0))
+    summed = counts.withColumn("__upto", (base + upto).cast("bigint"))
+    at = F.floor(F.col("__part") / 2).cast("int")
+    on = F.col("__part") % 2 == 1
+    held = (F.col("__upto") > F.col("__r")) & (F.col("__upto") - F.col("__c") <= F.col("__r"))
+    # A part at either end of the fences goes on to the end that was known before.
+    fence = F.get("__f", at)
+    return summed.filter(held).select(
+        *keys, F.when(at > 0, F.get("__f", at - 1)).otherwise(lo).alias("__low"), F.coalesce(fence, hi).alias("__high"), on.alias("__on"),
+        fence.alias("__fence"), (F.col("__upto") - F.col("__c")).alias("__below"), F.col("__c").alias("__n"),
+    ).select(
+        *keys, F.when(F.col("__on"), F.col("__fence")).otherwise(F.col("__low")).alias("__lo"),
+        F.when(F.col("__on"), F.col("__fence")).otherwise(F.col("__high")).alias("__hi"), "__below", "__n",
+    )
+
+
 def percentiles(
     staged: DataFrame,
     by: Sequence[str],
@@ -129,11 +160,17 @@ def percentiles(
     return percentiles_spread(staged, by, values, p, suffix)
 
 
+def _same(keys: Sequence[str]) -> Column:
+    """NULL-safe match of key columns with ``__j0, __j1, ...``."""
+    condition = F.lit(True)
+    for i, key in enumerate(keys):
+        condition = condition & F.col(key).eqNullSafe(F.col(f"__j{i}"))
+    return condition
+
+
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on NULL-safe equality of the shared key columns, keeping the left ones."""
     renamed = right
-    condition = F.lit(True)
     for i, key in enumerate(keys):
         renamed = renamed.withColumnRenamed(key, f"__j{i}")
-        condition = condition & F.col(key).eqNullSafe(F.col(f"__j{i}"))
-    return left.join(renamed, condition, how).drop(*[f"__j{i}" for i in range(len(keys))])
+    return left.join(renamed, _same(keys), how).drop(*[f"__j{i}" for i in range(len(keys))])
