@@ -37,6 +37,38 @@ def hourly_bars(
     )
 
 
+def bar_states(
+    ticks: DataFrame, symbol: str, ts: str, price: str, volume: Column | str | None = None, tiebreak: str | None = None
+) -> DataFrame:
+    """Hourly bars of some of the ticks, with the moments of their first and last price: states that merge.
+
+    ``(symbol, hour, first_at, Open, High, Low, last_at, Close, Volume)``.
+    """
+    at = _moment(ticks, ts, tiebreak) if tiebreak else F.col(ts)
+    size = F.count(F.lit(1)) if volume is None else F.sum(column(volume))
+    return ticks.groupBy(F.col(symbol).alias("symbol"), hour_floor(ts).alias("hour")).agg(
+        F.min(at).alias("first_at"),
+        F.min_by(price, at).alias("Open"),
+        F.max(price).alias("High"),
+        F.min(price).alias("Low"),
+        F.max(at).alias("last_at"),
+        F.max_by(price, at).alias("Close"),
+        size.cast("bigint").alias("Volume"),
+    )
+
+
+def bars_of_states(states: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """The bars of all ticks whose ``bar_states`` are given, in any number of parts. ``more``: columns of
+    the states that go with the hour and are kept."""
+    return states.groupBy("symbol", "hour", *more).agg(
+        F.min_by("Open", "first_at").alias("Open"),
+        F.max("High").alias("High"),
+        F.min("Low").alias("Low"),
+        F.max_by("Close", "last_at").alias("Close"),
+        F.sum("Volume").alias("Volume"),
+    )
+
+
 def _moment(ticks: DataFrame, ts: str, tiebreak: str) -> Column:
     """(ts, tiebreak) as one value to order by. A whole-number tiebreak is packed with a zone-less time
     into a decimal, which hash aggregation can hold; a struct would sort all ticks first. NULLs are least."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -32,8 +32,41 @@ def require_pass(report: DataFrame) -> None:
         raise GateFailed("; ".join(f"{r.model}.{r.column} {r.test}: {r.failures}" for r in failed))
 
 
-def not_null_gate(columns: Sequence[str], model: str = "rows") -> Callable[[DataFrame], None]:
-    return lambda df: require_pass(not_null_report(df, model, columns))
+class NotNullGate:
+    """A gate whose counts a write can take on its way; called with stored rows it counts them itself."""
+
+    def __init__(self, columns: Sequence[str], model: str = "rows"):
+        self.columns, self.model = list(columns), model
+
+    def __call__(self, df: DataFrame) -> None:
+        require_pass(not_null_report(df, self.model, self.columns))
+
+    def metrics(self, among: Column | None = None) -> dict[str, Column]:
+        """A name and an aggregate for each tested column, over the rows ``among``."""
+        counted = F.lit(True) if among is None else among
+        return {f"{self.model}.{c} not_null": F.count_if(F.col(f"`{c}`").isNull() & counted) for c in self.columns}
+
+    def check(self, counts: Mapping[str, int]) -> None:
+        """Raise if the observed counts have failures."""
+        failed = [f"{name}: {counts[name]}" for name in self.metrics() if counts[name]]
+        if failed:
+            raise GateFailed("; ".join(failed))
+
+
+def not_null_gate(columns: Sequence[str], model: str = "rows") -> NotNullGate:
+    return NotNullGate(columns, model)
+
+
+def counted_write(df: DataFrame, metrics: Mapping[str, Column], write: Callable[[DataFrame], None]) -> dict[str, int]:
+    """``write(df)`` and the ``metrics`` of the rows it wrote, taken by the same job. ``df`` must reach the
+    write without a shuffle behind it, so that a task that runs again is not counted twice."""
+    if not metrics:
+        write(df)
+        return {}
+    seen = Observation()
+    columns = {f"m{i}": name for i, name in enumerate(metrics)}
+    write(df.observe(seen, *[metrics[name].alias(m) for m, name in columns.items()]))
+    return {name: seen.get[m] for m, name in columns.items()}
 
 
 def complete(columns: Sequence[str]) -> Column:

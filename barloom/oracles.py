@@ -110,6 +110,7 @@ ORACLES: dict[str, str] = {
     "pct_change": "SELECT event_id, round(change, 6) AS change FROM (" + _scored() + ")",
     "forward_returns": _returns(change=False),
     "forward_returns_long_series": _returns("event_type"),
+    "forward_returns_text_dates": _returns("event_type"),
     "band_counts": _MOVES + "SELECT condition, count(*) AS n FROM moves GROUP BY condition",
     "band_mean": _per_band("avg({})", "mean"),
     "band_median": _per_band("quantile_cont({}, 0.5)", "median"),
@@ -129,6 +130,8 @@ ORACLES: dict[str, str] = {
     "THEN o_orderstatus END AS o_orderstatus FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')",
     "name_default": "SELECT user_id AS symbol, event_id, coalesce(fullname, 'N/A') AS fullname "
     f"FROM events LEFT JOIN ({_BUILDING}) u ON user_id = u.symbol",
+    "forward_returns_stored_bars": _returns(change=False),
+    "hourly_bars_incremental": f"SELECT event_type, {_HOUR} AS hour, {_OHLC}, count(*) AS \"Volume\" FROM events GROUP BY 1, 2",
     "hourly_bars": f"SELECT event_type, {_HOUR} AS hour, {_OHLC}, count(*) AS \"Volume\" FROM events GROUP BY 1, 2",
     "run_report": "SELECT count(DISTINCT o_custkey) AS symbols, count(*) AS rows FROM orders",
     "domestic_bars": "SELECT symbol AS \"Ticker\", fullname AS \"Fullname\", hour AS \"Datetime\", \"Close\", \"High\", "
@@ -187,10 +190,17 @@ ORACLES: dict[str, str] = {
     "load_parquet_truncate": f"SELECT {_ORDERS} FROM orders",
     "load_csv_quoted_newlines": "SELECT doc_id, md5(text) AS digest, CAST(length(text) AS INTEGER) AS chars FROM documents",
     "tolerant_csv": f"SELECT {_BULK} FROM lineitem",
+    "csv_ranges": "WITH t AS (SELECT doc_id, lang, text || CASE WHEN doc_id % 3 = 0 THEN chr(13) || chr(10) || '\"said\", \"\"' ELSE '' END AS text "
+    "FROM documents) SELECT doc_id, md5(text) AS digest, CAST(length(text) AS INTEGER) AS chars, lang FROM t",
     "tolerant_csv_rejects": "SELECT CASE WHEN l_linenumber % 3 < 2 THEN 'malformed' ELSE 'l_returnflag longer than 255' END "
     "AS _reason, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1",
     "refresh_table": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_shipdate AS \"Date\", l_returnflag FROM lineitem",
+    "observed_refresh": "WITH c AS (SELECT count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS bad FROM lineitem) "
+    "SELECT 'rows' AS metric, n + bad AS n FROM c UNION ALL SELECT 'rejects', bad FROM c "
+    "UNION ALL SELECT 'lines.l_orderkey not_null', 0 UNION ALL SELECT 'lines.l_returnflag not_null', 0 "
+    "UNION ALL SELECT 'loaded', n FROM c UNION ALL SELECT 'rejected', bad FROM c",
     "publish_gated": "SELECT * FROM customer",
+    "persistent_view": "SELECT o_custkey AS name, o_orderdate AS day, o_totalprice AS price FROM orders WHERE o_orderpriority = '1-URGENT'",
     "snapshot_sink": "SELECT event_id, event_type, value, date_trunc('milliseconds', ts)::TIMESTAMP AS ts, "
     f"strftime({_BATCH}, '%Y%m%d_%H%M%S') AS run_ts FROM events",
     "hour_landing": "SELECT event_id, value, date_trunc('milliseconds', ts)::TIMESTAMP AS ts, strftime(ts, '%Y') AS year, "

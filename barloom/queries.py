@@ -18,7 +18,8 @@ from barloom.operators import bands, bars, inference, quality, quantiles, quotes
 from barloom.plans import bar_panels, models, refresh, snapshot, weather_load
 from barloom.plans.change_conditions import change_conditions as conditions
 from barloom.session import scratch_path, stage
-from barloom.sources import files, sinks, tables, tolerant
+from barloom.sources import bar_store, files, records, sinks, tables, tolerant
+from barloom.streaming import bar_updates
 from barloom.streaming.landing import land_increment
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,6 +99,16 @@ def forward_returns_long_series(spark, sf_dir):
     return rounded(scored.select("event_id", "change", *RETURNS), ["change", *RETURNS], 6)
 
 
+@query
+def forward_returns_text_dates(spark, sf_dir):
+    """Long series whose time is text with a long common head, as untyped loads make it."""
+    stamp = F.concat(F.lit("stock exchange, close of trading at: "), F.col("ts").cast("string"))
+    events = table(spark, sf_dir, "events").select("event_id", stamp.alias("ts"), "event_type", "value")
+    per_slice = min(windows.SLICE_ROWS, max(200, events.count() // 64))
+    scored = windows.forward_returns(events, **{**BAR, "series": ["event_type"]}, slice_rows=per_slice)
+    return rounded(scored.select("event_id", "change", *RETURNS), ["change", *RETURNS], 6)
+
+
 @query
 def band_counts(spark, sf_dir):
     return bands.band_counts(_scored(spark, sf_dir))
@@ -204,6 +215,31 @@ def hourly_bars(spark, sf_dir):
     return built.withColumnsRenamed({"symbol": "event_type"})
 
 
+@query
+def hourly_bars_incremental(spark, sf_dir):
+    """Ticks landed in four runs, the last ones late for most hours; after each the touched days are brought up to date."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    landing, store, checkpoint = (scratch_path(spark, n) for n in ("ticks", "bars", "checkpoint"))
+    day = F.dayofmonth("ts")
+    late = F.col("event_id") % 5 == 0
+    for part in (~late & (day < 10), ~late & (day >= 10), F.lit(False), late):
+        events.filter(part).write.mode("append").parquet(landing)
+        bar_updates.update_hourly_bars(
+            spark, landing, events.schema, store, checkpoint, "event_type", "ts", "value", tiebreak="event_id", source_format="parquet"
+        )
+    return bar_updates.read_hourly_bars(spark, store).withColumnsRenamed({"symbol": "event_type"})
+
+
+@query
+def forward_returns_stored_bars(spark, sf_dir):
+    """Bars kept bucketed by series and sorted by time: the window reads them without a shuffle."""
+    name = f"{scratch_database(spark)}.bars"
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    bar_store.store_bars(events.filter(F.dayofmonth("ts") < 15), name, ["user_id"], ["ts", "event_id"], buckets=8)
+    stored = bar_store.store_bars(events.filter(F.dayofmonth("ts") >= 15), name, ["user_id"], ["ts", "event_id"], buckets=8)
+    return rounded(windows.forward_returns(stored, **BAR).select("event_id", *RETURNS), RETURNS, 6)
+
+
 @query
 def run_report(spark, sf_dir):
     return bars.run_report(table(spark, sf_dir, "orders"), "o_custkey")
@@ -542,6 +578,18 @@ def load_csv_quoted_newlines(spark, sf_dir):
     return loaded.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("chars"))
 
 
+@query
+def csv_ranges(spark, sf_dir):
+    """One file of texts with quotes and line breaks of both kinds, cut into records by many tasks."""
+    path = scratch_path(spark, "one-file")
+    text = F.concat(F.col("text"), F.when(F.col("doc_id") % 3 == 0, "\r\n\"said\", \"\"").otherwise(""))
+    texts = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "lang")
+    texts.coalesce(1).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    schema = T.StructType.fromDDL("doc_id bigint, text string, lang string")
+    read = records.read_records(spark, path, schema, header=True, mode="FAILFAST", range_bytes=64 << 10)
+    return read.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("chars"), "lang")
+
+
 BULK = ["l_orderkey", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag"]
 
 
@@ -601,6 +649,17 @@ def refresh_inferred(spark, sf_dir):
     return loaded.unionByName(rejected.select(F.lit("reject").alias("Ticker")), allowMissingColumns=True)
 
 
+@query
+def observed_refresh(spark, sf_dir):
+    """What the one write of a refresh counted on its way, with the rows that both tables then show."""
+    path, schema = _bulk_csv(spark, sf_dir)
+    target = f"{scratch_database(spark)}.lines"
+    gate = quality.not_null_gate(["l_orderkey", "l_returnflag"], "lines")
+    loaded, rejected, counts = refresh.refresh_counted(spark, path, target, schema, gates=[gate])
+    counts = counts | {"loaded": loaded.count(), "rejected": rejected.count()}
+    return spark.createDataFrame(list(counts.items()), "metric string, n bigint")
+
+
 @query
 def publish_gated(spark, sf_dir):
     """A refresh that passes its gate, then one that does not: the table keeps the first."""
@@ -615,6 +674,18 @@ def publish_gated(spark, sf_dir):
     raise AssertionError("the gate let NULL names through")
 
 
+@query
+def persistent_view(spark, sf_dir):
+    """A staging model as a view in the catalog, read by another session."""
+    database = scratch_database(spark)
+    tables.publish(table(spark, sf_dir, "orders"), f"{database}.orders")
+    view = f"{database}.urgent"
+    tables.persistent_view(
+        spark, view, f"SELECT o_custkey AS name, o_orderdate AS day, o_totalprice AS price FROM {database}.orders WHERE o_orderpriority = '1-URGENT'"
+    )
+    return spark.newSession().table(view)
+
+
 @query
 def snapshot_sink(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "value", "ts")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.sources.records import read_records
 from barloom.sources.tables import append, publish
 
 UNIVERSE_SCHEMA = "symbol string, fullname string"
@@ -38,9 +39,11 @@ def read_universe(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_text_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """CSV with a header, every column as text. ``multi_line`` allows line breaks in quotes but
-    makes each file one task."""
-    return spark.read.options(header=True, quote='"', escape='"', multiLine=multi_line).csv(path)
+    """CSV with a header, every column as text. ``multi_line`` allows line breaks in quotes; the records are
+    then cut out in parallel and stored first."""
+    if multi_line:
+        return read_records(spark, path, header=True)
+    return spark.read.options(header=True, quote='"', escape='"').csv(path)
 
 
 def read_indexed_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -81,12 +84,14 @@ def read_files(
     quoted_newlines: bool = False,
     header: bool = False,
     strict_fields: bool = False,
+    range_bytes: int | None = None,
 ) -> DataFrame:
     """Files of one of ``SOURCE_FORMATS`` (a path, a glob or several), failing on malformed records.
 
     ``strict_fields`` also fails on JSON records that carry undeclared fields. ``quoted_newlines``
-    allows line breaks inside quoted CSV values, at the price of one task per file. The frame is lazy:
-    columns that an action does not read are not checked by it. ``load_files`` writes all columns.
+    allows line breaks inside quoted CSV values: the records are cut out of ranges of the files and stored when this is
+    called. Else the frame is lazy. Columns that an action does not read are not checked by it. ``load_files``
+    writes all columns.
     """
     if source_format not in SOURCE_FORMATS:
         raise ValueError(f"no Spark reader for {source_format}")
@@ -96,6 +101,8 @@ def read_files(
         if schema is None:
             raise ValueError("strict_fields needs declared fields")
         df = _strict_json(spark.read.text(source), schema)
+    elif fmt == "csv" and quoted_newlines:
+        df = read_records(spark, source, schema, header, "FAILFAST", range_bytes=range_bytes)
     else:
         reader = spark.read.format(fmt)
         if schema is not None:
@@ -103,7 +110,7 @@ def read_files(
         if fmt in ("csv", "json"):
             reader = reader.option("mode", "FAILFAST")
         if fmt == "csv":
-            reader = reader.options(header=header, quote='"', escape='"', multiLine=quoted_newlines)
+            reader = reader.options(header=header, quote='"', escape='"')
         df = reader.load(source)
     return with_required(df, fields) if fields else df
 
@@ -128,8 +135,9 @@ def load_files(
     quoted_newlines: bool = False,
     header: bool = False,
     strict_fields: bool = False,
+    range_bytes: int | None = None,
 ) -> DataFrame:
-    """Load files into a table in one pass and return the table.
+    """Load files into a table and return the table: in one pass, CSV with ``quoted_newlines`` in two more.
 
     A malformed record or a NULL in a REQUIRED field fails the job before anything is committed.
     WRITE_TRUNCATE publishes a new version, so a failed load leaves the old rows; WRITE_APPEND adds
@@ -137,7 +145,7 @@ def load_files(
     """
     if write_disposition not in WRITE_MODES:
         raise ValueError(f"unknown write disposition {write_disposition}")
-    df = read_files(spark, source, fields, source_format, quoted_newlines, header, strict_fields)
+    df = read_files(spark, source, fields, source_format, quoted_newlines, header, strict_fields, range_bytes)
     return WRITE_MODES[write_disposition](df, table)
 
 

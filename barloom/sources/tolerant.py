@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from barloom.operators.inference import typed_cell
 from barloom.session import stage
+from barloom.sources.records import read_records
 
 #: Fixed value: width of a text column.
 TEXT_WIDTH = 255
@@ -25,12 +26,11 @@ def mark_tolerant_csv(
     some of its columns, as the number of fields is only noticed where all are read.
     """
     lines = T.StructType([*(T.StructField(n, T.StringType()) for n in schema.names), T.StructField(RECORD, T.StringType())])
-    read = (
-        spark.read.schema(lines)
-        .options(header=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    if multi_line:
+        read = read_records(spark, path, lines, header=True, corrupt=RECORD)
+    else:
+        options = dict(header=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD)
+        read = spark.read.schema(lines).options(**options).csv(path)
     typed = {f.name: typed_cell(f.name, f.dataType) for f in schema.fields}
     misfit = F.lit(False)
     for _, bad in typed.values():
