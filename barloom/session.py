@@ -73,8 +73,13 @@ def staged(df: DataFrame, label: str = "stage") -> Iterator[DataFrame]:
     try:
         yield _stored(df, path)
     finally:
-        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(df.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate whose readers have stored their results."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:

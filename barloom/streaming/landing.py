@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 
+#: How long the events of a query that has ended may take to arrive.
+REPORT_SECONDS = 300
+
+
 class _RowCount(StreamingQueryListener):
     """Rows of every batch of one run, however many batches there are."""
 
@@ -30,11 +34,9 @@ class _RowCount(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         self.ended[str(event.runId)].set()
 
-    def of(self, run: str) -> int:
-        # Events follow the query; its last one comes after all progress.
-        if not self.ended[run].wait(300):
-            raise TimeoutError("the end of the query was not reported")
-        return self.rows.get(run, 0)
+    def of(self, run: str) -> int | None:
+        # Events follow the query; its last one comes after all progress. The rows are committed either way.
+        return self.rows.get(run, 0) if self.ended[run].wait(REPORT_SECONDS) else None
 
 
 def land_increment(
@@ -49,8 +51,9 @@ def land_increment(
     partition_by: Sequence[str] = (),
     files_per_batch: int | None = None,
     **reader_options: object,
-) -> int:
-    """Append the not yet seen files of ``source`` to the Parquet folder ``sink``; returns rows read.
+) -> int | None:
+    """Append the not yet seen files of ``source`` to the Parquet folder ``sink``; returns rows read, or None if
+    they are landed but their count was not reported in time.
 
     The checkpoint remembers the files, so running again adds only new ones and a broken run is
     resumed without loss or repeats. ``unique_by`` also leaves out records whose key the sink has
