@@ -17,7 +17,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,9 @@ from barloom.session import stage
 #: Bytes of texts of a block, and segments known in a task; what comes first ends the block.
 BLOCK_BYTES = 32 << 20
 BLOCK_SEGMENTS = 400_000
-#: Segments encoded in one call.
+#: Segments encoded in one call, and bytes of texts whose segments are looked up together.
 BATCH = 4_096
+WAITING_BYTES = 1 << 18
 
 #: Between a visible character and the blanks, or the line feed, in front of the next one.
 SEAM = re.compile(r"(?<=\S)(?= +\S|\n\S)")
@@ -96,18 +99,11 @@ def segments_of(text: str) -> list[str]:
 
 def groups_of(a_sizes: Sequence[int], b_sizes: Sequence[int]) -> list[tuple[int, int]]:
     """Where each group ends: numbers of tokens of both lists up to there. The lists cover equally many bytes."""
-    at_a, at_b = _by_end(a_sizes), _by_end(b_sizes)
+    at_a = dict(zip(accumulate(a_sizes), range(1, len(a_sizes) + 1)))
+    at_b = dict(zip(accumulate(b_sizes), range(1, len(b_sizes) + 1)))
     return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
 
 
-def _by_end(sizes: Sequence[int]) -> dict[int, int]:
-    out, end = {}, 0
-    for i, size in enumerate(sizes):
-        end += size
-        out[end] = i + 1
-    return out
-
-
 def links_of(a_sizes: Sequence[int], b_sizes: Sequence[int]) -> list[tuple[int, int]]:
     """Pairs of tokens of one group whose bytes overlap."""
     out, i, j = [], 0, 0
@@ -135,43 +131,63 @@ class Aligner:
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
         self.a_size, self.b_size = [len(t) for t in a.tokens], [len(t) for t in b.tokens]
+        self.names = [str(i) for i in range(max(len(a.tokens), len(b.tokens)))]
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.lines: list[str | None] = []  # None: the tokens' bytes are not the segment's
         self.counts: list[tuple[int, int, int, int]] = []  # of A tokens, B tokens, groups, links
-        self.pairs: list[list[int]] = []  # linked ids: A above, B in the low 32 bits
+        self.starts: list[int] = []  # of a segment's links in ``pairs``
+        self.pairs = array("q")  # linked ids: A above, B in the low 32 bits
 
-    def add(self, segments: list[str]) -> None:
+    def add(self, segments: Iterable[str]) -> None:
         new = [s for s in dict.fromkeys(segments) if s not in self.known]
         for start in range(0, len(new), BATCH):
             part = new[start:start + BATCH]
-            for segment, a, b in zip(part, self.a.encode(part), self.b.encode(part)):
+            contents = [s.encode() for s in part]
+            a, b = self.a.encode(part), self.b.encode(part)
+            # All at once first: equal sums of bytes, segment by segment, are checked where the groups are made.
+            whole = b"".join(contents)
+            spelled = all(b"".join([t.tokens[i] for ids in own for i in ids]) == whole for t, own in ((self.a, a), (self.b, b)))
+            for segment, content, a_ids, b_ids in zip(part, contents, a, b):
                 self.known[segment] = len(self.lines)
-                self._align(segment.encode(), a, b)
+                self._align(content, a_ids, b_ids, spelled)
 
-    def _align(self, content: bytes, a: list[int], b: list[int]) -> None:
-        if b"".join([self.a.tokens[i] for i in a]) != content or b"".join([self.b.tokens[i] for i in b]) != content:
+    def _align(self, content: bytes, a: list[int], b: list[int], spelled: bool) -> None:
+        a_sizes, b_sizes = [self.a_size[i] for i in a], [self.b_size[i] for i in b]
+        same = sum(a_sizes) == sum(b_sizes) == len(content)
+        if not (same and (spelled or all(b"".join([t.tokens[i] for i in ids]) == content for t, ids in ((self.a, a), (self.b, b))))):
             self.lines.append(None)
             self.counts.append((0, 0, 0, 0))
-            self.pairs.append([])
+            self.starts.append(0)
             return
-        a_sizes, b_sizes = [self.a_size[i] for i in a], [self.b_size[i] for i in b]
-        ends = groups_of(a_sizes, b_sizes)
+        names = self.names
         texts, pairs, i, j = [], [], 0, 0
+        ends = groups_of(a_sizes, b_sizes)
         for k, m in ends:
-            texts.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
             if k - i == 1:
-                pairs += [a[i] << 32 | x for x in b[j:m]]
-            elif m - j == 1:
-                pairs += [x << 32 | b[j] for x in a[i:k]]
+                first = a[i]
+                if m - j == 1:
+                    texts.append(f"{names[first]}|{names[b[j]]}")
+                    pairs.append(first << 32 | b[j])
+                else:
+                    own = b[j:m]
+                    texts.append(f"{names[first]}|{','.join([names[x] for x in own])}")
+                    pairs += [first << 32 | x for x in own]
             else:
-                pairs += [a[i + x] << 32 | b[j + y] for x, y in links_of(a_sizes[i:k], b_sizes[j:m])]
+                own = a[i:k]
+                if m - j == 1:
+                    last = b[j]
+                    pairs += [x << 32 | last for x in own]
+                else:
+                    pairs += [a[i + x] << 32 | b[j + y] for x, y in links_of(a_sizes[i:k], b_sizes[j:m])]
+                texts.append(f"{','.join([names[x] for x in own])}|{','.join([names[x] for x in b[j:m]])}")
             i, j = k, m
         self.lines.append(";".join(texts))
         self.counts.append((len(a), len(b), len(ends), len(pairs)))
-        self.pairs.append(pairs)
+        self.starts.append(len(self.pairs))
+        self.pairs.extend(pairs)
 
 
 #: Rows of the stored blocks: the block's segments, its pairs of ids, its documents.
@@ -206,32 +222,40 @@ class Block:
         self.ids: list = []
         self.digests: list[str] = []
         self.segments: list[np.ndarray] = []
+        self.waiting: list[list[str]] = []
+        self.waiting_bytes = 0
 
     def add(self, row, text: str) -> None:
         self.bytes += len(text)
         self.ids.append(row)
-        lines = self.aligner.lines
-        if text:
-            parts = segments_of(text)
-            self.aligner.add(parts)
-            at = [self.aligner.known[p] for p in parts]
+        self.waiting.append(segments_of(text) if text else [])
+        self.waiting_bytes += len(text)
+        if self.waiting_bytes >= WAITING_BYTES:
+            self.settle()
+
+    def settle(self) -> None:
+        """Encodes the segments of the texts that wait, those of all of them together."""
+        self.aligner.add(chain.from_iterable(self.waiting))
+        lines, known = self.aligner.lines, self.aligner.known
+        for parts in self.waiting:
+            at = [known[p] for p in parts]
             found = [lines[i] for i in at]
-            if None not in found:
-                self.segments.append(np.array(at, dtype=np.int32))
-                self.digests.append(hashlib.sha256(";".join(found).encode()).hexdigest())
-                return
-        self.segments.append(np.zeros(0, dtype=np.int32))
-        self.digests.append("")
+            fine = bool(at) and None not in found
+            self.segments.append(np.array(at if fine else [], dtype=np.int32))
+            self.digests.append(hashlib.sha256(";".join(found).encode()).hexdigest() if fine else "")
+        self.waiting, self.waiting_bytes = [], 0
 
     def flush(self, block: int, packer: zstandard.ZstdCompressor) -> Iterator[pa.RecordBatch]:
         """The rows of the block. Segments and pairs are numbered anew inside it."""
+        self.settle()
         used, flat, times = np.unique(np.concatenate([*self.segments, np.zeros(0, dtype=np.int32)]), return_inverse=True, return_counts=True)
         flat = flat.astype(np.int32)
         lengths = np.array([len(s) for s in self.segments], dtype=np.int64)
         counts = np.array([self.aligner.counts[i] for i in used], dtype=np.int64).reshape(len(used), 4)
-        links = [self.aligner.pairs[i] for i in used]
-        sizes = np.array([len(p) for p in links], dtype=np.int64)
-        pairs, place = np.unique(np.array([x for p in links for x in p], dtype=np.int64), return_inverse=True)
+        sizes = counts[:, 3]
+        starts = np.array([self.aligner.starts[i] for i in used], dtype=np.int64)
+        at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        pairs, place = np.unique(np.array(self.aligner.pairs)[at], return_inverse=True)
         linked = np.bincount(place, np.repeat(times, sizes), len(pairs)).astype(np.int64) if len(pairs) else pairs
         body = packer.compress(np.concatenate([[len(sizes)], sizes, place]).astype(np.int32).tobytes())
         yield from _table(1, block=[block], kind=[SEGMENTS], body=[body])
