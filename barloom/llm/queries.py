@@ -33,7 +33,46 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_decontamination(spark, sf_dir):
     """Every benchmark item found in a document, with its best window."""
-    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.round("similarity", 9).alias("similarity"), "start_word", "n_words")
+
+
+# The fingerprints only decide which windows are looked at: SQL looks at all that share a shingle with the item.
+ORACLES["op1_decontamination"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL
+), i AS (
+    SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark WHERE text IS NOT NULL
+), items AS (
+    SELECT row_number() OVER () AS item, item_id, len(w) AS size, least(len(w), 5) AS span, greatest(len(w) - 4, 1) AS n,
+           list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda s: array_to_string(w[s:s + 4], ' ')) AS sh FROM i WHERE len(w) > 0
+), docs AS (
+    SELECT row_number() OVER () AS doc, doc_id, w, len(w) AS size FROM d WHERE len(w) > 0
+), parts AS (
+    SELECT item, size, span, n, s.x AS part, count(*) AS times FROM items, unnest(sh) AS s(x) GROUP BY ALL
+), spans AS (
+    SELECT DISTINCT span FROM items
+), cut AS (
+    SELECT doc, size, span, t.at, array_to_string(w[t.at:t.at + span - 1], ' ') AS part
+    FROM docs, spans, unnest(range(1, greatest(size - span + 1, 1) + 1)) AS t(at)
+), hits AS (
+    SELECT c.doc, c.at, c.part, p.item, p.times, p.size, p.n, c.size AS words FROM cut c JOIN parts p USING (span, part)
+), windows AS (
+    SELECT DISTINCT h.doc, h.item, h.n, h.words, h.size, t.start
+    FROM hits h, unnest(range(greatest(1, h.at - h.n + 1), greatest(least(h.at, h.words - h.size + 1), 1) + 1)) AS t(start)
+), held AS (
+    SELECT w.doc, w.item, w.n, w.start, greatest(least(w.words, w.size) - least(w.size, 5) + 1, 1) AS m, h.part, least(count(*), any_value(h.times)) AS shared
+    FROM windows w JOIN hits h ON h.doc = w.doc AND h.item = w.item AND h.at >= w.start AND h.at < w.start + w.n
+    GROUP BY w.doc, w.item, w.n, w.start, w.words, w.size, h.part
+), valued AS (
+    SELECT doc, item, start, CAST(sum(shared) AS BIGINT)::DOUBLE / (any_value(n) + any_value(m) - sum(shared))::DOUBLE AS similarity
+    FROM held GROUP BY doc, item, start
+), best AS (
+    SELECT *, row_number() OVER (PARTITION BY doc, item ORDER BY similarity DESC, start) AS place FROM valued WHERE similarity >= 0.8
+)
+SELECT doc_id, item_id, round(similarity, 9) AS similarity, start - 1 AS start_word, CAST(items.size AS INTEGER) AS n_words
+FROM best JOIN docs USING (doc) JOIN items USING (item) WHERE place = 1
+"""
 
 
 @query

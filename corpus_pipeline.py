@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.llm import bpe, decontaminate, exact_dedup, language_id, simhash_dedup
-from barloom.session import stage
+from barloom.session import remove, scratch_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -57,8 +57,15 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, keep_stages: bool = False) -> DataFrame:
+    """The stages in order. A stage's rows go once the next one's are stored, unless they are to be kept."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        kept, path = step(spark, docs, sf_dir), scratch_path(spark, name)
+        kept.write.parquet(path)
+        docs = spark.read.schema(kept.schema).parquet(path)
+        if before and not keep_stages:
+            remove(spark, before)
+        before = path
     return docs

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -112,6 +113,52 @@ def test_texts_under_one_item_id_are_items_of_their_own(spark, block):
     assert sorted(map(tuple, got), key=str) == sorted([(7, 0), (7, 7), (None, 0), (None, 15)], key=str)
 
 
+def test_long_texts_take_memory_by_their_words():
+    random.seed(3)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(4))
+    item = " ".join(word() for _ in range(400))
+    text = " ".join([item] * 500)
+    bench = decontaminate.Benchmark([("x", item)], 0.8, 22)
+    tracemalloc.start()
+    got = bench.matches(text)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert [(m["start"], m["similarity"]) for m in got] == [(0, 1.0)]
+    # 200,000 words; a million must stay below 500 MB.
+    assert peak < 100_000_000
+
+
+def test_many_items_with_repeating_shingles_are_found_by_index():
+    random.seed(4)
+    word = lambda: "".join(random.choice("abcdefgh") for _ in range(4))
+    items = []
+    for n in range(2_000):
+        a, b = word(), word()
+        items.append((n, " ".join([a, b] * 30 + [word() for _ in range(6)])))
+    bench = decontaminate.Benchmark(items, 0.8, 22)
+    filler = " ".join(word() for _ in range(300))
+    looked = []
+    plain = decontaminate.weighted_similarity
+    try:
+        decontaminate.weighted_similarity = lambda a, b: looked.append(1) or plain(a, b)
+        got = bench.matches(f"{filler} {items[7][1]} {filler}")
+    finally:
+        decontaminate.weighted_similarity = plain
+    assert [m["item"] for m in got] == [7] and len(looked) < 200
+
+
+@pytest.mark.parametrize("block_bytes", [60, 8 << 20])
+def test_blocks_by_bytes_give_the_same(spark, block_bytes):
+    docs, items = leaks(3)
+    df, bench = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items[:8], "item_id long, text string")
+    got = decontaminate.matches(df, bench, block_bytes=block_bytes).collect()
+    want = brute_matches(docs, items[:8])
+    assert sorted(((r[0], r[1], round(r[2], 9), r["start_word"]) for r in got), key=str) == want
+    left = decontaminate.drop_contaminated(df, bench, block_bytes=block_bytes).collect()
+    hit = {m[0] for m in want}
+    assert sorted(r["doc_id"] for r in left) == sorted(i for i, _ in docs if i not in hit)
+
+
 # ---- language
 
 
