@@ -97,13 +97,6 @@ def segments_of(text: str) -> list[str]:
     return SEAM.split(" " + text)
 
 
-def groups_of(a_sizes: Sequence[int], b_sizes: Sequence[int]) -> list[tuple[int, int]]:
-    """Where each group ends: numbers of tokens of both lists up to there. The lists cover equally many bytes."""
-    at_a = dict(zip(accumulate(a_sizes), range(1, len(a_sizes) + 1)))
-    at_b = dict(zip(accumulate(b_sizes), range(1, len(b_sizes) + 1)))
-    return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
-
-
 def links_of(a_sizes: Sequence[int], b_sizes: Sequence[int]) -> list[tuple[int, int]]:
     """Pairs of tokens of one group whose bytes overlap."""
     out, i, j = [], 0, 0
@@ -147,25 +140,35 @@ class Aligner:
             part = new[start:start + BATCH]
             contents = [s.encode() for s in part]
             a, b = self.a.encode(part), self.b.encode(part)
-            # All at once first: equal sums of bytes, segment by segment, are checked where the groups are made.
+            # The batch is one line of bytes; a segment's border is an end on it like any other.
             whole = b"".join(contents)
-            spelled = all(b"".join([t.tokens[i] for ids in own for i in ids]) == whole for t, own in ((self.a, a), (self.b, b)))
+            if all(b"".join([t.tokens[i] for ids in own for i in ids]) == whole for t, own in ((self.a, a), (self.b, b))):
+                borders = list(accumulate(map(len, contents)))
+                if self._align(part, list(chain.from_iterable(a)), list(chain.from_iterable(b)), borders):
+                    continue
             for segment, content, a_ids, b_ids in zip(part, contents, a, b):
-                self.known[segment] = len(self.lines)
-                self._align(content, a_ids, b_ids, spelled)
-
-    def _align(self, content: bytes, a: list[int], b: list[int], spelled: bool) -> None:
+                fine = all(b"".join([t.tokens[i] for i in ids]) == content for t, ids in ((self.a, a_ids), (self.b, b_ids)))
+                if not (fine and self._align([segment], a_ids, b_ids, [len(content)])):
+                    self._known(segment, None, (0, 0, 0, 0), 0)
+
+    def _known(self, segment: str, line: str | None, counts: tuple[int, int, int, int], start: int) -> None:
+        self.known[segment] = len(self.lines)
+        self.lines.append(line)
+        self.counts.append(counts)
+        self.starts.append(start)
+
+    def _align(self, segments: list[str], a: list[int], b: list[int], borders: list[int]) -> bool:
+        """Segments that lie end to end, as the tokens do. False: a border is not an end of both; nothing is kept."""
         a_sizes, b_sizes = [self.a_size[i] for i in a], [self.b_size[i] for i in b]
-        same = sum(a_sizes) == sum(b_sizes) == len(content)
-        if not (same and (spelled or all(b"".join([t.tokens[i] for i in ids]) == content for t, ids in ((self.a, a), (self.b, b))))):
-            self.lines.append(None)
-            self.counts.append((0, 0, 0, 0))
-            self.starts.append(0)
-            return
-        names = self.names
-        texts, pairs, i, j = [], [], 0, 0
-        ends = groups_of(a_sizes, b_sizes)
-        for k, m in ends:
+        at_a = dict(zip(accumulate(a_sizes), range(1, len(a) + 1)))
+        at_b = dict(zip(accumulate(b_sizes), range(1, len(b) + 1)))
+        common = at_a.keys() & at_b.keys()
+        if not common.issuperset(borders):
+            return False
+        names, pairs = self.names, self.pairs
+        texts, i, j, a_from, b_from, links_from, at = [], 0, 0, 0, 0, len(pairs), 0
+        for end in sorted(common):
+            k, m = at_a[end], at_b[end]
             if k - i == 1:
                 first = a[i]
                 if m - j == 1:
@@ -174,20 +177,20 @@ class Aligner:
                 else:
                     own = b[j:m]
                     texts.append(f"{names[first]}|{','.join([names[x] for x in own])}")
-                    pairs += [first << 32 | x for x in own]
+                    pairs.extend([first << 32 | x for x in own])
             else:
                 own = a[i:k]
                 if m - j == 1:
                     last = b[j]
-                    pairs += [x << 32 | last for x in own]
+                    pairs.extend([x << 32 | last for x in own])
                 else:
-                    pairs += [a[i + x] << 32 | b[j + y] for x, y in links_of(a_sizes[i:k], b_sizes[j:m])]
+                    pairs.extend([a[i + x] << 32 | b[j + y] for x, y in links_of(a_sizes[i:k], b_sizes[j:m])])
                 texts.append(f"{','.join([names[x] for x in own])}|{','.join([names[x] for x in b[j:m]])}")
             i, j = k, m
-        self.lines.append(";".join(texts))
-        self.counts.append((len(a), len(b), len(ends), len(pairs)))
-        self.starts.append(len(self.pairs))
-        self.pairs.extend(pairs)
+            if end == borders[at]:
+                self._known(segments[at], ";".join(texts), (k - a_from, m - b_from, len(texts), len(pairs) - links_from), links_from)
+                texts, a_from, b_from, links_from, at = [], k, m, len(pairs), at + 1
+        return True
 
 
 #: Rows of the stored blocks: the block's segments, its pairs of ids, its documents.
