@@ -46,6 +46,11 @@ def watched(quotes: DataFrame, watch: Sequence[Mapping[str, object]] = WATCH_LIS
     return quotes.join(watch_frame(quotes, watch), "code")
 
 
+def of_watched(responses: DataFrame, watch: Sequence[Mapping[str, object]] = WATCH_LIST) -> DataFrame:
+    """Responses of watched codes, columns unchanged, so that no other body is parsed."""
+    return responses.join(watch_frame(responses, watch).select("code"), "code", "left_semi")
+
+
 def parse_quotes(responses: DataFrame, taken_at: Column | str | None = None) -> DataFrame:
     """``(code, price, volume, timestamp, run_ts)`` of successful responses; an absent number is 0."""
     ok, _ = split_responses(responses)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from barloom.operators.quotes import WATCH_LIST, last_per_run, message, parse_quotes, watched
+from barloom.operators.quotes import WATCH_LIST, last_per_run, message, of_watched, parse_quotes, watched
 from barloom.session import stage
 from barloom.sources.sinks import write_stamped
 
@@ -17,7 +17,7 @@ def quote_snapshot(
     responses: DataFrame, watch: Sequence[Mapping[str, object]] = WATCH_LIST, taken_at: Column | str | None = None
 ) -> DataFrame:
     """Watched quotes of the successful responses, with run and list position."""
-    return watched(parse_quotes(responses, taken_at), watch).select(*SNAPSHOT_COLUMNS, "run_ts", "pos")
+    return watched(parse_quotes(of_watched(responses, watch), taken_at), watch).select(*SNAPSHOT_COLUMNS, "run_ts", "pos")
 
 
 def snapshot_and_notify(
@@ -32,7 +32,7 @@ def snapshot_and_notify(
     A run is the second of ``taken_at``, a column of the responses or now. The quotes are computed
     once, so rows and message agree. A message has a line per watched code at most. No quotes: no row.
     """
-    quotes = stage(last_per_run(parse_quotes(responses, taken_at)), "quotes")
+    quotes = stage(last_per_run(parse_quotes(of_watched(responses, watch), taken_at)), "quotes")
     chosen = watched(quotes, watch)
     write_stamped(chosen.select(*SNAPSHOT_COLUMNS, "run_ts"), path)
     return message(chosen, ["run_ts"])
