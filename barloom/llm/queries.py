@@ -53,16 +53,16 @@ WITH d AS (
 ), spans AS (
     SELECT DISTINCT span FROM items
 ), cut AS (
-    SELECT doc, size, span, t.at, array_to_string(w[t.at:t.at + span - 1], ' ') AS part
-    FROM docs, spans, unnest(range(1, greatest(size - span + 1, 1) + 1)) AS t(at)
+    SELECT doc, size, span, t.pos, array_to_string(w[t.pos:t.pos + span - 1], ' ') AS part
+    FROM docs, spans, unnest(range(1, greatest(size - span + 1, 1) + 1)) AS t(pos)
 ), hits AS (
-    SELECT c.doc, c.at, c.part, p.item, p.times, p.size, p.n, c.size AS words FROM cut c JOIN parts p USING (span, part)
+    SELECT c.doc, c.pos, c.part, p.item, p.times, p.size, p.n, c.size AS words FROM cut c JOIN parts p USING (span, part)
 ), windows AS (
     SELECT DISTINCT h.doc, h.item, h.n, h.words, h.size, t.start
-    FROM hits h, unnest(range(greatest(1, h.at - h.n + 1), greatest(least(h.at, h.words - h.size + 1), 1) + 1)) AS t(start)
+    FROM hits h, unnest(range(greatest(1, h.pos - h.n + 1), greatest(least(h.pos, h.words - h.size + 1), 1) + 1)) AS t(start)
 ), held AS (
     SELECT w.doc, w.item, w.n, w.start, greatest(least(w.words, w.size) - least(w.size, 5) + 1, 1) AS m, h.part, least(count(*), any_value(h.times)) AS shared
-    FROM windows w JOIN hits h ON h.doc = w.doc AND h.item = w.item AND h.at >= w.start AND h.at < w.start + w.n
+    FROM windows w JOIN hits h ON h.doc = w.doc AND h.item = w.item AND h.pos >= w.start AND h.pos < w.start + w.n
     GROUP BY w.doc, w.item, w.n, w.start, w.words, w.size, h.part
 ), valued AS (
     SELECT doc, item, start, CAST(sum(shared) AS BIGINT)::DOUBLE / (any_value(n) + any_value(m) - sum(shared))::DOUBLE AS similarity

@@ -175,6 +175,42 @@ def test_any_length_is_encoded_by_one_rule(spark):
     assert max(abs(a - b) for a, b in zip(shares, shares[1:])) < 0.03
 
 
+def test_predictions_are_those_of_plain_encoding(spark):
+    docs = documents(spark)
+    held_out, rows = language_id.trained_rows(docs, "doc_id", 5)
+    model = language_id.learn(rows)
+    texts = {r["doc_id"]: r["text"] for r in docs.filter(held_out).collect()} | {-1: "x", -2: "word " * 9_000, -3: "é" * 40_000}
+    df = spark.createDataFrame(list(texts.items()), SCHEMA)
+    got = {r["doc_id"]: r for r in language_id.identify(df, model).collect()}
+    encoders = model.compressors()
+    for i, text in texts.items():
+        letters = re.sub(r"[\W\d_]+", " ", text.lower()).strip().encode()
+        size = lambda c, part: len(c.compress(language_id.PAD + part)) - len(c.compress(language_id.PAD))
+        head, rest = letters, b""
+        if len(letters) > language_id.HEAD:
+            cut = letters.rfind(b" ", 0, language_id.HEAD)
+            cut = cut if cut > 0 else language_id.HEAD
+            head, rest = letters[:cut], letters[cut:]
+        words = head.split(b" ")
+        turns = min(8, len(words))
+        totals = []
+        for c in encoders:
+            total = sum(size(c, b" ".join(words[k * (len(words) // turns):] + words[:k * (len(words) // turns)])) for k in range(turns)) / turns
+            left = rest
+            while left:
+                stop = len(left)
+                if stop > language_id.PIECE:
+                    stop = left.rfind(b" ", 0, language_id.PIECE) + 1
+                    stop = language_id.PIECE if stop <= 1 else stop
+                total += size(c, left[:stop])
+                left = left[stop:]
+            totals.append(total)
+        best, second = sorted(totals)[:2]
+        assert got[i]["lang_pred"] == model.languages[totals.index(best)], i
+        assert got[i]["score"] == pytest.approx((second - best) / max(second, 1)), i
+        assert got[i]["accepted"] == (second > best and second - best >= 0.03 * second + 1), i
+
+
 def test_short_texts_are_kept_and_short_foreign_ones_go(spark):
     docs = documents(spark)
     held_out, rows = language_id.trained_rows(docs, "doc_id", 5)
@@ -489,3 +525,28 @@ def test_quality_edges(spark):
 def test_statistics_have_names():
     assert len(quality.statistics("")) == len(quality.statistics("A b.\nC d!")) == len(quality.STATISTICS)
     assert pa.array(quality.statistics("")).null_count == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_tree_takes_the_best_of_all_splits(seed):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    times = rng.integers(1, 4, 300).astype(float)
+    y = (x[:, seed] + rng.normal(size=300) > 0.3).astype(float)
+    grown = quality.fit(x, y, times, trees=1, depth=1, bins=16)
+    share = ((y * times).sum() + 0.5) / (times.sum() + 1)
+    gradient, weight = (y - share) * times, np.full(300, share * (1 - share)) * times
+    best = (0.0, None, None)
+    for f in range(4):
+        for edge in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 17)[1:-1])):
+            left = x[:, f] <= edge
+            sums = [(gradient[m].sum(), weight[m].sum()) for m in (left, ~left)]
+            if min(h for _, h in sums) < quality.MIN_WEIGHT:
+                continue
+            gain = sum(g**2 / (h + 1) for g, h in sums) - gradient.sum() ** 2 / (weight.sum() + 1)
+            if gain > best[0] + 1e-9:
+                best = (gain, f, edge)
+    assert (grown.feature[0, 0], grown.threshold[0, 0]) == best[1:]
+    left = x[:, best[1]] <= best[2]
+    leaves = [quality.RATE * gradient[m].sum() / (weight[m].sum() + 1) for m in (left, ~left)]
+    assert grown.leaf[0] == pytest.approx(leaves)
