@@ -36,16 +36,14 @@ ABSORBED = 100
 NO_LANGUAGE = "und"
 
 #: Bytes of a long text hashed at a time, bytes of short ones, and words whose n-grams are counted together.
-STRETCH = 4 << 20
+STRETCH = 1 << 20
 SHORT_BYTES = 1 << 18
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 500_000
 #: Bits of the bitmap for each frequent fingerprint, and the most there are (32 MiB).
 BITS_EACH = 16
 MOST_BITS = 1 << 28
 #: Bits of a row of the bitmap, as Spark's bitmap functions have it.
 ROW_BITS = 1 << 15
-#: Rows ranked in one task before the best of all are put in order.
-RANKED = 100_000
 
 BLANKS, MARKS = b" \t", b".,;:!?\n\v\f\r"
 KINDS = np.zeros(256, dtype=np.uint8)
@@ -380,8 +378,12 @@ def collocations(
     least = F.min(F.struct("score", "k", "a", "l", "r", "n")).alias("s")
     best = stage(scored.groupBy("lang", "phrase").agg(least).select("lang", "phrase", "s.*").drop("k"), "scored")
 
+    # In ranges of the whole order: a language's rows go to as many tasks as they need, a range tells where it begins.
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(max(1, best.count() // RANKED)))
-    first = best.withColumn("salt", salt).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order)))
-    ranked = first.filter(F.col("rank") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
-    return ranked.filter(F.col("rank") <= top).select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    ranges = stage(best.repartitionByRange("lang", *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    counts = ranges.groupBy("lang", "_range").agg(F.count("*").alias("_n"))
+    ahead = Window.partitionBy("lang").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.withColumn("_before", F.coalesce(F.sum("_n").over(ahead), F.lit(0))).filter(F.col("_before") < top).drop("_n")
+    local = F.row_number().over(Window.partitionBy("lang", "_range").orderBy(*order))
+    ranked = ranges.join(begins, ["lang", "_range"]).withColumn("rank", (F.col("_before") + local).cast("long"))
+    return ranked.filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
