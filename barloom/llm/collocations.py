@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import release_memory, text_of
+from barloom.llm.common import Bitmap, bitmap_of, release_memory, text_of
 from barloom.session import stage
 
 MIN_COUNT = 100
@@ -39,11 +39,6 @@ NO_LANGUAGE = "und"
 STRETCH = 1 << 20
 SHORT_BYTES = 1 << 18
 BLOCK_WORDS = 500_000
-#: Bits of the bitmap for each frequent fingerprint, and the most there are (32 MiB).
-BITS_EACH = 16
-MOST_BITS = 1 << 28
-#: Bits of a row of the bitmap, as Spark's bitmap functions have it.
-ROW_BITS = 1 << 15
 
 BLANKS, MARKS = b" \t", b".,;:!?\n\v\f\r"
 KINDS = np.zeros(256, dtype=np.uint8)
@@ -176,37 +171,6 @@ def ngrams(columns: Sequence[np.ndarray], opening: int, n: int, seeds: np.ndarra
     return first, spread(prints + seeds[langs[first]] + np.uint64(n))
 
 
-class Bitmap:
-    """Two bits a fingerprint."""
-
-    def __init__(self, content: bytes, bits: int):
-        self.content, self.bits = np.frombuffer(content, dtype=np.uint8), bits
-
-    def has(self, prints: np.ndarray) -> np.ndarray:
-        return self._bit(prints) & self._bit(prints >> np.uint64(32))
-
-    def _bit(self, prints: np.ndarray) -> np.ndarray:
-        at = prints & np.uint64(self.bits - 1)
-        return (self.content[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def bitmap_of(prints: DataFrame) -> Bitmap:
-    """Built by Spark in rows of 4 KiB; the driver and each task get ``MOST_BITS`` / 8 bytes at most."""
-    bits = ROW_BITS
-    while bits < min(MOST_BITS, BITS_EACH * prints.count()):
-        bits *= 2
-    both = prints.select(F.explode(F.array(F.col("fp"), F.shiftrightunsigned("fp", 32))).alias("at"))
-    places = both.select(F.pmod("at", F.lit(bits)).alias("at"))
-    rows = places.groupBy(F.floor(F.col("at") / ROW_BITS).cast("int").alias("row")).agg(
-        F.bitmap_construct_agg(F.col("at") % ROW_BITS).alias("content")
-    )
-    content = bytearray(bits // 8)
-    size = ROW_BITS // 8
-    for row in rows.collect():
-        content[row["row"] * size:(row["row"] + 1) * size] = row["content"]
-    return Bitmap(bytes(content), bits)
-
-
 def _blocks(batches: Iterator[pa.RecordBatch], word_prefixes: Prefixes):
     """Blocks of words with the languages met so far and their seeds."""
     words, names, index, seeds = Words(), [], {}, []

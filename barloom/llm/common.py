@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,12 @@ from barloom.session import stage
 #: White space of the word rules, fixed by the contracts: blank and \\t \\n \\v \\f \\r.
 BLANKS = "\x20\x09-\x0d"
 
+#: Bits of a bitmap for each fingerprint, and the most there are (32 MiB).
+BITS_EACH = 16
+MOST_BITS = 1 << 28
+#: Bits of a row of the bitmap, as Spark's bitmap functions have it.
+ROW_BITS = 1 << 15
+
 
 def text_of(column: str) -> Column:
     """The text column as text, NULL as empty."""
@@ -77,6 +85,49 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
+class Bitmap:
+    """Two bits a fingerprint."""
+
+    def __init__(self, content: bytes, bits: int):
+        self.content, self.bits = np.frombuffer(content, dtype=np.uint8), bits
+
+    def has(self, prints: np.ndarray) -> np.ndarray:
+        return self._bit(prints) & self._bit(prints >> np.uint64(32))
+
+    def _bit(self, prints: np.ndarray) -> np.ndarray:
+        at = prints & np.uint64(self.bits - 1)
+        return (self.content[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+def bitmap_of(prints: DataFrame) -> Bitmap:
+    """Built by Spark in rows of 4 KiB; the driver and each task get ``MOST_BITS`` / 8 bytes at most."""
+    bits = ROW_BITS
+    while bits < min(MOST_BITS, BITS_EACH * prints.count()):
+        bits *= 2
+    both = prints.select(F.explode(F.array(F.col("fp"), F.shiftrightunsigned("fp", 32))).alias("at"))
+    places = both.select(F.pmod("at", F.lit(bits)).alias("at"))
+    rows = places.groupBy(F.floor(F.col("at") / ROW_BITS).cast("int").alias("row")).agg(
+        F.bitmap_construct_agg(F.col("at") % ROW_BITS).alias("content")
+    )
+    content = bytearray(bits // 8)
+    size = ROW_BITS // 8
+    for row in rows.collect():
+        content[row["row"] * size:(row["row"] + 1) * size] = row["content"]
+    return Bitmap(bytes(content), bits)
+
+
+def marked(print_: Column, known: Bitmap) -> Column:
+    """Whether a fingerprint (long) is in ``known``, or looks so by chance. NULL is not."""
+
+    @F.arrow_udf("boolean")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for prints in batches:
+            found = known.has(prints.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            yield pa.array(found & prints.is_valid().to_numpy(zero_copy_only=False))
+
+    return run(print_)
+
+
 def release_memory() -> None:
     """Gives freed memory back to the system. Python workers live on from task to task, and what one
     task's blocks took would otherwise stay with the worker while others need it."""

@@ -3,6 +3,10 @@
 A text is known by the SHA-256 of its content, a tokenizer by the SHA-256 of its file. Counts are looked up
 under both digests in a stored cache; texts that are not there are encoded once each, however often they
 occur, and appended. The only normalisation that leaves every count as it is takes NULL as empty.
+
+No text is shuffled. Digests alone tell which texts are missing and which of the rows that share one stands for it. A
+bitmap of these rows goes to the tasks that read the texts, and what it lets through is encoded there. A bit set by
+chance lets a row more through, whose count is dropped: the bitmap decides about cost, never about a result.
 """
 
 from __future__ import annotations
@@ -15,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm.common import release_memory, text_of
-from barloom.session import stage
+from barloom.llm.common import Bitmap, bitmap_of, release_memory, text_of
+from barloom.session import stage, staged
 
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 #: For byte-level BPE: no token reaches from a visible character over the white space behind it, so counts
@@ -74,20 +78,23 @@ class Counter:
         return [n for i in range(0, len(texts), BATCH) for n in self.lengths(texts[i:i + BATCH])]
 
 
-def counted(text: Column, content: bytes, kind: str, seam: str | None = None) -> Column:
-    @F.arrow_udf("long")
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+def counted(rows: DataFrame, known: Bitmap | None, content: bytes, kind: str, seam: str | None = None) -> DataFrame:
+    """``content``, ``n_tokens`` of the ``rows`` (``content``, ``_key``, ``_text``) whose key is in ``known``, or of all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(content, kind, seam)
-        for texts in batches:
-            values: list[int] = []
+        for batch in batches:
+            if known is not None:
+                batch = batch.filter(pa.array(known.has(batch.column("_key").to_numpy().view(np.uint64))))
             # Few whole texts at a time: they may be long.
-            for start in range(0, len(texts), 256):
-                values += counter.count(texts[start:start + 256].to_pylist())
-            yield pa.array(np.array(values, dtype=np.int64))
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                values = pa.array(counter.count(part.column("_text").to_pylist()), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("content"), values], ["content", "n_tokens"])
         del counter
         release_memory()
 
-    return run(text)
+    return rows.select("content", "_key", "_text").mapInArrow(run, "content binary, n_tokens long")
 
 
 def read_cache(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
@@ -119,12 +126,22 @@ def count_tokens(
     version = hashlib.sha256(content).hexdigest()
     body = text_of(text)
     digest = F.unhex(F.sha2(body, 256))
-    rows = stage(df.select(F.col(f"`{id_col}`").alias("_id"), digest.alias("content"), F.octet_length(body).cast("long").alias("n_bytes")), "digests")
-    missing = df.select(digest.alias("content"), body.alias("_text")).join(read_cache(spark, cache_path, version), "content", "left_anti")
-    misses = missing.dropDuplicates(["content"]).select(
-        "content", F.lit(version).alias("tokenizer"), counted(F.col("_text"), content, kind, seam).alias("n_tokens")
-    )
-    misses.write.mode("append").parquet(cache_path)
+    row_id = F.col(f"`{id_col}`")
+
+    def append(counts: DataFrame) -> None:
+        counts.select("content", F.lit(version).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache_path)
+
+    read = df.select(row_id.alias("_id"), digest.alias("content"), body.alias("_text"), F.xxhash64(row_id, digest).alias("_key"))
+    rows = stage(read.select("_id", "content", "_key", F.octet_length("_text").cast("long").alias("n_bytes")), "digests")
+    missing = rows.join(read_cache(spark, cache_path, version), "content", "left_anti")
+    # The row of the smallest key stands for its text. Rows alike in id and text have one key: one of their counts is taken.
+    with staged(missing.groupBy("content").agg(F.min("_key").alias("fp")), "missing") as wanted:
+        counts = counted(read, bitmap_of(wanted), content, kind, seam).dropDuplicates(["content"])
+        append(counts.join(wanted, "content", "left_semi"))
+        # Only if the ids came out otherwise when the rows were read again: such texts are brought together.
+        left = wanted.join(read_cache(spark, cache_path, version), "content", "left_anti").select("content")
+        if not left.isEmpty():
+            append(counted(read.join(left, "content", "left_semi").dropDuplicates(["content"]), None, content, kind, seam))
     # Stored, so that the join's rows are not tied to an aggregate: a text that many rows share can then be split.
     known = stage(rows.select("content").distinct().join(read_cache(spark, cache_path, version), "content"), "known")
     return rows.join(known.hint("merge"), "content").select(

@@ -10,6 +10,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from barloom.llm import bpe, decontaminate, language_id, license_scan, quality, token_counts
@@ -365,6 +366,27 @@ def test_counts_are_the_librarys(spark, tmp_path, name, seam):
     assert token_counts.count_tokens(df.filter("false"), path, cache, seam=seam).count() == 0
 
 
+def test_no_text_is_shuffled_to_be_counted(spark, tmp_path, monkeypatch):
+    plans, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **k: (plans.append(self._df._jdf.queryExecution().executedPlan().toString()), write(self, *a, **k))[1])
+    rows = [(i % 7 if i % 3 else None, f"some words {i % 11}") for i in range(200)]
+    df, cache = spark.createDataFrame(rows, SCHEMA).repartition(5).transform(stage), f"file://{tmp_path}/cache"
+    plans.clear()
+    for part in (df.filter("doc_id < 3"), df):
+        got = token_counts.count_tokens(part, public_tokenizers.path("byte_bpe_50k.json"), cache, seam=token_counts.BYTE_LEVEL_SEAM).collect()
+    assert len(got) == 200 and spark.read.parquet(cache).count() == 11
+    exchanged = [line for p in plans for line in re.findall(r"Exchange hash[^\n]*\n([^\n]*)", p)]
+    assert exchanged and not [line for line in exchanged if re.search(r"text#\d+, \) AS|_text#", line)]
+
+
+def test_counts_hold_where_ids_change_from_read_to_read(spark, tmp_path):
+    df = spark.range(40).select(F.expr("uuid()").alias("doc_id"), F.concat(F.lit("words "), F.col("id") % 9).alias("text"))
+    df = df.withColumn("doc_id", F.udf(lambda i: f"{i}{random.random()}")("doc_id"))
+    cache = f"file://{tmp_path}/cache"
+    got = token_counts.count_tokens(df, public_tokenizers.path("byte_bpe_50k.json"), cache).collect()
+    assert len(got) == 40 and all(r["n_tokens"] for r in got) and spark.read.parquet(cache).count() == 9
+
+
 # ---- licenses
 
 
