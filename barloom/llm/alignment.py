@@ -19,7 +19,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterable, Iterator, Sequence
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,8 @@ WAITING_BYTES = 1 << 18
 #: Between a visible character and the blanks, or the line feed, in front of the next one.
 SEAM = re.compile(r"(?<=\S)(?= +\S|\n\S)")
 BLANK_PIECE = "▁"
+#: What stands behind an id in a line of groups.
+MARKS = (",", "|", ";", "")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -99,22 +101,19 @@ def segments_of(text: str) -> list[str]:
 
 def links_of(a_sizes: Sequence[int], b_sizes: Sequence[int]) -> list[tuple[int, int]]:
     """Pairs of tokens of one group whose bytes overlap."""
-    out, i, j = [], 0, 0
-    a_end, b_end = a_sizes[0], b_sizes[0]
-    while True:
-        out.append((i, j))
-        a_over, b_over = a_end <= b_end, b_end <= a_end
-        if a_over:
-            i += 1
-            if i == len(a_sizes):
-                break
-        if b_over:
-            j += 1
-            b_end += b_sizes[j]
-        if a_over:
-            a_end += a_sizes[i]
-    # The last of the shorter list goes on over what is left of the other.
-    out += [(len(a_sizes) - 1, k) for k in range(j + 1, len(b_sizes))]
+    return list(zip(*(places.tolist() for places in overlaps(np.cumsum(a_sizes), np.cumsum(b_sizes))[1:])))
+
+
+def overlaps(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens that overlap, of two lists that cover the same bytes: where the bytes they share end, and their places.
+    Two tokens share one stretch of bytes, which ends as one of them does; so each end of either list is one link."""
+    ends = np.flatnonzero(_marked(a_ends) | _marked(b_ends))
+    return ends, np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+
+
+def _marked(ends: np.ndarray) -> np.ndarray:
+    out = np.zeros(ends[-1] + 1, dtype=bool)
+    out[ends] = True
     return out
 
 
@@ -123,15 +122,17 @@ class Aligner:
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = a, b
-        self.a_size, self.b_size = [len(t) for t in a.tokens], [len(t) for t in b.tokens]
-        self.names = [str(i) for i in range(max(len(a.tokens), len(b.tokens)))]
+        self.a_size, self.b_size = (np.array([len(t) for t in tokens], dtype=np.int64) for tokens in (a.tokens, b.tokens))
+        # Each id with what may stand behind it.
+        self.ids = max(len(a.tokens), len(b.tokens))
+        self.names = np.array([f"{i}{mark}" for mark in MARKS for i in range(self.ids)], dtype=object)
         self.clear()
 
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.lines: list[str | None] = []  # None: the tokens' bytes are not the segment's
-        self.counts: list[tuple[int, int, int, int]] = []  # of A tokens, B tokens, groups, links
-        self.starts: list[int] = []  # of a segment's links in ``pairs``
+        self.counts = array("q")  # of A tokens, B tokens, groups, links
+        self.starts = array("q")  # of a segment's links in ``pairs``
         self.pairs = array("q")  # linked ids: A above, B in the low 32 bits
 
     def add(self, segments: Iterable[str]) -> None:
@@ -141,55 +142,47 @@ class Aligner:
             contents = [s.encode() for s in part]
             a, b = self.a.encode(part), self.b.encode(part)
             # The batch is one line of bytes; a segment's border is an end on it like any other.
-            whole = b"".join(contents)
-            if all(b"".join([t.tokens[i] for ids in own for i in ids]) == whole for t, own in ((self.a, a), (self.b, b))):
-                borders = list(accumulate(map(len, contents)))
-                if self._align(part, list(chain.from_iterable(a)), list(chain.from_iterable(b)), borders):
-                    continue
+            all_a, all_b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
+            if self._spell(all_a, all_b, b"".join(contents)) and self._align(part, all_a, all_b, list(map(len, contents))):
+                continue
             for segment, content, a_ids, b_ids in zip(part, contents, a, b):
-                fine = all(b"".join([t.tokens[i] for i in ids]) == content for t, ids in ((self.a, a_ids), (self.b, b_ids)))
-                if not (fine and self._align([segment], a_ids, b_ids, [len(content)])):
-                    self._known(segment, None, (0, 0, 0, 0), 0)
+                if not (self._spell(a_ids, b_ids, content) and self._align([segment], a_ids, b_ids, [len(content)])):
+                    self._know([segment], [None], np.zeros((1, 4), dtype=np.int64), np.zeros(1, dtype=np.int64))
+
+    def _spell(self, a: list[int], b: list[int], content: bytes) -> bool:
+        return all(b"".join([t.tokens[i] for i in ids]) == content for t, ids in ((self.a, a), (self.b, b)))
 
-    def _known(self, segment: str, line: str | None, counts: tuple[int, int, int, int], start: int) -> None:
-        self.known[segment] = len(self.lines)
-        self.lines.append(line)
-        self.counts.append(counts)
-        self.starts.append(start)
+    def _know(self, segments: list[str], lines: list[str | None], counts: np.ndarray, starts: np.ndarray) -> None:
+        self.known.update(zip(segments, range(len(self.lines), len(self.lines) + len(segments))))
+        self.lines += lines
+        self.counts.frombytes(np.ascontiguousarray(counts, dtype=np.int64).tobytes())
+        self.starts.frombytes(np.ascontiguousarray(starts, dtype=np.int64).tobytes())
 
-    def _align(self, segments: list[str], a: list[int], b: list[int], borders: list[int]) -> bool:
+    def _align(self, segments: list[str], a_ids: list[int], b_ids: list[int], sizes: list[int]) -> bool:
         """Segments that lie end to end, as the tokens do. False: a border is not an end of both; nothing is kept."""
-        a_sizes, b_sizes = [self.a_size[i] for i in a], [self.b_size[i] for i in b]
-        at_a = dict(zip(accumulate(a_sizes), range(1, len(a) + 1)))
-        at_b = dict(zip(accumulate(b_sizes), range(1, len(b) + 1)))
-        common = at_a.keys() & at_b.keys()
-        if not common.issuperset(borders):
+        a, b = np.array(a_ids, dtype=np.int64), np.array(b_ids, dtype=np.int64)
+        a_ends, b_ends, borders = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), np.cumsum(sizes)
+        common = np.flatnonzero(_marked(a_ends) & _marked(b_ends))
+        groups = np.searchsorted(common, borders)
+        if not np.array_equal(common[groups], borders):
             return False
-        names, pairs = self.names, self.pairs
-        texts, i, j, a_from, b_from, links_from, at = [], 0, 0, 0, 0, len(pairs), 0
-        for end in sorted(common):
-            k, m = at_a[end], at_b[end]
-            if k - i == 1:
-                first = a[i]
-                if m - j == 1:
-                    texts.append(f"{names[first]}|{names[b[j]]}")
-                    pairs.append(first << 32 | b[j])
-                else:
-                    own = b[j:m]
-                    texts.append(f"{names[first]}|{','.join([names[x] for x in own])}")
-                    pairs.extend([first << 32 | x for x in own])
-            else:
-                own = a[i:k]
-                if m - j == 1:
-                    last = b[j]
-                    pairs.extend([x << 32 | last for x in own])
-                else:
-                    pairs.extend([a[i + x] << 32 | b[j + y] for x, y in links_of(a_sizes[i:k], b_sizes[j:m])])
-                texts.append(f"{','.join([names[x] for x in own])}|{','.join([names[x] for x in b[j:m]])}")
-            i, j = k, m
-            if end == borders[at]:
-                self._known(segments[at], ";".join(texts), (k - a_from, m - b_from, len(texts), len(pairs) - links_from), links_from)
-                texts, a_from, b_from, links_from, at = [], k, m, len(pairs), at + 1
+        # Tokens up to the end of each group, and groups, tokens and links up to the end of each segment.
+        a_to, b_to, groups = np.searchsorted(a_ends, common, side="right"), np.searchsorted(b_ends, common, side="right"), groups + 1
+        ends, a_at, b_at = overlaps(a_ends, b_ends)
+        upto = np.stack([a_to[groups - 1], b_to[groups - 1], groups, np.searchsorted(ends, borders, side="right")], axis=1)
+        counts = np.diff(upto, axis=0, prepend=0)
+        starts = len(self.pairs) + upto[:, 3] - counts[:, 3]
+        self.pairs.frombytes((a[a_at] << 32 | b[b_at]).tobytes())
+        # The ids of a group in a row, A's before B's, each with the mark behind it: comma, bar, semicolon, or none at a segment's end.
+        a_sizes, b_sizes = np.diff(a_to, prepend=0), np.diff(b_to, prepend=0)
+        marks_a, marks_b = np.zeros(len(a), dtype=np.int64), np.zeros(len(b), dtype=np.int64)
+        marks_a[a_to - 1], marks_b[b_to - 1] = 1, 2
+        marks_b[b_to[groups - 1] - 1] = 3
+        row = np.empty(len(a) + len(b), dtype=np.int64)
+        row[np.arange(len(a)) + np.repeat(b_to - b_sizes, a_sizes)] = marks_a * self.ids + a
+        row[np.arange(len(b)) + np.repeat(a_to, b_sizes)] = marks_b * self.ids + b
+        texts, stops = self.names[row].tolist(), (upto[:, 0] + upto[:, 1]).tolist()
+        self._know(segments, ["".join(texts[i:j]) for i, j in zip([0, *stops], stops)], counts, starts)
         return True
 
 
@@ -254,9 +247,9 @@ class Block:
         used, flat, times = np.unique(np.concatenate([*self.segments, np.zeros(0, dtype=np.int32)]), return_inverse=True, return_counts=True)
         flat = flat.astype(np.int32)
         lengths = np.array([len(s) for s in self.segments], dtype=np.int64)
-        counts = np.array([self.aligner.counts[i] for i in used], dtype=np.int64).reshape(len(used), 4)
+        counts = np.array(self.aligner.counts, dtype=np.int64).reshape(-1, 4)[used]
         sizes = counts[:, 3]
-        starts = np.array([self.aligner.starts[i] for i in used], dtype=np.int64)
+        starts = np.array(self.aligner.starts, dtype=np.int64)[used]
         at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
         pairs, place = np.unique(np.array(self.aligner.pairs)[at], return_inverse=True)
         linked = np.bincount(place, np.repeat(times, sizes), len(pairs)).astype(np.int64) if len(pairs) else pairs
