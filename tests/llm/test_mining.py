@@ -4,6 +4,7 @@ import hashlib
 import heapq
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -90,6 +91,22 @@ def test_one_long_text_and_no_words(spark):
         assert collocations.collocations(spark.createDataFrame(none, "lang string, text string")).count() == 0
 
 
+def test_a_phrase_leaves_a_task_once(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "BLOCK_WORDS", 50)
+    df = spark.createDataFrame([("de", "ein satz mit worten. " * 20)] * 60, "_lang string, _text string").coalesce(1)
+    known = collocations.bitmap_of(collocations._counts(df, [1], None, 0, 100))
+    made, method = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda *a, **k: made.append(method(*a, **k)) or made[-1])
+    got = collocations._phrases(df, known).collect()
+    assert sorted(got) == [("de", "", 4800), *(("de", w, 1200) for w in ("ein", "mit", "satz", "worten"))]
+    assert made[0].count() == len(got)
+    batches = [collocations._batch([("de", w, n) for w in "abcd"]) for n in (1, 2, 3)]
+    for most in (1, 5, 100):
+        parts = [tuple(r.values()) for b in collocations._added_up(iter(batches), most) for r in b.to_pylist()]
+        assert {w: sum(f for _, v, f in parts if v == w) for w in "abcd"} == dict.fromkeys("abcd", 6)
+        assert len(parts) == (12 if most == 1 else 4)
+
+
 def test_word_numbers_are_exact():
     words = [b"a", b"b", b"a", b"long word one", b"long word two", b"long word one", b"12345678", b"123456789", b"a\x00", b"12345678"]
     data, starts = b"", []
@@ -267,6 +284,22 @@ def test_segments_once_known_are_dropped_and_learned_again(spark, monkeypatch, l
     assert rows(alignment.align(spark.createDataFrame(docs, "doc_id long, text string"), A_PATH, B_PATH)) == brute_alignment(docs, libraries)
 
 
+def test_segments_of_a_batch_are_aligned_without_a_step_for_each_token(libraries):
+    aligner = alignment.Aligner(alignment.ByteLevel(open(A_PATH, "rb").read()), alignment.Pieces(open(B_PATH, "rb").read()))
+    words = [f" {chr(97 + i % 26)}{i}überlang{i * 7}" for i in range(4_000)]
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        aligner.add(words)
+    finally:
+        sys.setprofile(None)
+    tokens, groups = sum(aligner.counts[::4]) + sum(aligner.counts[1::4]), sum(aligner.counts[2::4])
+    assert len(aligner.lines) == 4_000 and sum(line.count(";") + 1 for line in aligner.lines) == groups
+    assert sum(len(re.split("[,|;]", line)) for line in aligner.lines) == tokens
+    # About seven tokens a word: the old loop made some calls for each of their groups.
+    assert sum(calls.values()) < 2 * tokens
+
+
 def test_nothing_to_align(spark):
     for none in ([], [(1, None), (2, "")]):
         got = alignment.align(spark.createDataFrame(none, "doc_id long, text string"), A_PATH, B_PATH).collect()
