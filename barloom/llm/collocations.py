@@ -39,6 +39,8 @@ NO_LANGUAGE = "und"
 STRETCH = 1 << 20
 SHORT_BYTES = 1 << 18
 BLOCK_WORDS = 500_000
+#: Phrases of the last pass whose counts a task adds up over its blocks.
+TASK_PHRASES = 500_000
 
 BLANKS, MARKS = b" \t", b".,;:!?\n\v\f\r"
 KINDS = np.zeros(256, dtype=np.uint8)
@@ -250,7 +252,7 @@ def _phrases(rows: DataFrame, known: Bitmap) -> DataFrame:
     """``lang``, ``phrase``, ``f``: text and count of all n-grams whose fingerprint is in ``known``. The count
     of all words of a language stands under the empty phrase."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prefixes = Prefixes(WORD_BASE)
         for data, columns, opening, names, seeds in _blocks(batches, prefixes):
             starts, stops, hashed, _, langs = columns
@@ -278,12 +280,41 @@ def _phrases(rows: DataFrame, known: Bitmap) -> DataFrame:
                     texts = [b" ".join([data[a:b] for a, b in words]).decode() for words in zip(*places)]
                     spoken = [names[j] for j in langs[part].tolist()]
                     yield _batch(list(zip(spoken, texts, counts[i:i + (1 << 16)].tolist())))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _added_up(counted(batches))
         release_memory()
 
     found = rows.mapInArrow(run, "lang string, phrase string, f long")
     return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+def _added_up(batches: Iterator[pa.RecordBatch], most_rows: int = TASK_PHRASES) -> Iterator[pa.RecordBatch]:
+    """Adds up the counts of a phrase over the blocks of a task, so that it leaves the task once; more than ``most_rows``
+    different phrases leave it more than once."""
+    held: list[pa.RecordBatch] = []
+    size, limit = 0, most_rows
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= limit:
+            held = _summed(held)
+            size = sum(b.num_rows for b in held)
+            if size >= most_rows:
+                yield from held
+                held, size = [], 0
+            # Not added up again for a few rows.
+            limit = max(most_rows, 2 * size)
+    yield from _summed(held)
+
+
+def _summed(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    if not batches:
+        return []
+    sums = pa.Table.from_batches(batches).group_by(["lang", "phrase"], use_threads=False).aggregate([("f", "sum")])
+    return sums.select(["lang", "phrase", "f_sum"]).rename_columns(["lang", "phrase", "f"]).to_batches(max_chunksize=1 << 16)
+
+
 def _batch(rows: list[tuple[str, str, int]]) -> pa.RecordBatch:
     lang, phrase, f = zip(*rows) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(f, pa.int64())], ["lang", "phrase", "f"])
