@@ -580,11 +580,12 @@ def load_csv_quoted_newlines(spark, sf_dir):
 
 @query
 def csv_ranges(spark, sf_dir):
-    """One file of texts with quotes and line breaks of both kinds, cut into records by many tasks."""
-    path = scratch_path(spark, "one-file")
+    """Files of texts with quotes and line breaks of both kinds, each cut into records by many tasks. Every task writes a file
+    of what it reads; one file of all texts would go through one task."""
+    path = scratch_path(spark, "files")
     text = F.concat(F.col("text"), F.when(F.col("doc_id") % 3 == 0, "\r\n\"said\", \"\"").otherwise(""))
     texts = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "lang")
-    texts.coalesce(1).write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    texts.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     schema = T.StructType.fromDDL("doc_id bigint, text string, lang string")
     read = records.read_records(spark, path, schema, header=True, mode="FAILFAST", range_bytes=64 << 10)
     return read.select("doc_id", F.md5("text").alias("digest"), F.length("text").alias("chars"), "lang")

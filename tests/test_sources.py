@@ -1,3 +1,4 @@
+import hashlib
 import datetime as dt
 import json
 
@@ -5,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barloom.sources import records
+from barloom.queries import QUERIES
 from barloom.operators.inference import infer_types, inferred_struct
 from barloom.operators.quality import GateFailed, not_null_gate, not_null_report, require_pass, split_required
 from barloom.operators.weather import WEATHER_FIELDS
@@ -342,3 +345,20 @@ def test_increment_drops_known_keys_however_old(spark, tmp_path, parts):
     assert len(first) == 3
     assert land(("a", "2024-01-02"), ("b", "2024-01-03"), (None, None)) == first
     assert len(land(("c", "2023-06-01"), ("a", "2024-01-03"))) == 5
+
+
+def test_no_task_reads_all_texts_to_write_or_stitch_them(spark, tmp_path, monkeypatch):
+    texts = [f'text {i}\n"quoted", ' * (i % 40 + 1) for i in range(600)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    paths, plans, read, stitch = [], [], records.read_records, records._stitched
+    monkeypatch.setattr(records, "read_records", lambda s, path, *a, **k: paths.append(path) or read(s, path, *a, **k))
+    monkeypatch.setattr(records, "_stitched", lambda pieces: plans.append(stitch(pieces)) or plans[-1])
+    got = {r["doc_id"]: r["digest"] for r in QUERIES["csv_ranges"](spark, str(tmp_path)).collect()}
+    ends = ['\r\n"said", ""' if i % 3 == 0 else "" for i in range(600)]
+    assert got == {i: hashlib.md5((t + e).encode()).hexdigest() for i, (t, e) in enumerate(zip(texts, ends))}
+    assert spark.read.text(paths[0]).select("_metadata.file_path").distinct().count() == 3
+    # The window over the borders of a file is over their places.
+    lines = plans[0]._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    windows = [i for i, line in enumerate(lines) if "Window [" in line]
+    assert windows and not [i for i in windows if "record#" in lines[i + 1]]
