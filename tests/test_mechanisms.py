@@ -69,6 +69,31 @@ def test_one_file_is_cut_by_many_tasks(spark, tmp_path):
     assert rows(read) == sorted(((i, f'first {i}\n,second\r\n"third"') for i in range(20_000)), key=repr)
 
 
+def test_a_task_reads_many_ranges(spark, tmp_path):
+    path = tmp_path / "many.csv"
+    path.write_text("id,text\n" + "".join(f'{i},"first {i}\n,second ""third"""\n' for i in range(4_000)), newline="")
+    schema, names = T.StructType.fromDDL("id int, text string"), [*records.RANGE_SETTINGS, "spark.sql.files.maxPartitionNum"]
+    want = sorted(((i, f'first {i}\n,second "third"') for i in range(4_000)), key=repr)
+    before, size = [spark.conf.get(n, None) for n in names], path.stat().st_size
+    assert size > 500 * 200
+
+    def files(found):
+        return {p for p in found.inputFiles() if "records-" in p}
+
+    # Ranges of 200 bytes, and at most so many tasks as keep the cores busy, each of which stores one file.
+    few = files(records.csv_records(spark, str(path), range_bytes=200))
+    assert spark.sparkContext.defaultParallelism <= len(few) <= 4 * spark.sparkContext.defaultParallelism + 1
+    assert [spark.conf.get(n, None) for n in names] == before
+    assert rows(records.read_records(spark, str(path), schema, header=True, mode="FAILFAST", range_bytes=200)) == want
+    # A task reads no more than the session's own partition.
+    spark.conf.set(names[0], "1000b")
+    try:
+        many = files(records.csv_records(spark, str(path), range_bytes=200))
+        assert len(many) >= size // 1000 and spark.conf.get(names[0]) == "1000b"
+    finally:
+        spark.conf.unset(names[0])
+
+
 def test_a_record_over_many_ranges_and_an_open_one(spark, tmp_path):
     path = tmp_path / "long.csv"
     path.write_text('a,b\n1,"' + "word\n" * 2_000 + '"\n\n2,x\n3,"left open\nto the end', newline="")
